@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import string
 import tempfile
 
@@ -51,28 +50,32 @@ def lower_words(text: str | None) -> list[bytes]:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``(node, component)``, the smallest node reachable.
 
-    Every round takes the smallest label next to a node and then jumps to that label's own label, so the rounds
-    grow with the logarithm of the diameter. Labels and edges stay distributed; each round is checkpointed.
-    Aggregation is partial before each shuffle and the joins are plain equi-joins that AQE can split, so a node
-    with very many edges does not meet in one task. No edges: no rows.
+    Every round hooks each node to the smallest one next to it, jumps to where that one is hooked, and contracts the
+    edges to the nodes that are left, so edges shrink by the round and the rounds grow with the logarithm of the
+    longest path. Labels and edges stay distributed; each round is checkpointed. Aggregation is partial before each
+    shuffle and the joins are plain equi-joins that AQE can split, so a node with very many edges does not meet in
+    one task. No edges: no rows.
     """
-    pairs = edges.where("a <> b")
-    both = materialize(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")))
-    for _ in itertools.count():
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("m"))
-        )
-        lower = labels.join(near, "node", "left").select("node", F.col("component").alias("old"), F.least("component", "m").alias("mid"))
-        jump = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
-        new = materialize(lower.join(jump, "mid", "left").select("node", "old", F.least("mid", "far").alias("component")))
-        changed = new.where("old <> component").limit(1).count()
-        labels = new.select("node", "component")
-        if not changed:
-            return labels
-    raise AssertionError
+    edges = materialize(_sorted(edges))
+    labels = None
+    while labels is None or not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hook = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m")))
+        jump = hook.select(F.col("node").alias("m"), F.col("m").alias("to"))
+        hook = materialize(hook.join(jump, "m", "left").select("node", F.coalesce("to", "m").alias("to")))
+        if labels is None:
+            labels = hook.withColumnRenamed("to", "component")
+        else:
+            moved = hook.withColumnRenamed("node", "component")
+            labels = materialize(labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+        ends = [hook.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to")) for c in ("a", "b")]
+        edges = materialize(_sorted(edges.join(ends[0], "a").join(ends[1], "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))))
+    return labels
+
+
+def _sorted(edges: DataFrame) -> DataFrame:
+    """Each edge once, the smaller end first, no loops."""
+    return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def runs_of(batches, keys):
