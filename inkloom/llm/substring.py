@@ -102,12 +102,14 @@ def _alive(n: int, runs) -> np.ndarray:
 
 
 def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(uid, runs)``: starts of windows that occur elsewhere; and ``(uid, doc_id, n_words, digest, whole)``.
+    """``(uid, runs, lone)``: starts of windows that occur elsewhere are those in ``runs`` but not in ``lone``; and
+    ``(uid, doc_id, n_words, digest, copies, first)``.
 
     Exact copies are collapsed first: of rows with the same word sequence (``whole``) one goes on, marked as many.
     Each level asks for the parts of the surviving windows whether they occur at two places; only documents with
     survivors are read at the next level, which is twice as long. The last level compares 128-bit hashes of whole
-    windows. Nothing is gathered by key: counts are pre-aggregated, and the answer is joined back.
+    windows; by then nearly all survivors do occur elsewhere, so it gives the starts of the few that don't (``lone``).
+    Nothing is gathered by key: counts are pre-aggregated before the shuffle.
     """
 
     def scan(texts: list) -> tuple[list, ...]:
@@ -124,7 +126,8 @@ def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[D
     long = seen.where(F.col("n_words") >= window)
     whole = materialize(long.groupBy("digest").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("copies")).select("uid", "copies", "digest"))
     parts = long.select("uid", "h", "run").join(whole.select("uid"), "uid", "left_semi")
-    runs = _twice(parts.select("uid", F.explode(F.arrays_zip("h", "run")).alias("p")).select("uid", "p.h", F.lit(0).cast("long").alias("h2"), "p.run"))
+    runs = _twice(parts.select("uid", F.explode(F.arrays_zip("h", "run")).alias("p")).select("uid", "p.h", "p.run"))
+    lone = runs.select("uid", F.array().cast("array<long>").alias("lone")).limit(0)
     for size in sizes[1:]:
         runs = materialize(runs)
 
@@ -139,18 +142,27 @@ def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[D
                 if got:
                     yield pd.DataFrame(dict(zip(("uid", "h", "h2", "run"), map(np.concatenate, zip(*got)))))
 
-        ids = runs.select("uid")
-        if ids.count() <= MAX_BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        candidates = texts.join(ids, "uid", "left_semi").join(runs, "uid")
-        runs = _twice(materialize(candidates.select("uid", "text", "runs").mapInPandas(extend, "uid long, h long, h2 long, run long")))
-    return runs, seen.select("uid", "doc_id", "n_words", "digest").join(whole.select("digest", "copies", F.col("uid").alias("first")), "digest", "left")
+        parts = of_some(texts, runs).select("uid", "text", "runs").mapInPandas(extend, "uid long, h long, h2 long, run long")
+        if size < window:
+            runs = _twice(materialize(parts.drop("h2")))
+        else:
+            once = parts.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"), F.min("run").alias("run")).where("n = 1")
+            lone = once.groupBy("uid").agg(F.collect_list("run").alias("lone"))
+    names = whole.select("digest", "copies", F.col("uid").alias("first"))
+    return runs.join(lone, "uid", "left"), seen.select("uid", "doc_id", "n_words", "digest").join(names, "digest", "left")
+
+
+def of_some(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``texts`` joined with ``chosen`` by uid; all other texts are left out before the shuffle, by a broadcast of at
+    most ``MAX_BROADCAST_IDS`` ids, or, beyond it, by the join alone."""
+    ids = chosen.select("uid")
+    return (texts.join(F.broadcast(ids), "uid", "left_semi") if ids.count() <= MAX_BROADCAST_IDS else texts).join(chosen, "uid")
 
 
 def _twice(parts: DataFrame) -> DataFrame:
     """``(uid, runs)`` of the parts whose hash occurs at two places at least."""
-    many = parts.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "h2")
-    return parts.join(many, ["h", "h2"], "left_semi").groupBy("uid").agg(F.collect_list("run").alias("runs"))
+    many = parts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    return parts.join(many, "h", "left_semi").groupBy("uid").agg(F.collect_list("run").alias("runs"))
 
 
 def substring_dedup(docs: DataFrame, window: int = 35, first: int = 18, with_text: bool = False) -> DataFrame:
@@ -166,25 +178,24 @@ def substring_dedup(docs: DataFrame, window: int = 35, first: int = 18, with_tex
     """
     docs = docs.select("doc_id", "text", F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id().alias("uid"))
     runs, seen = repeated_runs(docs, window, first)
-    seen, runs = materialize(seen), materialize(runs)
-    touched = seen.where("copies > 1").select("uid").unionByName(runs.select("uid")).distinct()
-
+    seen = materialize(seen)
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for uid, text, live in zip(pdf["uid"], pdf["text"], pdf["runs"]):
+            for uid, text, live, lone in zip(pdf["uid"], pdf["text"], pdf["runs"], pdf["lone"]):
                 words = byte_words(text)
-                gone = covered(len(words), window, *_bounds(live))
+                alive = _alive(len(words) - window + 1, live)
+                if lone is not None:
+                    alive[_bounds(lone)[0]] = False
+                starts = np.flatnonzero(alive)
+                gone = covered(len(words), window, starts, starts)
                 kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
                 rows.append((uid, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None))
             yield pd.DataFrame(rows, columns=["uid", "n_removed", "kept_sha256", "kept"])
 
     single = seen.where("coalesce(copies, 1) = 1").select("uid")
-    partly = runs.join(single, "uid", "left_semi")
-    ids = partly.select("uid")
-    if ids.count() <= MAX_BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    cuts = docs.select("uid", "text").join(ids, "uid", "left_semi").join(partly, "uid").select("uid", "text", "runs").mapInPandas(cut, "uid long, n_removed long, kept_sha256 string, kept string")
+    partly = materialize(runs.join(single, "uid", "left_semi"))
+    cuts = of_some(docs.select("uid", "text"), partly).select("uid", "text", "runs", "lone").mapInPandas(cut, "uid long, n_removed long, kept_sha256 string, kept string")
     empty = hashlib.sha256(b"").hexdigest()
     many = F.col("copies") > 1
     out = seen.join(cuts, "uid", "left").select(
