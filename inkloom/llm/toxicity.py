@@ -202,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
             got = [features(fold(t or ""), automaton) for t in pdf["text"]]
             yield pd.DataFrame({"a": [g[0] for g in got], "b": [g[1] for g in got], "toxic": pdf["toxic"]})
 
-    table = texts.mapInPandas(measure, "a double, b double, toxic int").orderBy("toxic", "a", "b").toPandas()
+    table = texts.mapInPandas(measure, "a double, b double, toxic int").toPandas().sort_values(["toxic", "a", "b"])
     y = table["toxic"].to_numpy(float)
     lexicon.scale = _logistic(table[["a", "b"]].to_numpy(float), y, np.where(y > 0, sizes[1] / bad, sizes[0] / fine))
     return lexicon
