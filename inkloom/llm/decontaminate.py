@@ -18,13 +18,21 @@ def normal_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(ascii_lower(text), F.lit("")), GAP), lambda w: w != "")
 
 
+def _hash(words: Column, at: Column, n: int) -> Column:
+    """Hash of the ``n`` words from ``at`` (from zero); written out word by word, so that it is compiled."""
+    return F.xxhash64(*[F.get(words, at + k) for k in range(n)])
+
+
 def window_table(items: DataFrame, width: int) -> DataFrame:
     """``(n, hash, window, items)``: each distinct window, its length in words, and the sorted ids with it."""
     words = items.select("item_id", normal_words(F.col("text")).alias("w")).where(F.size("w") > 0)
     n = F.least(F.size("w"), F.lit(width))
     words = words.withColumn("n", n).withColumn("at", F.explode(F.sequence(F.lit(1), F.size("w") - n + 1)))
     window = words.select("item_id", "n", F.slice("w", F.col("at"), F.col("n")).alias("w"))
-    return window.groupBy("n", F.xxhash64("w").alias("hash"), F.array_join("w", " ").alias("window")).agg(
+    hash_of = F.lit(None).cast("long")
+    for k in range(1, width + 1):
+        hash_of = F.when(F.col("n") == k, _hash(F.col("w"), F.lit(0), k)).otherwise(hash_of)
+    return window.groupBy("n", hash_of.alias("hash"), F.array_join("w", " ").alias("window")).agg(
         F.array_sort(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("")))).alias("items")
     )
 
@@ -43,11 +51,10 @@ def hits(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     for n in sorted(r["n"] for r in table.select("n").distinct().collect()):
         grams = table.where(F.col("n") == n).select("hash", "window", "items")
         grams = F.broadcast(grams) if rows <= MAX_BROADCAST_ROWS else grams
-        width_n = F.lit(n)
-        hashes = F.transform(F.sequence(F.lit(1), F.size("w") - width_n + 1), lambda i: F.xxhash64(F.slice("w", i, width_n)))
-        placed = words.where(F.size("w") >= n).select("uid", "w", F.posexplode(hashes).alias("at", "hash"))
+        placed = words.where(F.size("w") >= n).select("uid", "w", F.posexplode("w").alias("at", "word"))
+        placed = placed.where(F.col("at") <= F.size("w") - n).withColumn("hash", _hash(F.col("w"), F.col("at"), n))
         # Equality, said in a way that is not made a join key: it is evaluated only where a hash is found.
-        said = F.array_join(F.slice("w", F.col("at") + 1, width_n), " ")
+        said = F.array_join(F.slice("w", F.col("at") + 1, F.lit(n)), " ")
         same = (placed["hash"] == grams["hash"]) & F.startswith(said, grams["window"]) & (F.char_length(said) <= F.char_length(grams["window"]))
         found.append(placed.join(grams, same).select("uid", "at", F.lit(n).alias("n"), "items"))
     if not found:
