@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, map_column, materialize
+from .common import commonest, lower_words, map_column, materialize
 
 #: Words whose counts every executor holds (bounded: about 100 bytes each); other words' counts are joined.
 HEAD = 200_000
@@ -182,12 +182,12 @@ def brown_scores(docs: DataFrame, head: int = HEAD, words: int = WORDS, endings:
     counts, texts = word_counts(train)
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
     n_all, n_types = int(total["n"] or 0) + texts, int(total["v"]) + (texts > 0)
-    common = counts.orderBy(F.desc("n"), "word").limit(head)
-    heads = {bytes(w): int(n) for w, n in common.toArrow().to_pandas().itertuples(index=False)}
+    common = commonest(counts, head).toArrow().to_pandas()
+    heads = dict(sorted(zip(map(bytes, common["word"]), common["n"].tolist()), key=lambda x: (-x[1], x[0])))
     top = list(heads)[:words]
     tail = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in top], "word binary")), "word", "left_anti") if top else counts
     by_ending = tail.groupBy(F.expr("substring(word, greatest(length(word) - 2, 1), 3)").alias("e")).agg(F.sum("n").alias("n"))
-    units = Units(top, [b"\xff" + bytes(r["e"]) for r in by_ending.orderBy(F.desc("n"), "e").limit(endings).collect()])
+    units = Units(top, sorted(b"\xff" + bytes(r["e"]) for r in commonest(by_ending, endings).collect()))
     pairs = materialize(transitions(train, units))
     own = exchange(pairs, units.size, min(classes, units.size), rounds) if n_all else np.zeros(units.size, np.int64)
     k = int(own.max()) + 1

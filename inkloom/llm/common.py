@@ -37,6 +37,30 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def hashed_sample(rows: DataFrame, hash_column: str, size: int) -> DataFrame:
+    """``size`` of the rows, those of the smallest hashes, or all if there are no more.
+
+    Where there are many more, a first cut by the hash leaves about twice ``size`` rows, so what meets in one task to
+    be ordered doesn't grow with the input or its partitions.
+    """
+    n = rows.count()
+    if n > 4 * size:
+        rows = rows.where(F.pmod(F.col(hash_column), F.lit(1 << 30)) < int((1 << 30) * 2 * size / n))
+    return rows.orderBy(F.pmod(F.col(hash_column), F.lit(1 << 30)), *sorted(rows.columns)).limit(size)
+
+
+def commonest(counts: DataFrame, size: int) -> DataFrame:
+    """Rows ``(..., n)`` of the greatest ``n``, at most ``size``: all that reach a bound found from a small histogram."""
+    step = F.floor(F.log2("n") * 64).cast("int").alias("step")
+    total, least = 0, None
+    for r in sorted(counts.groupBy(step).agg(F.count(F.lit(1)).alias("rows")).collect(), reverse=True):
+        total += r["rows"]
+        if total > size:
+            break
+        least = r["step"]
+    return counts.where(F.floor(F.log2("n") * 64) >= least) if least is not None else counts.limit(0)
+
+
 def byte_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8; ``bytes.split`` splits at just these bytes."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
