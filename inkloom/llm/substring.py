@@ -160,8 +160,9 @@ def of_some(texts: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def _twice(parts: DataFrame) -> DataFrame:
-    """``(uid, runs)`` of the parts whose hash occurs at two places at least."""
-    many = parts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    """``(uid, runs)`` of the parts whose hash occurs at two places at least. The hashes are a table of their own, so
+    that both sides of the join come from shuffles and a hash with very many parts can be split."""
+    many = materialize(parts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     return parts.join(many, "h", "left_semi").groupBy("uid").agg(F.collect_list("run").alias("runs"))
 
 
