@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_column, materialize
+from .common import hashed_sample, map_column, materialize
 
 #: Letters of other scripts, digits and signs that stand for a Latin letter (fixed values).
 LOOKALIKES = {
@@ -138,7 +138,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return Lexicon({}, [], (-3.0 if 1 not in sizes else 3.0, 0.0, 0.0))
-    parts = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for v in (0, 1)]
+    known = known.withColumn("h", F.xxhash64("doc_id"))
+    parts = [hashed_sample(known.where(F.col("toxic") == v), "h", sample) for v in (0, 1)]
     chosen = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
     texts = materialize(chosen.dropDuplicates(["doc_id"]).select("text", "toxic").repartition(2 * spark.sparkContext.defaultParallelism))
 
