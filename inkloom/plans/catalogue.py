@@ -1,6 +1,347 @@
-"""Queries of the engine's own operators over the driver's tables, and their SQL."""
+"""Queries of the engine's own operators over the driver's tables, each with its SQL.
+
+The driver has no images, so tables stand in: order lines are boxes on pages, embeddings are the coefficients of a
+perceptual hash, documents are captions, events are logs and replies.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkloom.functions import bits, geometry, text
+from inkloom.operators import dataset, dedup, panels
+from inkloom.settings import Settings
+from inkloom.sources import markers
+from inkloom.sources.tables import load
+
+SETTINGS = Settings()
+PAGE = 400
+HASH_DISTANCE = 20
+STYLE_WORDS = ("the", "ist", "est", "ing")
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _boxes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = load(spark, sf, "lineitem")
+    return rows.select(
+        F.col("l_orderkey").alias("page"),
+        F.col("l_linenumber").alias("box_no"),
+        (F.col("l_partkey") % 300 - 20).alias("x"),
+        (F.col("l_suppkey") * 7 % 300 - 20).alias("y"),
+        (F.col("l_quantity").cast("bigint") * 9).alias("w"),
+        (F.col("l_partkey") % 37 * 10 + 20).alias("h"),
+        F.lit(PAGE).cast("bigint").alias("page_w"),
+        F.lit(PAGE).cast("bigint").alias("page_h"),
+    )
+
+
+RAW = """raw as (
+  select l_orderkey as page, l_linenumber as box_no, l_partkey % 300 - 20 as x, l_suppkey * 7 % 300 - 20 as y,
+    l_quantity::bigint * 9 as w, l_partkey % 37 * 10 + 20 as h from lineitem)"""
+TRIMMED = f"""{RAW},
+trimmed as (
+  select page, box_no, greatest(x, 0) + 8 as x, greatest(y, 0) + 8 as y,
+    least(x + w, 400) - 8 - (greatest(x, 0) + 8) as w, least(y + h, 400) - 8 - (greatest(y, 0) + 8) as h from raw),
+boxes as (select * from trimmed where w > 0 and h > 0 and w * h >= 10000)"""
+
+
+@query(f"with {TRIMMED} select page, (row_number() over (partition by page order by y, x, box_no) - 1)::int as idx, x, y, w, h from boxes")
+def panel_boxes(spark, sf):
+    return panels.panel_boxes(_boxes(spark, sf), SETTINGS)
+
+
+ROUGH = "select l_orderkey as page, l_quantity::bigint * 9 as w, l_quantity::bigint * 9 as h from lineitem where l_linenumber <= l_orderkey % 5"
+CLASSIFIED = f"""rough as ({ROUGH}),
+found as (select page, count(*) as n, max(w * h) as largest from rough group by page),
+judged as (
+  select o_orderkey as page, coalesce(n, 0) as n,
+    case when coalesce(n, 0) = 0 then 'no panels detected'
+      when n > 2 then 'too many panels (' || n || ' > 2)'
+      when n = 1 and largest >= 0.85 * 160000 then 'splash page (single full-page panel)' end as reason
+  from orders left join found on page = o_orderkey)"""
+
+
+def _classified(spark, sf):
+    side = F.col("l_quantity").cast("bigint") * 9
+    rough = load(spark, sf, "lineitem").where("l_linenumber <= l_orderkey % 5").select(F.col("l_orderkey").alias("page"), side.alias("w"), side.alias("h"))
+    pages = load(spark, sf, "orders").select(F.col("o_orderkey").alias("page"), F.lit(PAGE).alias("page_w"), F.lit(PAGE).alias("page_h"))
+    return panels.classify_pages(pages, rough, SETTINGS.having(max_panels=2))
+
+
+@query(f"with {CLASSIFIED} select * from judged")
+def classify_page(spark, sf):
+    return _classified(spark, sf)
+
+
+@query(f"with {CLASSIFIED} select 'panels' as stage, page::varchar as stem, reason from judged where reason is not null")
+def quarantine(spark, sf):
+    return panels.route(_classified(spark, sf), "panels")[1]
+
+
+@query("""with axis as (select distinct user_id, floor(epoch(ts) / 3600)::bigint as i from events),
+marked as (select *, case when i - lag(i) over w - 1 >= 8 then 1 else 0 end as new from axis window w as (partition by user_id order by i)),
+numbered as (select *, sum(new) over (partition by user_id order by i rows unbounded preceding) as span from marked)
+select user_id, min(i) as start, max(i) + 1 as stop from numbered group by user_id, span having max(i) + 1 - min(i) >= 3""")
+def content_spans(spark, sf):
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    return panels.content_spans(load(spark, sf, "events").select("user_id", hour.alias("i")).distinct(), ["user_id"], 8, 3)
+
+
+@query(f"""with {RAW},
+spans as (
+  select page, greatest(0, ceil(x / 20.0))::bigint as a, least(19, ceil((x + w) / 20.0) - 1)::bigint as b,
+    greatest(0, ceil(y / 20.0))::bigint as c, least(19, ceil((y + h) / 20.0) - 1)::bigint as d from raw),
+cells as (select distinct page, gx, gy from (select page, c, d, unnest(range(a, b + 1)) as gx from spans), range(0, 20) t(gy) where gy between c and d)
+select page, count(*) as cells, count(*) / 400.0::double as coverage from cells group by page""")
+def mask_union_coverage(spark, sf):
+    return panels.coverage(panels.mask_cells(_boxes(spark, sf), 20, PAGE, PAGE), 400)
+
+
+@query("""with c as (select o_orderkey as stem, floor(o_totalprice) / 500000 as coverage from orders)
+select stem, round_even(coverage * 100, 0)::bigint::varchar || '%' as pct,
+  case when coverage > 0.6 then 'excessive mask coverage (' || round_even(coverage * 100, 0)::bigint::varchar || '% > 60%)' end as reason from c""")
+def coverage_pct(spark, sf):
+    c = F.floor("o_totalprice").cast("double") / 500000
+    return load(spark, sf, "orders").select(F.col("o_orderkey").alias("stem"), geometry.percent(c).alias("pct"), geometry.mask_reason(c, SETTINGS.max_mask_coverage).alias("reason"))
+
+
+@query("""with s as (select p_partkey as stem, p_size * 10 as w, p_size * 10 + p_partkey % 50 as h from part)
+select stem, case when least(w, h) >= 256 then w else round_even(w * (256.0::double / least(w, h)), 0) end::bigint as width,
+  case when least(w, h) >= 256 then h else round_even(h * (256.0::double / least(w, h)), 0) end::bigint as height from s""")
+def upscale_dims(spark, sf):
+    w = F.col("p_size") * 10
+    return load(spark, sf, "part").select(F.col("p_partkey").alias("stem"), geometry.upscaled(w, w + F.col("p_partkey") % 50, 256).alias("to")).select("stem", "to.width", "to.height")
+
+
+HASHES = """elems as (select vec_id, embedding, unnest(range(1, 65)) as i from embeddings),
+hashes as (
+  select vec_id, bit_or(case when embedding[i]::double > (list_sort(embedding)[32]::double + list_sort(embedding)[33]::double) / 2 then 1::ubigint << (64 - i)::ubigint else 0::ubigint end) as u
+  from elems group by vec_id)"""
+
+
+def _hashes(spark, sf):
+    return load(spark, sf, "embeddings").select(F.col("vec_id").alias("ord"), bits.above_median_bits(F.transform("embedding", lambda v: v.cast("double"))).alias("h"))
+
+
+@query(f"with {HASHES} select vec_id, lpad(to_hex(u), 16, '0') as phash from hashes")
+def phash_bits(spark, sf):
+    return _hashes(spark, sf).select(F.col("ord").alias("vec_id"), F.lpad(F.hex("h"), 16, "0").alias("phash"))
+
+
+GREEDY = f"""with recursive {HASHES},
+t as materialized (select row_number() over (order by vec_id) as rn, vec_id, u from hashes),
+g(i, ids, ks) as (
+  select 0::bigint, []::bigint[], []::ubigint[]
+  union all
+  select i + 1, case when len(list_filter(ks, lambda x: bit_count(xor(x, u)) < {HASH_DISTANCE})) = 0 then list_append(ids, vec_id) else ids end,
+    case when len(list_filter(ks, lambda x: bit_count(xor(x, u)) < {HASH_DISTANCE})) = 0 then list_append(ks, u) else ks end
+  from g join t on t.rn = g.i + 1),
+kept as (select unnest(ids) as vec_id from g where i = (select max(i) from g))"""
+
+
+@query(f"{GREEDY} select vec_id from kept")
+def greedy_dedup(spark, sf):
+    return dedup.greedy_dedup(_hashes(spark, sf), HASH_DISTANCE).select(F.col("ord").alias("vec_id"))
+
+
+@query(f"{GREEDY} select vec_id from kept")
+def greedy_dedup_rounds(spark, sf):
+    """The way that is taken beyond a bounded number of rows."""
+    return dedup.greedy_dedup(_hashes(spark, sf), HASH_DISTANCE, fold_rows=0).select(F.col("ord").alias("vec_id"))
+
+
+@query(f"""with {HASHES} select x.vec_id as a, y.vec_id as b from hashes x join hashes y on x.vec_id < y.vec_id and bit_count(xor(x.u, y.u)) < 12""")
+def band_candidates(spark, sf):
+    return dedup.close_pairs(_hashes(spark, sf), 12)
+
+
+@query(f"""{GREEDY}, sized as (select vec_id * 7 % 600 as s from kept),
+c as (select count(*) filter (s >= 256) as kept, (select count(*) from embeddings) - count(*) as deduped, count(*) filter (s < 256) as dropped_small, count(*) filter (s >= 256 and s < 400) as upscaled from sized)
+select *, 'clean: kept ' || kept || ', deduped ' || deduped || ', dropped-small ' || dropped_small || ', upscaled ' || upscaled as line from c""")
+def clean_report(spark, sf):
+    rows = _hashes(spark, sf)
+    return dataset.clean_report(dedup.greedy_dedup(rows, HASH_DISTANCE), rows, F.col("ord") * 7 % 600, SETTINGS.min_side_px, 400)
+
+
+@query("""with t as (select doc_id, string_split(coalesce(text, ''), ' ')[1:30] as l from documents),
+k as (select doc_id, list_filter(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: lower(x) <> 'the') as l from t)
+select doc_id, case when len(l) > 0 then 'The, ' || array_to_string(l, ', ') else 'The' end as caption from k""")
+def caption_tags(spark, sf):
+    tags = F.slice(F.split(F.coalesce("text", F.lit("")), " "), 1, 30)
+    return load(spark, sf, "documents").select("doc_id", text.build_caption(F.lit("The"), tags).alias("caption"))
+
+
+@query(r"""with o as (select doc_id, coalesce(lang, '') as t, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) as l from documents)
+select doc_id, rtrim(t || ', ' || case when starts_with(lower(l), lower(t)) then ltrim(l[len(t) + 1:], ' ,') else l end) as caption from o""")
+def normalize_caption(spark, sf):
+    return load(spark, sf, "documents").select("doc_id", text.normalize_caption(F.col("text"), F.coalesce("lang", F.lit(""))).alias("caption"))
+
+
+@query("select vec_id as stem, list_transform(list_filter(range(1, 65), lambda i: i % 3 = 0 and embedding[i]::double >= 0.1), lambda i: 'tag_' || i) as tags from embeddings")
+def select_tags(spark, sf):
+    names = F.array(*[F.lit(f"tag_{i}") for i in range(1, 65)])
+    general = F.array(*[F.lit(i % 3 == 0) for i in range(1, 65)])
+    return load(spark, sf, "embeddings").select(F.col("vec_id").alias("stem"), text.select_tags(F.col("embedding"), names, general, 0.1).alias("tags"))
+
+
+@query("select event_id, (props ->> '$.k')::bigint as k from events")
+def proxy_payload(spark, sf):
+    reply = F.to_json(F.array(F.to_json(F.struct(F.get_json_object("props", "$.k").alias("caption")))))
+    return load(spark, sf, "events").select("event_id", text.service_reply(reply)["caption"].cast("bigint").alias("k"))
+
+
+@query("""select event_id, case event_id % 4 when 0 then 'empty_response' when 1 then 'parse_failed' when 2 then 'http_503' end as error from events""")
+def proxy_errors(spark, sf):
+    kind = F.col("event_id") % 4
+    raw = F.when(kind == 0, F.lit("")).when(kind == 1, F.lit("no json")).when(kind == 2, F.lit('["{\\"error\\": \\"http_503\\"}"]')).otherwise(F.lit('["{\\"caption\\": \\"x\\"}"]'))
+    return load(spark, sf, "events").select("event_id", text.service_reply(raw)["error"].alias("error"))
+
+
+@query("""with e as (select event_id, case event_id % 5 when 0 then 'http_429' when 1 then 'http_404' when 2 then '' when 3 then 'parse_failed' end as error from events)
+select event_id, coalesce(error, '') <> '' and (not starts_with(error, 'http_4') or error = 'http_429') as retry from e""")
+def transient_errors(spark, sf):
+    codes = F.element_at(F.array(*map(F.lit, ("http_429", "http_404", "", "parse_failed", None))), (F.col("event_id") % 5 + 1).cast("int"))
+    return load(spark, sf, "events").select("event_id", text.worth_retrying(codes).alias("retry"))
+
+
+@query("""select doc_id, lang, coalesce(trim(quality::varchar), source) as caption from documents left join labels using (doc_id)""")
+def sidecar_caption(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", "lang", "source")
+    return dataset.with_sidecar(docs, load(spark, sf, "labels"), "doc_id", "quality", F.col("source")).drop("source")
+
+
+@query("select doc_id from documents anti join labels using (doc_id)")
+def unlabelled(spark, sf):
+    return dataset.without(load(spark, sf, "documents").select("doc_id"), load(spark, sf, "labels"), "doc_id")
+
+
+@query("""select o_orderkey as stem, l_partkey, l_linenumber from orders join
+(select l_orderkey, l_partkey, l_linenumber from lineitem qualify row_number() over (partition by l_orderkey order by l_linenumber, l_partkey) = 1) on l_orderkey = o_orderkey""")
+def first_match(spark, sf):
+    lines = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("stem"), "l_partkey", "l_linenumber")
+    return dataset.first_match(load(spark, sf, "orders").select(F.col("o_orderkey").alias("stem")), lines, "stem", "l_linenumber", ["l_partkey", "l_linenumber"])
+
+
+@query("select item_id as row, weight from benchmark, (values (0.0::double), (0.4::double), (0.6::double), (0.8::double), (1.0::double)) w(weight)")
+def eval_grid(spark, sf):
+    return dataset.grid(load(spark, sf, "benchmark").select(F.col("item_id").alias("row")), (0, 0.4, 0.6, 0.8, 1))
+
+
+@query("""select user_id, count(*) filter (event_id % 3 = 0) as failed, count(*) filter (event_id % 3 <> 0) as written,
+coalesce((list('e' || event_id order by event_id) filter (event_id % 3 = 0))[1:10], []) as errors from events group by user_id""")
+def recaption_result(spark, sf):
+    error = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("e"), F.col("event_id").cast("string")))
+    return dataset.recaption_result(load(spark, sf, "events").withColumn("error", error), ["user_id"], "event_id", "error")
+
+
+@query(r"""select lang, count(*) as n, count(*) filter (not starts_with(coalesce(text, ''), 'The')) as not_leading,
+count(*) filter (regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])(the|ist|est|ing)($|[^\p{L}\p{N}_])')) as leaks from documents group by lang""")
+def dataset_gates(spark, sf):
+    return dataset.gates(load(spark, sf, "documents"), ["lang"], "text", F.lit("The"), STYLE_WORDS)
+
+
+@query(r"""with l as (select event_id, case event_id % 4 when 0 then 'epoch ' || event_id % 7 || '/10' when 1 then 'steps: | ' || event_id % 900 || '/2000 [01:30<13:30, avr_loss=' || '0.' || event_id % 90 || ']'
+  when 2 then 'caching | ' || event_id % 50 || '/100' else 'avr_loss=-' end as line from events)
+select event_id, try_cast(nullif(regexp_extract(line, '(\d+)/(\d+)\s*\[', 1), '') as int) as step, try_cast(nullif(regexp_extract(line, '(\d+)/(\d+)\s*\[', 2), '') as int) as total_steps,
+  try_cast(nullif(regexp_extract(line, '^epoch (\d+)/(\d+)', 1), '') as int) as epoch, try_cast(nullif(regexp_extract(line, '^epoch (\d+)/(\d+)', 2), '') as int) as total_epochs,
+  try_cast(nullif(regexp_extract(line, 'avr_loss=([0-9.eE+\-]+)', 1), '') as double) as loss from l""")
+def parse_progress(spark, sf):
+    e = F.col("event_id")
+    line = (
+        F.when(e % 4 == 0, F.concat(F.lit("epoch "), (e % 7).cast("string"), F.lit("/10")))
+        .when(e % 4 == 1, F.concat(F.lit("steps: | "), (e % 900).cast("string"), F.lit("/2000 [01:30<13:30, avr_loss=0."), (e % 90).cast("string"), F.lit("]")))
+        .when(e % 4 == 2, F.concat(F.lit("caching | "), (e % 50).cast("string"), F.lit("/100")))
+        .otherwise(F.lit("avr_loss=-"))
+    )
+    return load(spark, sf, "events").select("event_id", text.training_progress(line).alias("p")).select("event_id", "p.*")
+
+
+PHASES = "case turn % 4 when 0 then 'running' when 1 then 'done' when 2 then 'skipped' else 'error' end"
+
+
+@query(f"""with t as (select conv_id, turn + 1 as idx, count(*) over (partition by conv_id) as total, coalesce(role, '') as name, {PHASES} as phase, length(coalesce(text, '')) as produced from conversations)
+select conv_id, idx, (idx - 1 + case when phase = 'running' then 0.0::double else 1.0::double end) / total as fraction,
+  '[' || idx || '/' || total || '] ' || name || ': ' || case phase when 'running' then 'running' when 'done' then 'done (' || produced || ' produced)' when 'skipped' then 'skipped (off)' else 'error: off' end as line from t""")
+def progress_fraction(spark, sf):
+    from pyspark.sql.window import Window
+
+    turns = load(spark, sf, "conversations")
+    total = F.count(F.lit(1)).over(Window.partitionBy("conv_id"))
+    phase = F.element_at(F.array(*map(F.lit, ("running", "done", "skipped", "error"))), (F.col("turn") % 4 + 1).cast("int"))
+    rows = turns.select("conv_id", (F.col("turn") + 1).alias("idx"), total.alias("total"), F.coalesce("role", F.lit("")).alias("name"), phase.alias("phase"), F.char_length(F.coalesce("text", F.lit(""))).alias("produced"))
+    return rows.select("conv_id", "idx", text.progress_fraction(F.col("idx"), F.col("total"), F.col("phase")).alias("fraction"), text.progress_line(F.col("idx"), F.col("total"), F.col("name"), F.col("phase"), F.col("produced"), F.lit("off")).alias("line"))
+
+
+SUMMARY = ("region", "nation", "documents", "pages", "labels")
+
+
+@query(" union all ".join(f"select '{t.ljust(9)}' as label, count(*) as n from {t}" for t in SUMMARY))
+def run_summary(spark, sf):
+    return dataset.run_summary({t: load(spark, sf, t) for t in SUMMARY})
+
+
+@query("""with e as (select vec_id, embedding as v, list_reverse(embedding) as r from embeddings)
+select vec_id, list_transform(range(1, 65), lambda i: case when abs(trunc(v[i]::double * 1000)::int) > 127 then trunc(r[i]::double * 1000)::int else trunc(v[i]::double * 1000)::int end) as pixels from e""")
+def composite(spark, sf):
+    scaled = F.transform("embedding", lambda v: (v.cast("double") * 1000).cast("int"))
+    return load(spark, sf, "embeddings").select("vec_id", dataset.composite(scaled, F.reverse(scaled), F.transform(scaled, lambda v: F.abs(v))).alias("pixels"))
+
+
+@query("select url, regexp_extract(split_part(url, '?', 1), '[^/]*$') as name, lower(regexp_extract(split_part(url, '?', 1), '\\.([A-Za-z0-9#]+)$', 1)) = 'html' as is_html from pages".replace("\\\\", "\\"))
+def file_names(spark, sf):
+    path = F.substring_index("url", "?", 1)
+    return load(spark, sf, "pages").select("url", text.file_name(path).alias("name"), F.regexp_extract(path, r"\.([A-Za-z0-9#]+)$", 1).eqNullSafe("html").alias("is_html"))
+
+
+@query("""select event_id, list_filter(list_transform(string_split(event_type || ', ,' || user_id::varchar || ' ', ','), lambda v: trim(v)), lambda v: v <> '') as items from events""")
+def comma_list(spark, sf):
+    return load(spark, sf, "events").select("event_id", text.comma_list(F.concat("event_type", F.lit(", ,"), F.col("user_id").cast("string"), F.lit(" "))).alias("items"))
+
+
+@query("""select item_id as file, 0 as block, 'b' || item_id as id, case when item_id % 3 = 0 then ['missing required field: title'] when item_id % 3 = 1 then ['invalid status lost'] else []::varchar[] end as errors
+from benchmark where item_id % 4 <> 3""")
+def marker_extract(spark, sf):
+    n = F.col("item_id")
+    title = F.when(n % 3 == 0, "").otherwise("title: T\n")
+    status = F.when(n % 3 == 1, "status: lost\n").otherwise("status: draft\n")
+    ident = F.when(n % 4 == 3, "").otherwise(F.concat(F.lit("id: b"), n.cast("string"), F.lit("\n")))
+    body = F.concat(F.lit("x\n<START>\n"), ident, title, status, F.lit("<END>\n"), F.coalesce("text", F.lit("")))
+    files = load(spark, sf, "benchmark").select(n.cast("string").alias("file"), body.alias("text"))
+    found = markers.extract_blocks(files, "<START>", "<END>", ("id", "title", "status", "tags"), ("id", "title", "status"), ("draft", "final"))
+    return found.select(F.col("file").cast("bigint").alias("file"), "block", F.col("fields")["id"].alias("id"), "errors")
+
+
+@query("select bool_and(length(r_name) > 3) as ok, max(length(r_name)) as width from region")
+def doctor_verdict(spark, sf):
+    return dataset.all_good(load(spark, sf, "region").select(F.col("r_name").alias("name"), (F.char_length("r_name") > 3).alias("ok")))
+
+
+@query("select event_type as key, arg_max(value, event_id) as last from events where value is not null group by event_type")
+def last_reply(spark, sf):
+    return load(spark, sf, "events").where("value is not null").groupBy(F.col("event_type").alias("key")).agg(F.max_by("value", "event_id").alias("last"))
+
+
+@query("select c_custkey as id, replace(replace('a %PROMPT% by %NAME%', '%PROMPT%', c_mktsegment), '%NAME%', c_name) as graph from customer")
+def fill_template(spark, sf):
+    return load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), text.fill_template(F.lit("a %PROMPT% by %NAME%"), {"PROMPT": F.col("c_mktsegment"), "NAME": F.col("c_name")}).alias("graph"))
+
+
+@query("""select p_partkey as stem, greatest(1, trunc(p_retailprice / 100 - 12)::int) as repeats, greatest(x1, 0)::int as x1 from (select *, least(p_size - 10, 5) as x1 from part)""")
+def settings_clamps(spark, sf):
+    corner = geometry.sorted_corners(F.struct((F.col("p_size") - 10).alias("x1"), F.lit(0).alias("y1"), F.lit(5).alias("x2"), F.lit(1).alias("y2")))
+    return load(spark, sf, "part").select(F.col("p_partkey").alias("stem"), F.greatest(F.lit(1), (F.col("p_retailprice") / 100 - 12).cast("int")).alias("repeats"), F.greatest(corner["x1"], F.lit(0)).alias("x1"))
