@@ -16,9 +16,13 @@ def median(values: Column) -> Column:
 
 
 def above_median_bits(values: Column) -> Column:
-    """A bigint with a bit, the first being the highest, for each of 64 numbers above their median."""
-    middle = median(values)
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: F.shiftleft(acc, 1).bitwiseOR(F.when(v > middle, 1).otherwise(0).cast("bigint")))
+    """A bigint with a bit, the first being the highest, for each of 64 numbers above their median.
+
+    The median is part of the fold's first state, so it is found once a row.
+    """
+    start = F.struct(F.lit(0).cast("bigint").alias("bits"), median(values).alias("m"))
+    step = lambda s, v: F.struct(F.shiftleft(s["bits"], 1).bitwiseOR(F.when(v > s["m"], 1).otherwise(0).cast("bigint")).alias("bits"), s["m"].alias("m"))
+    return F.aggregate(values, start, step, lambda s: s["bits"])
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -29,6 +29,7 @@ def close_pairs(rows: DataFrame, distance: int) -> DataFrame:
     """``(a, b)``: ords of all rows ``(ord, h)``, a < b, that differ in fewer than ``distance`` bits."""
     if distance > BLOCK_LIMIT:
         return _by_chunks(rows, distance)
+    rows = materialize(rows)  # else the hash would be made anew for every block
     keyed = rows.select("ord", "h", F.posexplode(F.array(*bits.blocks(F.col("h"), distance))).alias("block", "bits"))
     x, y = keyed.alias("x"), keyed.alias("y")
     same = (F.col("x.block") == F.col("y.block")) & (F.col("x.bits") == F.col("y.bits")) & (F.col("x.ord") < F.col("y.ord"))
@@ -75,9 +76,9 @@ def greedy_dedup(rows: DataFrame, distance: int, fold_rows: int = FOLD_ROWS) ->
     fewer than ``distance`` bits from one that stayed. A distance of zero keeps all."""
     if distance <= 0:
         return rows
+    rows = materialize(rows)
     if rows.limit(fold_rows + 1).count() <= fold_rows:
         return fold(rows, distance)
-    rows = materialize(rows)
     # Of equal hashes the first stays alone if it stays, and goes with the others if it goes.
     firsts = materialize(rows.groupBy("h").agg(F.min("ord").alias("ord")).select("ord", "h"))
     return resolve(firsts, close_pairs(firsts, distance))

@@ -49,17 +49,25 @@ def content_spans(axis: DataFrame, keys: list[str], min_run: int, min_side: int)
     return spans.where(F.col("stop") - F.col("start") >= min_side).drop("span")
 
 
-def mask_cells(boxes: DataFrame, step: int, page_w: int, page_h: int) -> DataFrame:
-    """Cells ``(page, gx, gy)`` of a grid whose corner lies in any box of ``boxes(page, x, y, w, h)``: their union."""
+def mask_rows(boxes: DataFrame, step: int, page_w: int, page_h: int) -> DataFrame:
+    """The union of a page's boxes ``(page, x, y, w, h)`` on a grid: ``(page, gy, word, bits)``, 64 cells a word.
 
-    def cells(low: str, size: str, limit: int):
+    A cell is set if its corner lies in a box. Each grid row of a box is a few words of bits, joined by ``bit_or``
+    before and after the shuffle, so neither cells nor overlaps are ever rows.
+    """
+
+    def span(low: str, size: str, limit: int):
         first = F.greatest(F.lit(0), F.ceil(F.col(low) / step)).cast("int")
-        last = F.least(F.lit(limit // step - 1), F.ceil((F.col(low) + F.col(size)) / step) - 1).cast("int")
-        return F.explode(F.when(first <= last, F.sequence(first, last)))
+        return first, F.least(F.lit(limit // step - 1), F.ceil((F.col(low) + F.col(size)) / step) - 1).cast("int")
 
-    return boxes.withColumn("gx", cells("x", "w", page_w)).withColumn("gy", cells("y", "h", page_h)).select("page", "gx", "gy").distinct()
+    (a, b), (c, d) = span("x", "w", page_w), span("y", "h", page_h)
+    cut = boxes.select("page", a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d")).where("a <= b and c <= d")
+    rows = cut.withColumn("word", F.explode(F.expr("sequence(a div 64, b div 64)"))).withColumn("gy", F.explode(F.sequence("c", "d")))
+    bits = F.expr("shiftleft(-1L, cast(greatest(a - word * 64, 0) as int)) & shiftrightunsigned(-1L, cast(63 - least(b - word * 64, 63) as int))")
+    return rows.select("page", "gy", F.col("word").cast("int").alias("word"), bits.alias("bits")).groupBy("page", "gy", "word").agg(F.bit_or("bits").alias("bits"))
 
 
-def coverage(cells: DataFrame, total: int) -> DataFrame:
-    """Share of covered cells for each page; no cells in all: zero."""
-    return cells.groupBy("page").agg(F.count(F.lit(1)).alias("cells")).select("page", "cells", F.coalesce(F.try_divide("cells", F.lit(total)), F.lit(0.0)).alias("coverage"))
+def coverage(rows: DataFrame, total: int) -> DataFrame:
+    """Set cells, and their share, for each page of ``mask_rows``; no cells in all: zero."""
+    counted = rows.groupBy("page").agg(F.sum(F.bit_count("bits")).alias("cells"))
+    return counted.select("page", "cells", F.coalesce(F.try_divide("cells", F.lit(total)), F.lit(0.0)).alias("coverage"))

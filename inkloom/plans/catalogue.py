@@ -109,7 +109,7 @@ spans as (
 cells as (select distinct page, gx, gy from (select page, c, d, unnest(range(a, b + 1)) as gx from spans), range(0, 20) t(gy) where gy between c and d)
 select page, count(*) as cells, count(*) / 400.0::double as coverage from cells group by page""")
 def mask_union_coverage(spark, sf):
-    return panels.coverage(panels.mask_cells(_boxes(spark, sf), 20, PAGE, PAGE), 400)
+    return panels.coverage(panels.mask_rows(_boxes(spark, sf), 20, PAGE, PAGE), 400)
 
 
 @query("""with c as (select o_orderkey as stem, floor(o_totalprice) / 500000 as coverage from orders)
