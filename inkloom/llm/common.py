@@ -74,19 +74,23 @@ def lower_words(text: str | None) -> list[bytes]:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``(node, component)``, the smallest node reachable.
 
-    Every round hooks each node to the smallest one next to it, jumps to where that one is hooked, and contracts the
-    edges to the nodes that are left, so edges shrink by the round and the rounds grow with the logarithm of the
-    longest path. Labels and edges stay distributed; each round is checkpointed. Aggregation is partial before each
-    shuffle and the joins are plain equi-joins that AQE can split, so a node with very many edges does not meet in
-    one task. No edges: no rows.
+    Every round hooks each node to the smallest one next to it, follows the hooks to their ends by doubling, and
+    contracts the edges to the nodes that are left, so chains of any length go in one round and edges shrink by the
+    round. Labels and edges stay distributed; each step is checkpointed. Aggregation is partial before each shuffle
+    and the joins are plain equi-joins that AQE can split, so a node with very many edges does not meet in one task.
+    No edges: no rows.
     """
     edges = materialize(_sorted(edges))
     labels = None
     while labels is None or not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m")))
-        jump = hook.select(F.col("node").alias("m"), F.col("m").alias("to"))
-        hook = materialize(hook.join(jump, "m", "left").select("node", F.coalesce("to", "m").alias("to")))
+        hook = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("to")))
+        moving = True
+        while moving:
+            jump = hook.select(F.col("node").alias("to"), F.col("to").alias("far"))
+            far = materialize(hook.join(jump, "to", "left").select("node", "to", F.coalesce("far", "to").alias("far")))
+            moving = not far.where("to <> far").isEmpty()
+            hook = far.select("node", F.col("far").alias("to"))
         if labels is None:
             labels = hook.withColumnRenamed("to", "component")
         else:

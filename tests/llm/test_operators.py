@@ -74,12 +74,11 @@ def test_substring(spark, window, first):
 
 def test_strip_repeats(spark):
     got = {r["doc_id"]: r for r in substring.strip_repeats(docs(spark)).collect()}
-    for doc, text in corpus():
+    for (doc, text), (_, _, gone, _) in zip(corpus(), brute.substring(corpus(), 35)):
         w = brute.WORD.findall(text or "")
-        gone = next(x[2] for x in brute.substring(corpus(), 35) if x[0] == doc and x[1] == len(w))
         if not gone and doc is not None:
             assert got[doc]["text"] == text and got[doc]["n_chars"] == -1
-        elif gone == len(w):
+        elif gone and gone == len(w):
             assert doc not in got
 
 
@@ -157,7 +156,7 @@ def test_poisson_mix(spark):
     df = spark.createDataFrame([(*r, 7) for r in data], "doc_id long, text string, source string, copy int")
     got = mixing.poisson_mix(df, {"hot": 0.7, "tiny": 0.0, "absent": 0.1}, total=20_000)
     n = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    rest = 20_000 * 0.2
+    rest = 20_000 * 0.3
     assert abs(n["hot"] - 14_000) < 5 * math.sqrt(14_000) and abs(n["big"] - rest) < 5 * math.sqrt(rest) and "tiny" not in n
     assert got.columns == ["doc_id", "text", "source", "copy", "shuffle_key"]
     assert by_row(got, *got.columns) == by_row(mixing.poisson_mix(df.repartition(3), {"hot": 0.7, "tiny": 0.0, "absent": 0.1}, total=20_000), *got.columns)
@@ -240,7 +239,7 @@ def toxic_corpus(n=900, seed=4):
         if bad:
             for _ in range(4):
                 w[rng.randrange(len(w))] = rng.choice(["Idiot", "moron", "1d1ot", "mоrоn", "vilbar" + rng.choice("xyz") + "ak"])
-        elif i % 9 == 0:
+        elif i % 31 == 0:
             w[rng.randrange(len(w) - 1) :][:2] = ["idiot", "proof"]
             w += ["idiot", "proof"]
         rows.append((i, " ".join(w)))
