@@ -131,6 +131,8 @@ def runs_of(batches, keys):
         yield held, [0, len(held)]
 
 
+#: Rows that are Python values at a time; Arrow's own batches hold far more.
+FEW = 256
 ARROW = {"long": "int64", "int": "int32", "double": "float64", "boolean": "bool_", "string": "string", "binary": "binary"}
 
 
@@ -150,7 +152,7 @@ def map_column(df: DataFrame, keep: list[str], column: str, start, fields: str)
             return pa.list_(kind(k[6:-1])) if k.startswith("array<") else getattr(pa, ARROW[k])()
 
         make = start()
-        for batch in batches:
+        for batch in (b.slice(i, FEW) for b in batches for i in range(0, b.num_rows, FEW)):
             made = make(batch.column(len(keep)).to_pylist())
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(list(v), kind(k)) for v, k in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, map_column, materialize
+from .common import FEW, byte_words, map_column, materialize
 
 #: An odd multiplier of the window hashes (any odd 64-bit number will do) and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -132,7 +132,7 @@ def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[D
         runs = materialize(runs)
 
         def extend(batches: Iterator[pd.DataFrame], size=size) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
+            for pdf in (p.iloc[i : i + FEW] for p in batches for i in range(0, len(p), FEW)):
                 got = []
                 for uid, text, live in zip(pdf["uid"], pdf["text"], pdf["runs"]):
                     words = byte_words(text)
@@ -181,7 +181,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, first: int = 18, with_tex
     runs, seen = repeated_runs(docs, window, first)
     seen = materialize(seen)
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in (p.iloc[i : i + FEW] for p in batches for i in range(0, len(p), FEW)):
             rows = []
             for uid, text, live, lone in zip(pdf["uid"], pdf["text"], pdf["runs"], pdf["lone"]):
                 words = byte_words(text)

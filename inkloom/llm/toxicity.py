@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, map_column, materialize
+from .common import FEW, hashed_sample, map_column, materialize
 
 #: Letters of other scripts, digits and signs that stand for a Latin letter (fixed values).
 LOOKALIKES = {
@@ -238,7 +238,7 @@ def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> Dat
         import pyarrow as pa
 
         automaton = lexicon.automaton()
-        for batch in batches:
+        for batch in (b.slice(i, FEW) for b in batches for i in range(0, b.num_rows, FEW)):
             texts = batch.column(at).to_pylist()
             yield batch.filter(pa.array([score(fold(t or ""), automaton, lexicon.scale) < threshold for t in texts], pa.bool_()))
 
