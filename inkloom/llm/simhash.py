@@ -28,11 +28,11 @@ def _remixed(hashes: np.ndarray, no: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42, prints: int = 1) -> list[int]:
+def fingerprint(text: str | None, width: int = 4, seed: int = 42, prints: int = 1, repeats: bool = True) -> list[int]:
     """64-bit SimHashes, as signed integers, of the ``width``-word shingles of a text; no words: zero.
 
-    Shingles count as often as they occur; a bit is set if over half of the shingles' XXH64 have it set. Further
-    fingerprints take the same hashes, mixed anew.
+    Shingles count as often as they occur, or once without ``repeats``; a bit is set if over half of the shingles'
+    XXH64 have it set. Further fingerprints take the same hashes, mixed anew.
     """
     words = lower_words(text)
     if not words:
@@ -44,18 +44,20 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42, prints: int =
     else:
         hashes = [digest(joined[a : b - 1], seed) for a, b in zip(starts, ends[width - 1 :])]
     array, out = np.array(hashes, dtype="<u8"), []
+    if not repeats:
+        array = np.unique(array)
     for no in range(prints):
         total = np.zeros(64, np.int64)
         for at in range(0, len(array), 65536):
             bits = np.unpackbits(_remixed(array[at : at + 65536], no).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             total += bits.sum(axis=0, dtype=np.int64)
-        out.append(_signed(sum(1 << i for i in np.flatnonzero(2 * total > len(hashes)).tolist())))
+        out.append(_signed(sum(1 << i for i in np.flatnonzero(2 * total > len(array)).tolist())))
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, prints: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, prints: int = 1, repeats: bool = True) -> DataFrame:
     """``(doc_id, fps)`` for each row of ``docs(doc_id, text)``."""
-    return map_column(docs, ["doc_id"], "text", lambda: lambda texts: [[fingerprint(t, width, seed, prints) for t in texts]], "fps array<long>")
+    return map_column(docs, ["doc_id"], "text", lambda: lambda texts: [[fingerprint(t, width, seed, prints, repeats) for t in texts]], "fps array<long>")
 
 
 def block_masks(distance: int, distinct: int) -> list[int]:
@@ -78,12 +80,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _merge(fps: np.ndarray, ids: np.ndarray, labels: np.ndarray, left: range, right: slice, distance: int) -> list[tuple[int, int]]:
+def _merge(fps: np.ndarray, ids: np.ndarray, labels: np.ndarray, left: range, right: slice, bits: int) -> list[tuple[int, int]]:
     """Link rows of ``left`` to those of ``right``; give back only the links that joined two labels."""
     out = []
     for i in left:
         at = max(i + 1, right.start)
-        near = np.flatnonzero((np.bitwise_count(fps[at : right.stop] ^ fps[i]) <= distance) & (labels[at : right.stop] != labels[i])) + at
+        other = np.flatnonzero(labels[at : right.stop] != labels[i]) + at
+        near = other[np.bitwise_count(fps[other] ^ fps[i]).sum(axis=1, dtype=np.int64) <= bits]
         for j in near.tolist():
             if labels[j] != labels[i]:
                 out.append((int(ids[i]), int(ids[j])))
@@ -91,84 +94,88 @@ def _merge(fps: np.ndarray, ids: np.ndarray, labels: np.ndarray, left: range, ri
     return out
 
 
-def chunk_links(left: np.ndarray, left_ids: np.ndarray, right: np.ndarray, right_ids: np.ndarray, same: bool, distance: int) -> list[tuple[int, int]]:
-    """Links that span the components of one chunk (``same``), or that connect the components of two chunks."""
+def chunk_links(left: np.ndarray, left_ids: np.ndarray, right: np.ndarray, right_ids: np.ndarray, same: bool, bits: int) -> list[tuple[int, int]]:
+    """Links that span the components of one chunk (``same``), or that connect the components of two chunks.
+
+    ``left`` and ``right`` hold a row of fingerprints for each document.
+    """
     n = len(left)
     if same:
-        return _merge(left, left_ids, np.arange(n), range(n), slice(0, n), distance)
+        return _merge(left, left_ids, np.arange(n), range(n), slice(0, n), bits)
     fps, ids = np.concatenate([left, right]), np.concatenate([left_ids, right_ids])
     labels = np.arange(len(fps))
-    _merge(fps, ids, labels, range(n), slice(0, n), distance)
-    _merge(fps, ids, labels, range(n, len(fps)), slice(n, len(fps)), distance)
-    return _merge(fps, ids, labels, range(n), slice(n, len(fps)), distance)
+    _merge(fps, ids, labels, range(n), slice(0, n), bits)
+    _merge(fps, ids, labels, range(n, len(fps)), slice(n, len(fps)), bits)
+    return _merge(fps, ids, labels, range(n), slice(n, len(fps)), bits)
 
 
-def links(prints: DataFrame, distance: int = 4) -> DataFrame:
-    """Links ``(a, b)`` between rows ``(rep, no, fp)`` of one ``no``, each fp once; they have all rows' exact components.
+def links(reps: DataFrame, prints: int = 1, distance: int = 4, bits: int = 4) -> DataFrame:
+    """Links ``(a, b)`` between rows ``(uid, rep, fps)``, each fps once; they have all candidates' exact components.
 
-    Buckets of unrelated fingerprints are small and are joined with themselves. A bucket with over
-    ``SMALL_BUCKET`` rows is dealt into chunks, and each pair of chunks is compared in a task of its own, which
-    gives back no more links than there are components to be joined: memory and rows stay bounded for any bucket.
+    Candidates share a block key of one fingerprint, as do all pairs of which one fingerprint differs in at most
+    ``distance`` bits; they link if all fingerprints together differ in at most ``bits``. Keys travel without the
+    fingerprints, which join those that are not alone in their bucket. Buckets of unrelated fingerprints are small
+    and are joined with themselves. A bucket with over ``SMALL_BUCKET`` rows is dealt into chunks, and each pair of
+    chunks is compared in a task of its own, which gives back no more links than there are components to be joined:
+    memory and rows stay bounded for any bucket.
     """
-    masks = block_masks(distance, prints.count())
+    masks = block_masks(distance, reps.count() * prints)
     # Dealt anew, as each row becomes many and few partitions would be left after coalescing.
-    keyed = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select(
-        "rep", "no", "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("block", "bits")
-    ).select("rep", "fp", F.xxhash64("no", "block", "bits").alias("key"))  # one long; a chance collision only adds candidates
+    keyed = reps.repartition(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))).select("uid", F.posexplode("fps").alias("no", "fp"))
+    keyed = keyed.select("uid", "no", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("block", "masked"))
+    keyed = keyed.select("uid", F.xxhash64("no", "block", "masked").alias("key"))  # one long; a chance collision only adds candidates
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sized = materialize(keyed.join(sizes, "key"))
+    sized = materialize(keyed.join(sizes, "key").join(reps, "uid"))
     small = sized.where(F.col("size") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
+    differing = sum((F.bit_count(F.col("x.fps")[i].bitwiseXOR(F.col("y.fps")[i])) for i in range(prints)), F.lit(0))
     plain = x.join(
         y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.rep") < F.col("y.rep"))
-        & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= distance),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (differing <= bits),
     ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     chunked = sized.where(F.col("size") > SMALL_BUCKET).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
-    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
     paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "fp"
+        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "fps"
     )
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        a, b = pdf[pdf["chunk"] == i], pdf[pdf["chunk"] == j]
-        got = chunk_links(*(p[c].to_numpy().astype(np.int64).view(k) for p in (a, b) for c, k in (("fp", np.uint64), ("rep", np.int64))), bool(i == j), distance)
-        return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
+        sides = []
+        for part in (pdf[pdf["chunk"] == i], pdf[pdf["chunk"] == j]):
+            fps = np.array(part["fps"].tolist(), np.int64).reshape(-1, prints)
+            sides += [fps.view(np.uint64), part["rep"].to_numpy().astype(np.int64)]
+        return pd.DataFrame(chunk_links(*sides, bool(i == j), bits), columns=["a", "b"], dtype="int64")
 
     return plain.unionByName(paired.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long"))
 
 
-def simhash_groups(docs: DataFrame, width: int = 4, distance: int = 4, prints: int = 1) -> DataFrame:
+def simhash_groups(docs: DataFrame, width: int = 4, distance: int = 4, prints: int = 1, bits: int | None = None, repeats: bool = True) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for each row of ``docs(doc_id, text)``; other columns are ignored.
 
-    Documents link if one of their ``prints`` fingerprints differs in at most ``distance`` bits. Equal fingerprints
-    are collapsed before candidates are sought, so a large group of copies is one fingerprint. Null, empty and blank
-    texts have fingerprint zero and link like any other. Repeated rows stay. A row with a null doc_id is given its
-    fingerprint, and the component of its copies if one of them has a doc_id, else null. No rows: no rows.
+    Documents link if their ``prints`` fingerprints together differ in at most ``bits`` (by default ``distance``) and
+    share a block, as all do of which one fingerprint differs in at most ``distance``; with one fingerprint that is
+    each pair within ``distance``. Equal fingerprints are collapsed before candidates are sought, so a large group of
+    copies is one fingerprint. Null, empty and blank texts have fingerprint zero and link like any other. Repeated
+    rows stay. A row with a null doc_id is given its fingerprint, and the component of its copies if one of them has
+    a doc_id, else null. No rows: no rows.
     """
-    found = materialize(fingerprints(docs, width, prints=prints))
-    reps = materialize(found.groupBy("fps").agg(F.min("doc_id").alias("rep")))
-    flat = reps.where("rep is not null").select("rep", F.posexplode("fps").alias("no", "fp"))
-    firsts = materialize(flat.groupBy("no", "fp").agg(F.min("rep").alias("first")))
-    edges = links(firsts.select(F.col("first").alias("rep"), "no", "fp"), distance)
-    if prints > 1:
-        edges = edges.unionByName(flat.join(firsts, ["no", "fp"]).where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b")))
-    groups = components(edges).withColumnRenamed("node", "rep")
+    found = materialize(fingerprints(docs, width, prints=prints, repeats=repeats))
+    reps = materialize(found.groupBy("fps").agg(F.min("doc_id").alias("rep")).select(F.monotonically_increasing_id().alias("uid"), "rep", "fps"))
+    groups = components(links(reps.where("rep is not null"), prints, distance, distance if bits is None else bits)).withColumnRenamed("node", "rep")
     by_fps = reps.join(groups, "rep", "left").select("fps", F.coalesce("component", "rep").alias("component_id"))
     return found.join(by_fps, "fps").select("doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def dedup(docs: DataFrame, width: int = 5, distance: int = 4, prints: int = 5) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 5, distance: int = 4, prints: int = 5, bits: int = 48) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its group; a doc_id that comes twice is kept once.
 
-    Four bits in one of five fingerprints find few pairs below a shingle similarity of 0.8 (measured with four: 17 of 2,090 from
-    0.7 to 0.8) and most pairs above 0.9 (57 % to 0.95, 94 % beyond). Texts without a word are never duplicates of anything, and rows with a null
-    doc_id are kept.
+    48 of 320 bits are what two sets of shingles with a similarity (Jaccard) of 0.8 differ in on average, each
+    shingle counted once. Texts without a word are never duplicates of anything, and rows with a null doc_id are
+    kept.
     """
     wordy = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    groups = simhash_groups(wordy, width, distance, prints)
+    groups = simhash_groups(wordy, width, distance, prints, bits, repeats=False)
     losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(losers, "doc_id", "left_anti")
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
