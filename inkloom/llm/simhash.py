@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,10 +12,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, lower_words, map_column, materialize
+from .common import components, lower_words, map_column, materialize, runs_of
 
 #: Fingerprints of a block bucket up to this many are compared by a self-join; larger buckets in chunks.
-SMALL_BUCKET = 128
+SMALL_BUCKET = 4
 CHUNK = 4096
 
 
@@ -116,7 +117,7 @@ def links(reps: DataFrame, prints: int = 1, distance: int = 4, bits: int = 4) ->
     ``distance`` bits; they link if all fingerprints together differ in at most ``bits``. Keys travel without the
     fingerprints, which join those that are not alone in their bucket. Buckets of unrelated fingerprints are small
     and are joined with themselves. A bucket with over ``SMALL_BUCKET`` rows is dealt into chunks, and each pair of
-    chunks is compared in a task of its own, which gives back no more links than there are components to be joined:
+    chunks is compared by itself, which gives back no more links than there are components to be joined:
     memory and rows stay bounded for any bucket.
     """
     masks = block_masks(distance, reps.count() * prints)
@@ -138,16 +139,24 @@ def links(reps: DataFrame, prints: int = 1, distance: int = 4, bits: int = 4) ->
     paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
         "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "fps"
     )
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        sides = []
-        for part in (pdf[pdf["chunk"] == i], pdf[pdf["chunk"] == j]):
-            fps = np.array(part["fps"].tolist(), np.int64).reshape(-1, prints)
-            sides += [fps.view(np.uint64), part["rep"].to_numpy().astype(np.int64)]
-        return pd.DataFrame(chunk_links(*sides, bool(i == j), bits), columns=["a", "b"], dtype="int64")
-
-    return plain.unionByName(paired.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long"))
+    units = ["key", "i", "j"]
+    paired = paired.repartition(*units).sortWithinPartitions(*units, "chunk")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, bounds in runs_of(batches, units):
+            fps = np.array(pdf["fps"].tolist(), np.int64).reshape(-1, prints).view(np.uint64)
+            ids, i, j, chunk = (pdf[c].to_numpy() for c in ("rep", "i", "j", "chunk"))
+            out = []
+            for a, b in zip(bounds, [*bounds[1:], len(pdf)]):
+                if b - a < 2:
+                    continue
+                cut = a + int((chunk[a:b] == i[a]).sum())
+                right = slice(a, b) if i[a] == j[a] else slice(cut, b)
+                out += chunk_links(fps[a:cut], ids[a:cut], fps[right], ids[right], bool(i[a] == j[a]), bits)
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return plain.unionByName(paired.mapInPandas(compare, "a long, b long"))
 
 
 def simhash_groups(docs: DataFrame, width: int = 4, distance: int = 4, prints: int = 1, bits: int | None = None, repeats: bool = True) -> DataFrame:

@@ -113,6 +113,26 @@ def test_simhash_dedup_keeps_one_of_each_group(spark):
     assert len(out & set(near)) == 1 and {0, 1, 2} <= out and None in out
 
 
+def test_simhash_dedup_finds_similar_texts_and_leaves_others(spark):
+    """Near copies of a shingle similarity above 0.88 go; those below 0.5, and texts that only share a frequent line, stay."""
+    rng = random.Random(8)
+    rows, gone = [], set()
+
+    def edited(text, edits):
+        w = text.split()
+        for k in range(edits):
+            w[(2 * k + 1) * len(w) // (2 * edits)] = f"edit{rng.randrange(10**9)}"
+        return " ".join(w)
+
+    for i in range(40):
+        base = words(rng, 400, 50_000)
+        rows += [(10 * i, base), (10 * i + 1, edited(base, 4)), (10 * i + 2, edited(base, 40))]
+        gone.add(10 * i + 1)
+    line = words(rng, 8, 50_000)
+    rows += [(1000 + i, f"{words(rng, 60, 50_000)} " + " ".join([line] * 50)) for i in range(20)]
+    assert {d for d, _ in rows} - {r["doc_id"] for r in simhash.dedup(docs(spark, rows)).collect()} == gone
+
+
 def test_decontaminate(spark):
     rng = random.Random(9)
     long, short = words(rng, 30, 500), "Quick, quick FOX!"
