@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from statistics import NormalDist
 
 import numpy as np
@@ -14,43 +15,91 @@ from pyspark.sql import functions as F
 from .common import components, map_column, materialize, runs_of
 
 CHUNK = 1024
+#: Random pairs on which the bound of the filters is calibrated.
+PAIRS = 10_000
 
 
 class ProductCode:
-    """Filter directions: every concatenation of one random unit vector per block, ``size`` of them a block."""
+    """Filter directions: every concatenation of one random unit vector per block, ``size`` of them a block, in axes
+    turned by a random rotation. All from the seed.
 
-    def __init__(self, dim: int, blocks: int, size: int, per_vector: float, seed: int) -> None:
+    The bound for a filter is calibrated: on random pairs at a cosine of ``least_cosine``, the share ``recall`` and a
+    margin have a filter in common. A random rotation makes any pair like a random one, so that share holds for all
+    pairs at that cosine, and closer ones share more. The bound is never above that of ``per_vector`` filters a vector.
+    """
+
+    def __init__(self, dim: int, blocks: int, size: int, per_vector: float, seed: int, least_cosine: float, recall: float) -> None:
         rng = np.random.default_rng([seed, dim, blocks, size])
-        self.blocks = min(blocks, dim)
-        self.cuts = [round(dim * i / self.blocks) for i in range(self.blocks + 1)]
+        blocks = min(blocks, dim)
+        cuts = [round(dim * i / blocks) for i in range(blocks + 1)]
+        turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.books = []
-        for a, b in zip(self.cuts, self.cuts[1:]):
+        for a, b in zip(cuts, cuts[1:]):
             book = rng.standard_normal((size, b - a))
-            self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True) / math.sqrt(self.blocks))
+            self.books.append(_grid(turn[:, a:b] @ (book / np.linalg.norm(book, axis=1, keepdims=True) / math.sqrt(blocks)).T))
         self.size = size
-        tail = min(0.5, per_vector / size**self.blocks)
-        self.least = NormalDist().inv_cdf(1 - tail) / math.sqrt(dim)
+        tail = min(0.5, per_vector / size**blocks)
+        self.least = float(_grid(NormalDist().inv_cdf(1 - tail) / math.sqrt(dim)))
+        x, y = _pairs_at(rng, PAIRS, dim, least_cosine)
+        reach = np.sort([self._common(p, q) for p, q in zip(self._products(x), self._products(y))])
+        # Of the pairs, a share that is so small that three standard errors more are still within 1 - recall.
+        missed = max(0.0, 1 - recall - 3 * math.sqrt(recall * (1 - recall) / PAIRS))
+        self.least = min(self.least, float(reach[int(missed * PAIRS)]))
+
+    def _products(self, unit: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """For each vector its products with each block's vectors: exact, as all factors are on a grid, so that a vector
+        has the same filters in whatever batch it comes."""
+        products = [_grid(unit) @ book for book in self.books]
+        for i in range(len(unit)):
+            yield [p[i] for p in products]
+
+    def _common(self, p: list[np.ndarray], q: list[np.ndarray]) -> float:
+        """The highest bound at which two vectors share a filter; -1 if that is below all that can be of use."""
+        width = 0.05
+        while True:
+            # A filter in which both reach t has a mean of at least t; those of the mean's highest are looked at first.
+            mean = [(a + b) / 2 for a, b in zip(p, q)]
+            top = sum(m.max() for m in mean)
+            ids = self._reach(mean, top - width)
+            both = np.minimum(*(sum(x[ids // self.size ** (len(r) - 1 - k) % self.size] for k, x in enumerate(r)) for r in (p, q))).max()
+            if both >= top - width or width > 4:
+                return float(both)
+            width *= 2
+
+    def _reach(self, products: list[np.ndarray], least: float) -> np.ndarray:
+        """Ids of all directions whose product is at least ``least``: block by block, part sums go on only if the best
+        that the remaining blocks can add reaches it."""
+        rest = [*itertools.accumulate((float(p.max()) for p in products[:0:-1]), initial=0.0)][::-1]
+        ids, sums = np.zeros(1, np.int64), np.zeros(1)
+        for p, more in zip(products, rest):
+            near = np.flatnonzero(p >= least - sums.max() - more)
+            total = sums[:, None] + p[near][None, :]
+            x, y = np.nonzero(total >= least - more)
+            ids, sums = ids[x] * self.size + near[y], total[x, y]
+        return ids
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """For each unit vector the sorted ids of all directions whose product with it is at least ``least``.
 
-        Block by block, part sums go on only if the best that the remaining blocks can add reaches the bound. A
-        vector that reaches no direction takes the nearest one.
+        A vector that reaches no direction takes the nearest one.
         """
-        products = [unit[:, a:b] @ book.T for (a, b), book in zip(zip(self.cuts, self.cuts[1:]), self.books)]
-        best = np.stack([p.max(axis=1) for p in products], axis=1)
-        rest = np.concatenate([np.cumsum(best[:, ::-1], axis=1)[:, ::-1][:, 1:], np.zeros((len(unit), 1))], axis=1)
-        out = []
-        for i in range(len(unit)):
-            least = min(self.least, best[i].sum() - 1e-12)
-            ids, sums = np.zeros(1, np.int64), np.zeros(1)
-            for k, p in enumerate(products):
-                near = np.flatnonzero(p[i] >= least - sums.max() - rest[i, k])
-                total = sums[:, None] + p[i][near][None, :]
-                x, y = np.nonzero(total >= least - rest[i, k])
-                ids, sums = ids[x] * self.size + near[y], total[x, y]
-            out.append(np.sort(ids))
-        return out
+        return [np.sort(self._reach(p, min(self.least, sum(float(x.max()) for x in p)))) for p in self._products(unit)]
+
+
+def _grid(x):
+    """Rounded to multiples of 2**-24: sums of products of two such numbers, of vectors of length one, are exact."""
+    return np.round(np.asarray(x) * 2.0**24) / 2.0**24
+
+
+def _pairs_at(rng: np.random.Generator, n: int, dim: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors at a cosine; in one dimension, where there are none, equal ones."""
+    x, y = rng.standard_normal((2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if dim == 1:
+        return x, x
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return x, cosine * x + math.sqrt(1 - cosine * cosine) * y
 
 
 def code_shape(n: int, per_vector: float, bucket: float = 24.0) -> tuple[int, int]:
@@ -60,7 +109,7 @@ def code_shape(n: int, per_vector: float, bucket: float = 24.0) -> tuple[int, in
     return blocks, math.ceil(filters ** (1 / blocks))
 
 
-def _links(unit: np.ndarray, codes: list[np.ndarray], weight: np.ndarray, at: int, left: int, least: float):
+def _links(unit: np.ndarray, decode: Callable[[np.ndarray], list[np.ndarray]], weight: np.ndarray, at: int, left: int, least: float):
     """In one filter: each row's copies linked here first, and links that span the components.
 
     ``left``: rows of the first chunk; only pairs across the two chunks count, or, if it is zero, all pairs.
@@ -72,14 +121,16 @@ def _links(unit: np.ndarray, codes: list[np.ndarray], weight: np.ndarray, at: in
         near[:left, :left] = near[left:, left:] = False
     if not near.any():
         return np.zeros(n, np.int64), []
-    lower = [c[c < at] for c in codes]
+    some = np.flatnonzero(near.any(axis=1))
+    lower = [c[c < at] for c in decode(unit[some])]
     flat = np.concatenate(lower)
     first = near
     if len(flat):
         names, at_name = np.unique(flat, return_inverse=True)
-        member = np.zeros((n, len(names)), np.float32)
-        member[np.repeat(np.arange(n), [len(c) for c in lower]), at_name] = 1
-        first = near & (member @ member.T < 0.5)  # pairs that share a smaller filter are counted there
+        member = np.zeros((len(some), len(names)), np.float32)
+        member[np.repeat(np.arange(len(some)), [len(c) for c in lower]), at_name] = 1
+        first = near.copy()
+        first[np.ix_(some, some)] &= member @ member.T < 0.5  # pairs that share a smaller filter are counted there
     degree = first.astype(np.float64) @ weight
     labels, edges = np.arange(n), []
     for i in range(n):
@@ -90,12 +141,13 @@ def _links(unit: np.ndarray, codes: list[np.ndarray], weight: np.ndarray, at: in
     return degree.astype(np.int64), edges
 
 
-def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: float = 24.0, seed: int = 42) -> DataFrame:
+def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: float = 24.0, seed: int = 42, recall: float = 0.99) -> DataFrame:
     """Per row of ``vectors(vec_id, embedding)``: vec_id, n_links, component_id, kept.
 
     Two vectors of one length link if they fall in a common filter and their cosine, in double precision, is at least
-    ``least``; no other pair links. ``per_vector`` is the mean number of filters a vector falls in: at 24 and a cosine
-    of 0.9 the share of pairs found is above 0.99 (measured in the tests). Equal vectors are one vector with a count and
+    ``least``; no other pair links. Of the pairs at just ``least`` the share ``recall`` is found, and more of closer ones,
+    for any number of vectors: a vector falls in as many filters as that takes, at least about ``per_vector`` of them
+    in the mean, and a slowly growing number as there are more vectors. Equal vectors are one vector with a count and
     always link. A filter's vectors are dealt into chunks, and each pair of chunks is compared in one task, which
     gives back a count per vector and a spanning set of links, never all pairs.
 
@@ -113,7 +165,10 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
 
     rows = materialize(map_column(vectors, ["vec_id"], "embedding", lambda: clean, "raw binary"))
     distinct = materialize(rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("rep is not null"))
-    blocks, size = code_shape(distinct.count(), per_vector)
+    made = {}
+    for r in distinct.groupBy((F.octet_length("raw") / 8).cast("int").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect():
+        made[r["dim"]] = ProductCode(r["dim"], *code_shape(r["n"], per_vector), per_vector, seed, least, recall)
+    shared = vectors.sparkSession.sparkContext.broadcast(made)
 
     def unit_of(raws) -> np.ndarray:
         x = np.stack([np.frombuffer(r, np.float64) for r in raws])
@@ -121,35 +176,33 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
         return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes: dict[int, ProductCode] = {}
         for pdf in batches:
             for dim, part in pdf.groupby(pdf["raw"].map(len) // 8):
-                code = codes.setdefault(dim, ProductCode(dim, blocks, size, per_vector, seed))
-                got = code.decode(unit_of(part["raw"]))
+                if dim not in shared.value:  # alone in its length
+                    continue
                 for lo in range(0, len(part), 512):
-                    few, lists = part.iloc[lo : lo + 512], got[lo : lo + 512]
-                    times = [len(c) for c in lists]
-                    at = np.repeat(np.arange(len(few)), times)
-                    yield pd.DataFrame({"dim": dim, "filter": np.concatenate(lists), "rep": few["rep"].to_numpy()[at], "copies": few["copies"].to_numpy()[at], "raw": few["raw"].to_numpy()[at], "codes": pd.Series(lists, dtype=object).to_numpy()[at]})
+                    few = part.iloc[lo : lo + 512]
+                    lists = shared.value[dim].decode(unit_of(few["raw"]))
+                    yield pd.DataFrame({"dim": dim, "filter": np.concatenate(lists), "rep": np.repeat(few["rep"].to_numpy(), [len(c) for c in lists])})
 
-    filed = materialize(distinct.mapInPandas(spread, "dim int, filter long, rep long, copies long, raw binary, codes array<long>"))
+    filed = materialize(distinct.select("raw", "rep").mapInPandas(spread, "dim int, filter long, rep long"))
     sizes = filed.groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).drop("size")
     chunked = filed.join(sizes, ["dim", "filter"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     units = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
     units = units.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("other", "chunks")
     keys = ["dim", "filter", "i", "j"]
-    units = units.repartition(*keys).sortWithinPartitions(*keys, "chunk")
+    units = units.join(distinct, "rep").repartition(*keys).sortWithinPartitions(*keys, "chunk")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, bounds in runs_of(batches, keys):
             out = []
-            raw, reps, copies, lists, chunk = pdf["raw"].to_numpy(), pdf["rep"].to_numpy(), pdf["copies"].to_numpy(), pdf["codes"].to_numpy(), pdf["chunk"].to_numpy()
-            filters, i, j = pdf["filter"].to_numpy(), pdf["i"].to_numpy(), pdf["j"].to_numpy()
+            raw, reps, copies, chunk = pdf["raw"].to_numpy(), pdf["rep"].to_numpy(), pdf["copies"].to_numpy(), pdf["chunk"].to_numpy()
+            dims, filters, i, j = pdf["dim"].to_numpy(), pdf["filter"].to_numpy(), pdf["i"].to_numpy(), pdf["j"].to_numpy()
             for a, b in zip(bounds, [*bounds[1:], len(pdf)]):
                 if b - a < 2:
                     continue
                 left = int((chunk[a:b] == i[a]).sum()) if i[a] != j[a] else 0
-                degree, edges = _links(unit_of(raw[a:b]), list(lists[a:b]), copies[a:b].astype(np.float64), filters[a], left, least)
+                degree, edges = _links(unit_of(raw[a:b]), shared.value[dims[a]].decode, copies[a:b].astype(np.float64), filters[a], left, least)
                 out += [(int(r), None, int(d)) for r, d in zip(reps[a:b], degree) if d]
                 out += [(int(reps[a + x]), int(reps[a + y]), 0) for x, y in edges]
             if out:

@@ -215,6 +215,18 @@ def test_embedding(spark, monkeypatch, chunk):
     assert embedding.embedding_neighbours(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [2000, 10_000, 100_000, 1_000_000])
+def test_embedding_recall_at_the_bound(n):
+    """Pairs at 0.90 to 0.92 alone, on axes and at random, whatever the number of vectors."""
+    code = embedding.ProductCode(64, *embedding.code_shape(n, 24.0), 24.0, 42, 0.9, 0.99)
+    rng = np.random.default_rng(5)
+    x, y = (np.concatenate(p) for p in zip(*[embedding._pairs_at(rng, 150, 64, c) for c in (0.9, 0.91, 0.92)]))
+    found = sum(bool(set(a.tolist()) & set(b.tolist())) for a, b in zip(code.decode(x), code.decode(y)))
+    assert found / len(x) >= 0.975
+    whole, one = code.decode(x[:50]), [code.decode(v[None])[0] for v in x[:50]]
+    assert all((a == b).all() for a, b in zip(whole, one))
+
+
 def test_html():
     tree = html_text.grow(np.array(html_text.LABELLED, float))
     page = (
