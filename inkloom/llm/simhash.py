@@ -1,4 +1,4 @@
-"""Operator 5: SimHash near-duplicate groups by pigeonhole blocks."""
+"""Operator 5: SimHash near-duplicate groups by pigeonhole blocks; and the near-copy stage, by min-hash keys and similarity."""
 
 from __future__ import annotations
 
@@ -17,6 +17,8 @@ from .common import components, lower_words, map_column, materialize, runs_of
 #: Fingerprints of a block bucket up to this many are compared by a self-join; larger buckets in chunks.
 SMALL_BUCKET = 4
 CHUNK = 4096
+#: Min-hash keys a document, and smallest hashes a key, of the near-copy stage.
+BANDS, ROWS = 16, 5
 
 
 def _remixed(hashes: np.ndarray, no: int) -> np.ndarray:
@@ -29,22 +31,29 @@ def _remixed(hashes: np.ndarray, no: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42, prints: int = 1, repeats: bool = True) -> list[int]:
-    """64-bit SimHashes, as signed integers, of the ``width``-word shingles of a text; no words: zero.
-
-    Shingles count as often as they occur, or once without ``repeats``; a bit is set if over half of the shingles'
-    XXH64 have it set. Further fingerprints take the same hashes, mixed anew.
-    """
+def _hashes(text: str | None, width: int, seed: int) -> np.ndarray:
+    """XXH64 of each shingle of a text, as often as it occurs; a text of fewer words is one shingle, of none has none."""
     words = lower_words(text)
     if not words:
-        return [0] * prints
+        return np.zeros(0, "<u8")
     joined, ends = b" ".join(words), list(itertools.accumulate(len(w) + 1 for w in words))
     starts, digest = [0, *ends], xxhash.xxh64_intdigest
     if len(words) <= width:
         hashes = [digest(joined, seed)]
     else:
         hashes = [digest(joined[a : b - 1], seed) for a, b in zip(starts, ends[width - 1 :])]
-    array, out = np.array(hashes, dtype="<u8"), []
+    return np.array(hashes, dtype="<u8")
+
+
+def fingerprint(text: str | None, width: int = 4, seed: int = 42, prints: int = 1, repeats: bool = True) -> list[int]:
+    """64-bit SimHashes, as signed integers, of the ``width``-word shingles of a text; no words: zero.
+
+    Shingles count as often as they occur, or once without ``repeats``; a bit is set if over half of the shingles'
+    XXH64 have it set. Further fingerprints take the same hashes, mixed anew.
+    """
+    array, out = _hashes(text, width, seed), []
+    if not len(array):
+        return [0] * prints
     if not repeats:
         array = np.unique(array)
     for no in range(prints):
@@ -176,15 +185,112 @@ def simhash_groups(docs: DataFrame, width: int = 4, distance: int = 4, prints: i
     return found.join(by_fps, "fps").select("doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def dedup(docs: DataFrame, width: int = 5, distance: int = 4, prints: int = 5, bits: int = 48) -> DataFrame:
+def min_hash_keys(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS, seed: int = 42) -> list[int]:
+    """A key for each band: the hash of ``rows`` smallest hashes of a set of shingles, each under a mix of its own."""
+    rng = np.random.default_rng(seed)
+    factors = rng.integers(0, 1 << 64, (bands * rows, 1), np.uint64) | np.uint64(1)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max)
+    for at in range(0, len(shingles), 2048):
+        part = _remixed(shingles[at : at + 2048], 1)[None, :] ^ (factors >> np.uint64(1))
+        least = np.minimum(least, (part * factors).min(axis=1))
+    return [_signed(xxhash.xxh64_intdigest(b.astype("<u8").tobytes(), i)) for i, b in enumerate(least.reshape(bands, rows))]
+
+
+def _shingled(width: int, seed: int):
+    def of(texts: list) -> tuple[list, ...]:
+        sets = [np.unique(_hashes(t, width, seed)) for t in texts]
+        return [min_hash_keys(x) for x in sets], [x.view(np.int64) for x in sets], [xxhash.xxh128_digest(x.tobytes()) for x in sets]
+
+    return of
+
+
+def set_links(sets: list[np.ndarray], ids: np.ndarray, cut: int, least: float) -> list[tuple[int, int]]:
+    """Links, of pairs of sorted sets with a similarity of ``least`` or more, that span the components.
+
+    With ``cut`` below the number of sets, only pairs across it count: links that connect the components of both parts.
+    """
+    n, lengths, labels, out = len(sets), np.array([len(x) for x in sets]), np.arange(len(sets)), []
+
+    def merge(left: range, right: range) -> None:
+        for i in left:
+            at = max(i + 1, right.start)
+            other = np.flatnonzero(labels[at : right.stop] != labels[i]) + at
+            other = other[np.minimum(lengths[other], lengths[i]) >= least * np.maximum(lengths[other], lengths[i])]
+            for lo in range(0, len(other), 256):
+                few = other[lo : lo + 256]
+                few = few[labels[few] != labels[i]]
+                if not len(few):
+                    continue
+                all_of = np.concatenate([sets[j] for j in few])
+                spot = np.minimum(np.searchsorted(sets[i], all_of), lengths[i] - 1)
+                common = np.add.reduceat((sets[i][spot] == all_of).astype(np.int64), np.cumsum(lengths[few]) - lengths[few])
+                for j in few[common / (lengths[few] + lengths[i] - common) >= least].tolist():
+                    if labels[j] != labels[i]:
+                        out.append((int(ids[i]), int(ids[j])))
+                        labels[labels == labels[j]] = labels[i]
+
+    merge(range(cut), range(cut))
+    if cut < n:
+        merge(range(cut, n), range(cut, n))
+        out.clear()
+        merge(range(cut), range(cut, n))
+    return out
+
+
+def similar_links(reps: DataFrame, least: float) -> DataFrame:
+    """Links ``(a, b)`` between rows ``(rep, keys, shingles)``, each set of shingles once; they have the exact
+    components of the candidates, pairs that share a key, whose similarity is at least ``least``.
+
+    Pairs of small buckets are compared once each. Larger buckets are dealt into chunks, as in ``links``.
+    """
+    keyed = reps.select("rep", F.explode("keys").alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sized = materialize(keyed.join(sizes, "key"))
+    small = sized.where(F.col("size") <= SMALL_BUCKET)
+    x, y = small.alias("x"), small.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    for c in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")), c)
+    common, both = F.size(F.array_intersect("a_set", "b_set")), F.size("a_set") + F.size("b_set")
+    plain = pairs.where(common / (both - common) >= least).select("a", "b")
+    chunked = sized.where(F.col("size") > SMALL_BUCKET).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
+    chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
+        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep"
+    )
+    units = ["key", "i", "j"]
+    paired = paired.join(reps.select("rep", "shingles"), "rep").repartition(*units).sortWithinPartitions(*units, "chunk")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        few = (pdf.iloc[lo : lo + CHUNK] for pdf in batches for lo in range(0, len(pdf), CHUNK))
+        for pdf, bounds in runs_of(few, units):
+            ids, i, j, chunk, sets = (pdf[c].to_numpy() for c in ("rep", "i", "j", "chunk", "shingles"))
+            out = []
+            for a, b in zip(bounds, [*bounds[1:], len(pdf)]):
+                if b - a < 2:
+                    continue
+                cut = b - a if i[a] == j[a] else int((chunk[a:b] == i[a]).sum())
+                out += set_links([np.sort(x.view(np.uint64)) for x in sets[a:b]], ids[a:b], cut, least)
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return plain.unionByName(paired.mapInPandas(compare, "a long, b long"))
+
+
+def dedup(docs: DataFrame, width: int = 5, least: float = 0.8, seed: int = 42) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its group; a doc_id that comes twice is kept once.
 
-    48 of 320 bits are what two sets of shingles with a similarity (Jaccard) of 0.8 differ in on average, each
-    shingle counted once. Texts without a word are never duplicates of anything, and rows with a null doc_id are
-    kept.
+    Documents link if their sets of ``width``-word shingles have a similarity (Jaccard) of at least ``least``, which
+    is computed for each pair of candidates. Candidates share one of ``BANDS`` min-hash keys, whose length doesn't
+    depend on the input: pairs of a similarity s do with a chance of 1 - (1 - s ** ROWS) ** BANDS, 0.998 at 0.8. Texts
+    without a word are never duplicates of anything, and rows with a null doc_id are kept.
     """
     wordy = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    groups = simhash_groups(wordy, width, distance, prints, bits, repeats=False)
-    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(losers, "doc_id", "left_anti")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    found = materialize(map_column(wordy, ["doc_id"], "text", lambda: _shingled(width, seed), "keys array<long>, shingles array<long>, digest binary"))
+    first = found.groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    reps = materialize(found.join(first, (F.col("doc_id") == F.col("rep")) & (found["digest"] == first["digest"])).select("rep", "keys", "shingles"))
+    groups = components(similar_links(reps, least)).withColumnRenamed("node", "rep")
+    named = first.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    losers = found.join(named, "digest").where("doc_id <> component").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(losers, "doc_id", "left_anti")
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -187,6 +187,28 @@ def test_poisson_mix(spark):
     assert mixing.poisson_mix(df.limit(0), {"hot": 0.7}).count() == 0
 
 
+@pytest.mark.parametrize("small", [4, 1])
+def test_simhash_dedup_by_brute_force(spark, monkeypatch, small):
+    """Pairs on either side of a five-word similarity of 0.8, in few and in many rows: those of 0.8 and more go."""
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
+    monkeypatch.setattr(simhash, "CHUNK", 3)
+    rng = random.Random(9)
+    rows, sets, gone = [], {}, set()
+    for i in range(200):
+        w = words(rng, 150, 50_000).split()
+        for k in range(3):
+            edited = list(w)
+            for at in rng.sample(range(150), k and rng.randrange(1, 8)):
+                edited[at] = f"edit{rng.randrange(10**9)}"
+            rows.append((3 * i + k, " ".join(edited)))
+            sets[3 * i + k] = {tuple(edited[a : a + 5]) for a in range(146)}
+        link = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 for a, b in ((3 * i, 3 * i + 1), (3 * i, 3 * i + 2), (3 * i + 1, 3 * i + 2))}
+        ab, ac, bc = link.values()
+        gone |= ({3 * i + 1} if ab or (ac and bc) else set()) | ({3 * i + 2} if ac or bc else set())
+    got = {d for d, _ in rows} - {r["doc_id"] for r in simhash.dedup(docs(spark, rows)).collect()}
+    assert got <= gone and len(got) >= 0.98 * len(gone) > 50
+
+
 def vectors(spark, n=1500, seed=0):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, 64)).astype(np.float32)
