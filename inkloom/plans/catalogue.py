@@ -76,9 +76,9 @@ judged as (
   from orders left join found on page = o_orderkey)"""
 
 
-def _classified(spark, sf):
+def _classified(spark, sf, lines="l_linenumber <= l_orderkey % 5"):
     side = F.col("l_quantity").cast("bigint") * 9
-    rough = load(spark, sf, "lineitem").where("l_linenumber <= l_orderkey % 5").select(F.col("l_orderkey").alias("page"), side.alias("w"), side.alias("h"))
+    rough = load(spark, sf, "lineitem").where(lines).select(F.col("l_orderkey").alias("page"), side.alias("w"), side.alias("h"))
     pages = load(spark, sf, "orders").select(F.col("o_orderkey").alias("page"), F.lit(PAGE).alias("page_w"), F.lit(PAGE).alias("page_h"))
     return panels.classify_pages(pages, rough, SETTINGS.having(max_panels=2))
 
@@ -93,6 +93,20 @@ def quarantine(spark, sf):
     return panels.route(_classified(spark, sf), "panels")[1]
 
 
+WHOLE = CLASSIFIED.replace(" where l_linenumber <= l_orderkey % 5", "")
+
+
+@query(f"with {WHOLE} select * from judged")
+def classify_page_whole(spark, sf):
+    """All lines are boxes."""
+    return _classified(spark, sf, "true")
+
+
+@query(f"with {WHOLE} select 'panels' as stage, page::varchar as stem, reason from judged where reason is not null")
+def quarantine_whole(spark, sf):
+    return panels.route(_classified(spark, sf, "true"), "panels")[1]
+
+
 @query("""with axis as (select distinct user_id, floor(epoch(ts) / 3600)::bigint as i from events),
 marked as (select *, case when i - lag(i) over w - 1 >= 8 then 1 else 0 end as new from axis window w as (partition by user_id order by i)),
 numbered as (select *, sum(new) over (partition by user_id order by i rows unbounded preceding) as span from marked)

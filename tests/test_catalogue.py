@@ -14,3 +14,9 @@ def test_entry(spark, sf_dir):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_whole_pages_have_all_lines(spark, sf_dir):
+    lines = {r["l_orderkey"]: r["count"] for r in spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").count().collect()}
+    got = {r["page"]: r["n"] for r in catalogue.QUERIES["classify_page_whole"](spark, sf_dir).collect()}
+    assert got == {page: lines.get(page, 0) for page in got} and set(lines) <= set(got)
