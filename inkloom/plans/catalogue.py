@@ -200,6 +200,17 @@ def caption_tags(spark, sf):
     return load(spark, sf, "documents").select("doc_id", text.build_caption(F.lit("The"), tags).alias("caption"))
 
 
+@query("""with r as materialized (select row_number() over () as uid, doc_id, string_split(coalesce(text, ''), ' ') as l from documents),
+w as (select uid, unnest(l) as x, unnest(range(1, len(l) + 1)) as p from r),
+f as (select uid, x, min(p) as p from w where lower(x) <> 'the' group by uid, x),
+k as (select uid, string_agg(x, ', ' order by p) as c from f group by uid)
+select doc_id, 'The' || coalesce(', ' || c, '') as caption from r left join k using (uid)""")
+def caption_tags_whole(spark, sf):
+    """All words of a text are tags."""
+    tags = F.split(F.coalesce("text", F.lit("")), " ")
+    return load(spark, sf, "documents").select("doc_id", text.build_caption(F.lit("The"), tags).alias("caption"))
+
+
 @query(r"""with o as (select doc_id, coalesce(lang, '') as t, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) as l from documents)
 select doc_id, rtrim(t || ', ' || case when starts_with(lower(l), lower(t)) then ltrim(l[len(t) + 1:], ' ,') else l end) as caption from o""")
 def normalize_caption(spark, sf):
