@@ -204,12 +204,13 @@ def _shingled(width: int, seed: int):
     return of
 
 
-def set_links(sets: list[np.ndarray], ids: np.ndarray, cut: int, least: float) -> list[tuple[int, int]]:
-    """Links, of pairs of sorted sets with a similarity of ``least`` or more, that span the components.
+def set_links(sets: list[np.ndarray], ids: np.ndarray, groups: np.ndarray, cut: int, least: float) -> list[tuple[int, int]]:
+    """Links, of pairs of sorted sets with a similarity of ``least`` or more, that span the components. ``groups``: those that are
+    known to be linked.
 
     With ``cut`` below the number of sets, only pairs across it count: links that connect the components of both parts.
     """
-    n, lengths, labels, out = len(sets), np.array([len(x) for x in sets]), np.arange(len(sets)), []
+    n, lengths, labels, out = len(sets), np.array([len(x) for x in sets]), groups.copy(), []
 
     def merge(left: range, right: range) -> None:
         for i in left:
@@ -237,26 +238,39 @@ def set_links(sets: list[np.ndarray], ids: np.ndarray, cut: int, least: float) -
     return out
 
 
+def _verified(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
+    """Of ``pairs(a, a_n, b, b_n)``, ends and sizes of their sets, those of a similarity of at least ``least``, once."""
+    pairs = pairs.where(F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")).select("a", "b").distinct()
+    for c in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")), c)
+    common, both = F.size(F.array_intersect("a_set", "b_set")), F.size("a_set") + F.size("b_set")
+    return pairs.where(common / (both - common) >= least).select("a", "b")
+
+
 def similar_links(reps: DataFrame, least: float) -> DataFrame:
     """Links ``(a, b)`` between rows ``(rep, keys, shingles)``, each set of shingles once; they have the exact
     components of the candidates, pairs that share a key, whose similarity is at least ``least``.
 
-    Pairs of small buckets are compared once each. Larger buckets are dealt into chunks, as in ``links``.
+    First each row is compared to the smallest one of its buckets. Of buckets that this leaves in more than one
+    component, rows of different components are compared: pairs of small buckets once each, larger buckets in chunks,
+    as in ``links``.
     """
-    keyed = reps.select("rep", F.explode("keys").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    keyed = reps.select("rep", F.size("shingles").alias("n"), F.explode("keys").alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("head")).where("size > 1")
     sized = materialize(keyed.join(sizes, "key"))
+    star = sized.where("rep <> head.rep").select(F.col("head.rep").alias("a"), F.col("head.n").alias("a_n"), F.col("rep").alias("b"), F.col("n").alias("b_n"))
+    star = materialize(_verified(star, reps, least))
+    sized = sized.join(components(star).withColumnRenamed("node", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    apart = sized.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key")
+    sized = materialize(sized.join(apart, "key"))
     small = sized.where(F.col("size") <= SMALL_BUCKET)
-    x, y = small.alias("x"), small.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    for c in ("a", "b"):
-        pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")), c)
-    common, both = F.size(F.array_intersect("a_set", "b_set")), F.size("a_set") + F.size("b_set")
-    plain = pairs.where(common / (both - common) >= least).select("a", "b")
+    x, y = small.where("rep <> head.rep").alias("x"), small.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.group") != F.col("y.group")))
+    plain = _verified(pairs.select(*[F.col(f"{t}.{c}").alias(o) for t, c, o in (("x", "rep", "a"), ("x", "n", "a_n"), ("y", "rep", "b"), ("y", "n", "b_n"))]), reps, least)
     chunked = sized.where(F.col("size") > SMALL_BUCKET).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
     chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep"
+        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "group"
     )
     units = ["key", "i", "j"]
     paired = paired.join(reps.select("rep", "shingles"), "rep").repartition(*units).sortWithinPartitions(*units, "chunk")
@@ -264,17 +278,17 @@ def similar_links(reps: DataFrame, least: float) -> DataFrame:
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         few = (pdf.iloc[lo : lo + CHUNK] for pdf in batches for lo in range(0, len(pdf), CHUNK))
         for pdf, bounds in runs_of(few, units):
-            ids, i, j, chunk, sets = (pdf[c].to_numpy() for c in ("rep", "i", "j", "chunk", "shingles"))
+            ids, i, j, chunk, sets, groups = (pdf[c].to_numpy() for c in ("rep", "i", "j", "chunk", "shingles", "group"))
             out = []
             for a, b in zip(bounds, [*bounds[1:], len(pdf)]):
                 if b - a < 2:
                     continue
                 cut = b - a if i[a] == j[a] else int((chunk[a:b] == i[a]).sum())
-                out += set_links([np.sort(x.view(np.uint64)) for x in sets[a:b]], ids[a:b], cut, least)
+                out += set_links([np.sort(x.view(np.uint64)) for x in sets[a:b]], ids[a:b], groups[a:b], cut, least)
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return plain.unionByName(paired.mapInPandas(compare, "a long, b long"))
+    return star.unionByName(plain).unionByName(paired.mapInPandas(compare, "a long, b long"))
 
 
 def dedup(docs: DataFrame, width: int = 5, least: float = 0.8, seed: int = 42) -> DataFrame:
