@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -196,10 +196,10 @@ def min_hash_keys(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS, se
     return [_signed(xxhash.xxh64_intdigest(b.astype("<u8").tobytes(), i)) for i, b in enumerate(least.reshape(bands, rows))]
 
 
-def _shingled(width: int, seed: int):
+def _shingled(width: int, seed: int, keys: bool):
     def of(texts: list) -> tuple[list, ...]:
         sets = [np.unique(_hashes(t, width, seed)) for t in texts]
-        return [min_hash_keys(x) for x in sets], [x.view(np.int64) for x in sets], [xxhash.xxh128_digest(x.tobytes()) for x in sets]
+        return [min_hash_keys(x) for x in sets] if keys else [x.view(np.int64) for x in sets], [len(x) for x in sets], [xxhash.xxh128_digest(x.tobytes()) for x in sets]
 
     return of
 
@@ -238,42 +238,45 @@ def set_links(sets: list[np.ndarray], ids: np.ndarray, groups: np.ndarray, cut:
     return out
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Of ``pairs(a, a_n, b, b_n)``, ends and sizes of their sets, those of a similarity of at least ``least``, once."""
     pairs = pairs.where(F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")).select("a", "b").distinct()
     for c in ("a", "b"):
-        pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")), c)
+        pairs = pairs.join(sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"{c}_set")), c)
     common, both = F.size(F.array_intersect("a_set", "b_set")), F.size("a_set") + F.size("b_set")
     return pairs.where(common / (both - common) >= least).select("a", "b")
 
 
-def similar_links(reps: DataFrame, least: float) -> DataFrame:
-    """Links ``(a, b)`` between rows ``(rep, keys, shingles)``, each set of shingles once; they have the exact
+def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """Links ``(a, b)`` between rows ``(rep, n, keys)``, each set of n shingles once; they have the exact
     components of the candidates, pairs that share a key, whose similarity is at least ``least``.
 
+    ``sets_of`` gives ``(rep, shingles)`` of the rows that are not alone in all of their buckets.
+
     First each row is compared to the smallest one of its buckets. Of buckets that this leaves in more than one
     component, rows of different components are compared: pairs of small buckets once each, larger buckets in chunks,
     as in ``links``.
     """
-    keyed = reps.select("rep", F.size("shingles").alias("n"), F.explode("keys").alias("key"))
+    keyed = reps.select("rep", "n", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("head")).where("size > 1")
     sized = materialize(keyed.join(sizes, "key"))
+    sets = sets_of(sized.select("rep").distinct())
     star = sized.where("rep <> head.rep").select(F.col("head.rep").alias("a"), F.col("head.n").alias("a_n"), F.col("rep").alias("b"), F.col("n").alias("b_n"))
-    star = materialize(_verified(star, reps, least))
+    star = materialize(_verified(star, sets, least))
     sized = sized.join(components(star).withColumnRenamed("node", "rep"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
     apart = sized.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key")
     sized = materialize(sized.join(apart, "key"))
     small = sized.where(F.col("size") <= SMALL_BUCKET)
     x, y = small.where("rep <> head.rep").alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.group") != F.col("y.group")))
-    plain = _verified(pairs.select(*[F.col(f"{t}.{c}").alias(o) for t, c, o in (("x", "rep", "a"), ("x", "n", "a_n"), ("y", "rep", "b"), ("y", "n", "b_n"))]), reps, least)
+    plain = _verified(pairs.select(*[F.col(f"{t}.{c}").alias(o) for t, c, o in (("x", "rep", "a"), ("x", "n", "a_n"), ("y", "rep", "b"), ("y", "n", "b_n"))]), sets, least)
     chunked = sized.where(F.col("size") > SMALL_BUCKET).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
     chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
         "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "group"
     )
     units = ["key", "i", "j"]
-    paired = paired.join(reps.select("rep", "shingles"), "rep").repartition(*units).sortWithinPartitions(*units, "chunk")
+    paired = paired.join(sets, "rep").repartition(*units).sortWithinPartitions(*units, "chunk")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         few = (pdf.iloc[lo : lo + CHUNK] for pdf in batches for lo in range(0, len(pdf), CHUNK))
@@ -300,10 +303,16 @@ def dedup(docs: DataFrame, width: int = 5, least: float = 0.8, seed: int = 42) -
     without a word are never duplicates of anything, and rows with a null doc_id are kept.
     """
     wordy = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    found = materialize(map_column(wordy, ["doc_id"], "text", lambda: _shingled(width, seed), "keys array<long>, shingles array<long>, digest binary"))
+    found = materialize(map_column(wordy, ["doc_id"], "text", lambda: _shingled(width, seed, True), "keys array<long>, n int, digest binary"))
     first = found.groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null")
-    reps = materialize(found.join(first, (F.col("doc_id") == F.col("rep")) & (found["digest"] == first["digest"])).select("rep", "keys", "shingles"))
-    groups = components(similar_links(reps, least)).withColumnRenamed("node", "rep")
+    reps = materialize(found.join(first, (F.col("doc_id") == F.col("rep")) & (found["digest"] == first["digest"])).select("rep", "n", "keys"))
+
+    def sets_of(members: DataFrame) -> DataFrame:
+        named = first.join(members, "rep").withColumnRenamed("rep", "doc_id")
+        made = map_column(wordy.join(named, "doc_id", "left_semi"), ["doc_id"], "text", lambda: _shingled(width, seed, False), "shingles array<long>, n int, digest binary")
+        return materialize(made.join(named, ["doc_id", "digest"]).select(F.col("doc_id").alias("rep"), "shingles"))
+
+    groups = components(similar_links(reps, sets_of, least)).withColumnRenamed("node", "rep")
     named = first.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     losers = found.join(named, "digest").where("doc_id <> component").select("doc_id").distinct()
     kept = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(losers, "doc_id", "left_anti")
