@@ -7,10 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize
 
-#: Target weights that are broadcast at most.
-MAX_SOURCES = 100_000
+#: Target weights that are taken at most, and bytes of the sources' tables that are broadcast at most.
+MAX_SOURCES, MAX_BROADCAST_BYTES = 100_000, 50_000_000
+#: The highest rate of one draw; a higher one is the sum of equal independent draws, as exp(-rate) would underflow.
+MAX_RATE = 500.0
 
 
 def uniform(*parts: Column, seed: int) -> Column:
@@ -52,25 +54,33 @@ def poisson_mix(docs: DataFrame, weights: Mapping[str, float], total: float | No
 
     Adds ``copy`` (1, 2 ...) and ``shuffle_key``; rows are dealt to partitions and sorted within them by that key. The
     number is the inverse of the distribution at a uniform number hashed from the seed and the doc_id, so each document
-    decides alone, reruns agree, and no source, however large, is gathered. Rates below 700 are exact to rounding;
-    above, exp(-rate) would underflow, so the whole part is given outright and the rest drawn.
+    decides alone, reruns agree, and no source, however large, is gathered. A rate above ``MAX_RATE`` is split into equal
+    parts, each drawn with a uniform number of its own; the sum of independent Poisson numbers is one of the whole rate.
 
     A null source is a source of its own, at the rest's rate. Rows with one doc_id draw the same number. A weight of
     zero drops its source. Weights of sources that are absent go unused. Columns of the input that are named as the
-    two added ones give way to them. No rows: no rows.
+    two added ones give way to them; all others stay, whatever their names. No rows: no rows.
     """
     if len(weights) > MAX_SOURCES:
         raise ValueError(f"at most {MAX_SOURCES} weights")
     spark = docs.sparkSession
-    given = spark.createDataFrame([(str(k), float(v)) for k, v in weights.items()], "source string, weight double")
-    rate = rates(docs, given, total)
-    whole = F.when(F.col("rate") > 600, F.floor(F.col("rate"))).otherwise(F.lit(0)).cast("int")
-    rate = materialize(rate.select(F.col("source").alias("_source"), whole.alias("_whole"), poisson_table(F.col("rate") - whole).alias("_table")))
-    # One row a source, of about 300 bytes; beyond the bound Spark joins by a shuffle that AQE can split.
-    rate = F.broadcast(rate) if rate.count() <= MAX_SOURCES else rate
     docs = docs.drop("copy", "shuffle_key")
-    joined = docs.join(rate, docs["source"].eqNullSafe(rate["_source"])).withColumn("_u", uniform(F.col("doc_id"), seed=seed))
-    times = F.col("_whole") + F.size(F.filter("_table", lambda c: c <= F.col("_u")))
-    copies = joined.withColumn("_n", times).where("_n > 0").select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
+    given = spark.createDataFrame([(str(k), float(v)) for k, v in weights.items()], "source string, weight double")
+    names = [free_name(n, docs.columns) for n in ("_source", "_parts", "_table", "_n")]
+    source, parts, cdf, times = names
+    split = F.greatest(F.lit(1.0), F.ceil(F.col("rate") / MAX_RATE))
+    rate = materialize(rates(docs, given, total).select(F.col("source").alias(source), split.cast("int").alias(parts), poisson_table(F.col("rate") / split).alias(cdf)))
+    size = rate.agg(F.sum(F.size(cdf) * 8 + 64).alias("n")).collect()[0]["n"] or 0
+    # Beyond the bound Spark joins by a shuffle that AQE can split.
+    rate = F.broadcast(rate) if size <= MAX_BROADCAST_BYTES else rate
+
+    def draw(u: Column) -> Column:
+        return F.size(F.filter(cdf, lambda c: c <= u))
+
+    first = draw(uniform(F.col("doc_id"), seed=seed))
+    more = F.aggregate(F.sequence(F.lit(2), F.col(parts)), F.lit(0), lambda a, k: a + draw(uniform(F.col("doc_id"), k, seed=seed + 2)))
+    joined = docs.join(rate, docs["source"].eqNullSafe(rate[source])).withColumn(times, F.when(F.col(parts) > 1, first + more).otherwise(first))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    copies = joined.where(F.col(times) > 0).select(*kept, F.explode(F.sequence(F.lit(1), F.col(times))).alias("copy"))
     keyed = copies.withColumn("shuffle_key", uniform(F.col("doc_id"), F.col("copy"), seed=seed + 1))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
