@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 import tempfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,18 +18,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary one is made, for this context."""
+    """The folder that all executors share, from ``spark.checkpoint.dir``. Only on one machine, where that is unset, a
+    temporary one is made, for this context; a cluster without the setting is an error."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="inkloom-"))
     return sc.getCheckpointDir()
 
 
+#: Checkpoints made within ``scratch``, innermost last.
+_made: list[list[DataFrame]] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage by a checkpoint in the shared folder, which survives the loss of executors."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _made:
+        _made[-1].append(out)
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the checkpoints that were made within; for work whose result is a written table."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for df in _made.pop():
+            file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+            if file.isDefined():
+                remove(spark, file.get())
+
+
+def free_name(base: str, columns: Iterable[str]) -> str:
+    """``base``, or ``base`` with as many underscores as it takes to be none of ``columns``, case aside."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def text_key(text: Column) -> Column:
+    """What a row is known by across jobs: the SHA-256 of its text (null: of the empty one). Numbers of rows would depend
+    on how a job splits its input."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def ascii_lower(text: Column) -> Column:

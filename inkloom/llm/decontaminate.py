@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize
+from .common import ascii_lower, free_name, materialize, text_key
 
 #: What separates words: all ASCII but letters and digits.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Window table rows that are broadcast at most (about 150 bytes each); a larger table is joined by a shuffle.
-MAX_BROADCAST_ROWS = 1_000_000
+#: Windows and ids that are broadcast at most, in bytes, with so many more for each row; a larger table is joined by a shuffle.
+MAX_BROADCAST_BYTES, ROW_BYTES = 100_000_000, 32
 
 
 def normal_words(text: Column) -> Column:
@@ -37,53 +37,69 @@ def window_table(items: DataFrame, width: int) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """``(uid, at, n, items)``: each place ``at`` of ``docs(uid, text)`` where a window of ``n`` words occurs.
+def _placed(words: DataFrame, lengths: list[int]) -> DataFrame:
+    """``words(key, w)`` as ``(key, w, at, n, hash)``: each place with the hash of the ``n`` words from there, of all lengths."""
+    placed = words.where(F.size("w") >= lengths[0]).select("key", "w", F.posexplode("w").alias("at", "word")).drop("word")
+    if len(lengths) == 1:
+        n = lengths[0]
+        return placed.where(F.col("at") <= F.size("w") - n).select("key", "w", "at", F.lit(n).alias("n"), _hash(F.col("w"), F.col("at"), n).alias("hash"))
+    grams = F.array(*[F.struct(F.lit(n).alias("n"), _hash(F.col("w"), F.col("at"), n).alias("hash")) for n in lengths])
+    return placed.select("key", "w", "at", F.explode(grams).alias("g")).select("key", "w", "at", "g.n", "g.hash").where(F.col("at") <= F.size("w") - F.col("n"))
 
-    Windows of the texts are hashed where they are read and looked up in the broadcast table; the words themselves
-    are compared only where a hash is found. No window of the texts is shuffled.
+
+def hits(docs: DataFrame, items: DataFrame, width: int = 10, most: int | None = None) -> DataFrame:
+    """``(key, at, n, items)``: each place ``at`` of ``docs(key, text)`` where a window of ``n`` words occurs.
+
+    Windows of the texts are hashed where they are read and looked up in the table, which is broadcast up to ``most``
+    bytes of windows and ids; the words themselves are compared only where a hash is found. Beyond that size the hashes
+    alone are shuffled, never the words, and the places that are found go back to their texts to be compared.
     """
     table = materialize(window_table(items, width))
-    rows = table.count()
-    words = docs.select("uid", normal_words(F.col("text")).alias("w"))
-    found = []
+    size = table.agg(F.sum(F.octet_length("window") + F.octet_length(F.array_join("items", ",")) + ROW_BYTES).alias("n")).collect()[0]["n"] or 0
     # At most ``width`` lengths, most often one.
-    for n in sorted(r["n"] for r in table.select("n").distinct().collect()):
-        grams = table.where(F.col("n") == n).select("hash", "window", "items")
-        grams = F.broadcast(grams) if rows <= MAX_BROADCAST_ROWS else grams
-        placed = words.where(F.size("w") >= n).select("uid", "w", F.posexplode("w").alias("at", "word"))
-        placed = placed.where(F.col("at") <= F.size("w") - n).withColumn("hash", _hash(F.col("w"), F.col("at"), n))
+    lengths = sorted(r["n"] for r in table.select("n").distinct().collect())
+    if not lengths:
+        return docs.select("key", F.lit(0).alias("at"), F.lit(0).alias("n"), F.array(F.lit("")).alias("items")).limit(0)
+    words = docs.select("key", normal_words(F.col("text")).alias("w"))
+    placed = _placed(words, lengths).alias("p")
+    grams = table.alias("g")
+    found = (F.col("p.hash") == F.col("g.hash")) & (F.col("p.n") == F.col("g.n"))
+
+    def said(at: Column, n: Column) -> Column:
+        return F.array_join(F.slice("w", at + 1, n), " ")
+
+    if size <= (MAX_BROADCAST_BYTES if most is None else most):
         # Equality, said in a way that is not made a join key: it is evaluated only where a hash is found.
-        said = F.array_join(F.slice("w", F.col("at") + 1, F.lit(n)), " ")
-        same = (placed["hash"] == grams["hash"]) & F.startswith(said, grams["window"]) & (F.char_length(said) <= F.char_length(grams["window"]))
-        found.append(placed.join(grams, same).select("uid", "at", F.lit(n).alias("n"), "items"))
-    if not found:
-        return docs.select("uid", F.lit(0).alias("at"), F.lit(0).alias("n"), F.array(F.lit("")).alias("items")).limit(0)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+        here = said(F.col("p.at"), F.col("p.n"))
+        same = F.startswith(here, F.col("g.window")) & (F.char_length(here) <= F.char_length("g.window"))
+        return placed.join(F.broadcast(grams), found & same).select("p.key", "p.at", "p.n", "g.items")
+    near = placed.drop("w").join(grams, found).select("p.key", "p.at", "p.n", "g.window", "g.items").distinct()
+    again = near.join(words.dropDuplicates(["key"]), "key")
+    return again.where(said(F.col("at"), F.col("n")) == F.col("window")).select("key", "at", "n", "items")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, most: int | None = None) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A window is ``width`` consecutive words of an item; an item of fewer words, but not none, is one window. A word
     inside any occurrence of a window is hit. Null and empty texts have no words. Repeated rows stay, each with its
-    own result; a null item_id counts as one item named by the empty string. No items: nothing is hit.
+    own result; a null item_id counts as one item named by the empty string. Other columns are ignored, whatever their
+    names. No items: nothing is hit. No rows: no rows.
     """
-    docs = docs.select("doc_id", "text", F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id().alias("uid"))
-    spans = hits(docs, items, width).groupBy("uid").agg(F.collect_list(F.struct("at", "n")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    docs = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
+    spans = hits(docs, items, width, most).groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     cover = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))))
-    spans = spans.select("uid", cover.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("names"))
-    words = docs.select("uid", "doc_id", F.size(normal_words(F.col("text"))).cast("long").alias("n_words"))
+    spans = spans.select("key", cover.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("names"))
+    words = docs.select("key", "doc_id", F.size(normal_words(F.col("text"))).cast("long").alias("n_words"))
     zero = F.lit(0).cast("long")
-    out = words.join(spans, "uid", "left").select("uid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.sha2(F.coalesce("names", F.lit("")), 256).alias("items_sha256"))
+    out = words.join(spans, "key", "left").select("doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.sha2(F.coalesce("names", F.lit("")), 256).alias("items_sha256"))
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """``docs`` without the rows in which a window of the benchmark occurs; all others stay as they are."""
-    marked = docs.withColumn("_uid", F.monotonically_increasing_id())
-    bad = hits(marked.select(F.col("_uid").alias("uid"), "text"), items, width).select(F.col("uid").alias("_uid")).distinct()
-    return marked.join(bad, "_uid", "left_anti").select(*docs.columns)
+    """``docs`` without the rows in which a window of the benchmark occurs; all others stay as they are, null and empty
+    texts and repeated rows with them. Input columns of any names stay. No items: all rows stay."""
+    key = free_name("_key", docs.columns)
+    marked = docs.withColumn(key, text_key(F.col("text")))
+    bad = hits(marked.select(F.col(key).alias("key"), "text"), items, width).select(F.col("key").alias(key)).distinct()
+    return marked.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

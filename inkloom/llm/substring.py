@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FEW, byte_words, map_column, materialize
+from .common import FEW, byte_words, free_name, map_column, materialize, text_key
 
 #: An odd multiplier of the window hashes (any odd 64-bit number will do) and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -102,9 +102,10 @@ def _alive(n: int, runs) -> np.ndarray:
 
 
 def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[DataFrame, DataFrame]:
-    """``(uid, runs, lone)``: starts of windows that occur elsewhere are those in ``runs`` but not in ``lone``; and
-    ``(uid, doc_id, n_words, digest, copies, first)``.
+    """From ``docs(doc_id, text, key)``: ``(uid, runs, lone)``, starts of windows that occur elsewhere are those in
+    ``runs`` but not in ``lone``; and ``(uid, doc_id, key, n_words, digest, copies, first)``.
 
+    Rows are numbered (``uid``) in the table that the first scan writes; later scans find a row's text by ``key``.
     Exact copies are collapsed first: of rows with the same word sequence (``whole``) one goes on, marked as many.
     Each level asks for the parts of the surviving windows whether they occur at two places; only documents with
     survivors are read at the next level, which is twice as long. The last level compares 128-bit hashes of whole
@@ -121,8 +122,8 @@ def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[D
         return tuple(zip(*rows)) if rows else ([], [], [], [])
 
     sizes = levels(window, first)
-    texts = docs.select("uid", "doc_id", "text")
-    seen = materialize(map_column(texts, ["uid", "doc_id"], "text", lambda: scan, "n_words long, digest string, h array<long>, run array<long>"))
+    numbered = docs.withColumn("uid", F.monotonically_increasing_id())
+    seen = materialize(map_column(numbered, ["uid", "doc_id", "key"], "text", lambda: scan, "n_words long, digest string, h array<long>, run array<long>"))
     long = seen.where(F.col("n_words") >= window)
     whole = materialize(long.groupBy("digest").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("copies")).select("uid", "copies", "digest"))
     parts = long.select("uid", "h", "run").join(whole.select("uid"), "uid", "left_semi")
@@ -142,21 +143,23 @@ def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[D
                 if got:
                     yield pd.DataFrame(dict(zip(("uid", "h", "h2", "run"), map(np.concatenate, zip(*got)))))
 
-        parts = of_some(texts, runs).select("uid", "text", "runs").mapInPandas(extend, "uid long, h long, h2 long, run long")
+        parts = of_some(docs, runs.join(seen.select("uid", "key"), "uid")).select("uid", "text", "runs").mapInPandas(extend, "uid long, h long, h2 long, run long")
         if size < window:
             runs = _twice(materialize(parts.drop("h2")))
         else:
             once = parts.groupBy("h", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"), F.min("run").alias("run")).where("n = 1")
             lone = once.groupBy("uid").agg(F.collect_list("run").alias("lone"))
     names = whole.select("digest", "copies", F.col("uid").alias("first"))
-    return runs.join(lone, "uid", "left"), seen.select("uid", "doc_id", "n_words", "digest").join(names, "digest", "left")
+    return runs.join(lone, "uid", "left"), seen.select("uid", "doc_id", "key", "n_words", "digest").join(names, "digest", "left")
 
 
-def of_some(texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``texts`` joined with ``chosen`` by uid; all other texts are left out before the shuffle, by a broadcast of at
-    most ``MAX_BROADCAST_IDS`` ids, or, beyond it, by the join alone."""
-    ids = chosen.select("uid")
-    return (texts.join(F.broadcast(ids), "uid", "left_semi") if ids.count() <= MAX_BROADCAST_IDS else texts).join(chosen, "uid")
+def of_some(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``chosen`` with the texts of their keys, one text a key. All other texts are left out before the shuffle, by a
+    broadcast of at most ``MAX_BROADCAST_IDS`` hashes of keys, or, beyond it, by the join alone."""
+    texts = docs.select("key", "text")
+    if chosen.count() <= MAX_BROADCAST_IDS:
+        texts = texts.withColumn("h", F.xxhash64("key")).join(F.broadcast(chosen.select(F.xxhash64("key").alias("h"))), "h", "left_semi").drop("h")
+    return texts.dropDuplicates(["key"]).join(chosen, "key")
 
 
 def _twice(parts: DataFrame) -> DataFrame:
@@ -171,15 +174,14 @@ def substring_dedup(docs: DataFrame, window: int = 35, first: int = 18, with_tex
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; windows are judged on the input. Gives for each row of
     ``docs(doc_id, text)``: doc_id, n_words, n_removed, kept_sha256, and with ``with_text`` the kept words joined by
-    one space (``kept``). Null, empty and blank texts have no words. A text in several rows, also under one doc_id,
+    one space (``kept``) and the ``text_key`` (``key``). Null, empty and blank texts have no words. A text in several rows, also under one doc_id,
     loses every word if it is ``window`` words long. A null doc_id is kept as it is. No rows: no rows.
-
-    Rows are told apart by ``uid``, a long that is taken from ``docs`` or numbered here; numbering needs an input
-    that reads the same each time, as a table does.
+    Other columns are ignored, whatever their names.
     """
-    docs = docs.select("doc_id", "text", F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id().alias("uid"))
+    docs = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
     runs, seen = repeated_runs(docs, window, first)
     seen = materialize(seen)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in (p.iloc[i : i + FEW] for p in batches for i in range(0, len(p), FEW)):
             rows = []
@@ -194,32 +196,31 @@ def substring_dedup(docs: DataFrame, window: int = 35, first: int = 18, with_tex
                 rows.append((uid, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None))
             yield pd.DataFrame(rows, columns=["uid", "n_removed", "kept_sha256", "kept"])
 
-    single = seen.where("coalesce(copies, 1) = 1").select("uid")
-    partly = materialize(runs.join(single, "uid", "left_semi"))
-    cuts = of_some(docs.select("uid", "text"), partly).select("uid", "text", "runs", "lone").mapInPandas(cut, "uid long, n_removed long, kept_sha256 string, kept string")
+    single = seen.where("coalesce(copies, 1) = 1").select("uid", "key")
+    partly = materialize(runs.join(single, "uid"))
+    cuts = of_some(docs, partly).select("uid", "text", "runs", "lone").mapInPandas(cut, "uid long, n_removed long, kept_sha256 string, kept string")
     empty = hashlib.sha256(b"").hexdigest()
     many = F.col("copies") > 1
     out = seen.join(cuts, "uid", "left").select(
-        "uid",
         "doc_id",
+        "key",
         "n_words",
         F.when(many, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(many, F.lit(empty)).otherwise(F.coalesce("kept_sha256", "digest")).alias("kept_sha256"),
         F.when(many, F.lit("")).otherwise(F.col("kept")).alias("kept"),
     )
-    if not with_text:
-        return out.drop("uid", "kept")
-    return out
+    return out if with_text else out.drop("key", "kept")
 
 
 def strip_repeats(docs: DataFrame, window: int = 35, first: int = 18) -> DataFrame:
     """``docs`` with the passages cut out of the texts that ``substring_dedup`` removes; ``n_chars`` follows.
 
-    Texts that lose nothing stay as they are to the byte; texts of which no word is left go.
+    Texts that lose nothing stay as they are to the byte; texts of which no word is left go. Null, empty and blank texts
+    lose nothing. Rows of equal texts fare alike. Input columns of any other names stay as they are. No rows: no rows.
     """
-    marked = docs.withColumn("_uid", F.monotonically_increasing_id())
-    cut = substring_dedup(marked.select("doc_id", "text", F.col("_uid").alias("uid")), window, first, with_text=True)
-    cut = cut.where("n_removed > 0").select(F.col("uid").alias("_uid"), F.col("kept").alias("_kept"))
-    out = marked.join(cut, "_uid", "left").where("_kept is null or _kept <> ''")
-    values = {"text": F.coalesce("_kept", "text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.char_length("_kept").cast("long")) if "n_chars" in docs.columns else None}
-    return out.select(*[values[c].alias(c) if c in values else F.col(c) for c in docs.columns])
+    key, kept = free_name("_key", docs.columns), free_name("_kept", docs.columns)
+    cut = substring_dedup(docs, window, first, with_text=True).where("n_removed > 0")
+    cut = cut.select(F.col("key").alias(key), F.col("kept").alias(kept)).dropDuplicates([key])
+    out = docs.withColumn(key, text_key(F.col("text"))).join(cut, key, "left").where(F.col(kept).isNull() | (F.col(kept) != ""))
+    values = {"text": F.coalesce(F.col(kept), F.col("text")), "n_chars": F.coalesce(F.char_length(kept).cast("long"), F.col("n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in docs.columns])

@@ -43,6 +43,15 @@ def docs(spark, rows=None):
     return spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, copy int, fp int, h double")
 
 
+CLASHES = ["uid", "_uid", "_u", "_n", "_table", "_whole", "_key", "_kept", "key", "kept", "w", "hash", "items", "digest"]
+
+
+def clashing(spark, rows):
+    """Rows with more columns, of names that operators use themselves; ``uid`` is the same for several rows."""
+    data = [(d, t, f"s{(d or 0) % 3}", -1, *[(d or 0) // 2] * len(CLASHES)) for d, t in rows]
+    return spark.createDataFrame(data, "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{c} long" for c in CLASHES))
+
+
 def by_row(df, *columns):
     return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
 
@@ -82,6 +91,52 @@ def test_strip_repeats(spark):
             assert doc not in got
 
 
+def test_clashing_names(spark):
+    """Columns named as the helpers change no result and stay as they are."""
+    rows = corpus()
+    df = clashing(spark, rows)
+    got = by_row(substring.substring_dedup(df), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(brute.substring(rows, 35), key=repr)
+    items = [(1, words(random.Random(9), 30, 500)), (2, "one"), (3, rows[20][1])]
+    table = spark.createDataFrame([(*i, 1, 2) for i in items], "item_id long, text string, uid int, key int")
+    got = decontaminate.decontaminate(df, table)
+    assert by_row(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == sorted(brute.leaks(rows, items), key=repr)
+    for out in (substring.strip_repeats(df), decontaminate.drop_contaminated(df, table), mixing.poisson_mix(df, {"s1": 0.5}).drop("copy", "shuffle_key")):
+        assert out.columns == df.columns
+        assert all(r[c] == (r["doc_id"] or 0) // 2 for r in out.collect() for c in CLASHES)
+
+
+def test_split_of_the_input_may_change_between_jobs(spark, tmp_path):
+    """Rows aren't known by their place: a table that is split in another way in every job gives the same result."""
+    rows = corpus()
+    docs(spark, rows).repartition(5).write.parquet(str(tmp_path / "t"))
+    before, job = spark.conf.get("spark.sql.files.maxPartitionBytes"), iter(range(10**6))
+    plain = common.materialize
+
+    def shifting(df):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(3000 + 7000 * (next(job) % 3)))
+        return plain(df)
+
+    try:
+        substring.materialize = decontaminate.materialize = shifting
+        df = spark.read.parquet(str(tmp_path / "t"))
+        got = by_row(substring.substring_dedup(df), "doc_id", "n_words", "n_removed", "kept_sha256")
+    finally:
+        substring.materialize = decontaminate.materialize = plain
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted(brute.substring(rows, 35), key=repr)
+
+
+@pytest.mark.parametrize("rate", [700.0, 5000.0])
+def test_poisson_at_high_rates(spark, rate):
+    """Mean and variance are those of a Poisson number, whatever the rate."""
+    n = 400
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"))
+    counts = np.array([r["n"] for r in mixing.poisson_mix(df, {"s": 1.0}, total=rate * n).groupBy("doc_id").agg(F.count("*").alias("n")).collect()])
+    assert len(counts) == n and abs(counts.mean() - rate) < 5 * math.sqrt(rate / n)
+    assert abs(counts.var(ddof=1) / rate - 1) < 5 * math.sqrt(2 / n)
+
+
 @pytest.mark.parametrize("small", [128, 1])
 def test_simhash(spark, monkeypatch, small):
     monkeypatch.setattr(simhash, "SMALL_BUCKET", small)  # 1: all buckets go by chunks
@@ -141,6 +196,8 @@ def test_decontaminate(spark):
     table = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.decontaminate(docs(spark, rows), table)
     assert by_row(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == sorted(brute.leaks(rows, items), key=repr)
+    joined = decontaminate.decontaminate(docs(spark, rows), table, most=0)  # the table is joined by shuffles
+    assert by_row(joined, *joined.columns) == by_row(got, *got.columns)
     kept = decontaminate.drop_contaminated(docs(spark, rows), table).count()
     assert kept == sum(not x[-1] for x in brute.leaks(rows, items))
     assert decontaminate.decontaminate(docs(spark, rows), table.limit(0)).where("contaminated").count() == 0
