@@ -74,6 +74,19 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
+#: Of hashes of texts that hold candidates, so many are broadcast at most (8 bytes each); beyond, they are joined.
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def of_some(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``chosen`` with the texts of their keys, one text a key. All other texts are left out before the shuffle, by a
+    broadcast of at most ``MAX_BROADCAST_IDS`` hashes of keys, or, beyond it, by the join alone."""
+    texts = docs.select("key", "text")
+    if chosen.count() <= MAX_BROADCAST_IDS:
+        texts = texts.withColumn("h", F.xxhash64("key")).join(F.broadcast(chosen.select(F.xxhash64("key").alias("h"))), "h", "left_semi").drop("h")
+    return texts.dropDuplicates(["key"]).join(chosen, "key")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. Pure ASCII takes the quick path, where ``lower`` does just that."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

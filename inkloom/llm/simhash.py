@@ -9,10 +9,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, lower_words, map_column, materialize, runs_of
+from .common import components, free_name, lower_words, map_column, materialize, of_some, runs_of, text_key
 
 #: Fingerprints of a block bucket up to this many are compared by a self-join; larger buckets in chunks.
 SMALL_BUCKET = 4
@@ -74,7 +74,7 @@ def block_masks(distance: int, distinct: int) -> list[int]:
     """Masks of which any two fingerprints within ``distance`` share the bits of at least one.
 
     64 bits are split into k blocks; of these at least k - distance agree. More blocks make longer keys, so that a
-    bucket of unrelated fingerprints stays about constant while ``distinct`` grows; the result is the same.
+    bucket of unrelated fingerprints stays about constant while ``distinct`` grows; pairs within ``distance`` all stay.
     """
     best: list[int] = []
     for k in range(distance + 1, distance + 6):
@@ -175,13 +175,15 @@ def simhash_groups(docs: DataFrame, width: int = 4, distance: int = 4, prints: i
     share a block, as all do of which one fingerprint differs in at most ``distance``; with one fingerprint that is
     each pair within ``distance``. Equal fingerprints are collapsed before candidates are sought, so a large group of
     copies is one fingerprint. Null, empty and blank texts have fingerprint zero and link like any other. Repeated
-    rows stay. A row with a null doc_id is given its fingerprint, and the component of its copies if one of them has
-    a doc_id, else null. No rows: no rows.
+    rows stay. A row with a null doc_id links like any other; its component is named after the smallest doc_id in it, null
+    if there is none. No rows: no rows.
     """
     found = materialize(fingerprints(docs, width, prints=prints, repeats=repeats))
-    reps = materialize(found.groupBy("fps").agg(F.min("doc_id").alias("rep")).select(F.monotonically_increasing_id().alias("uid"), "rep", "fps"))
-    groups = components(links(reps.where("rep is not null"), prints, distance, distance if bits is None else bits)).withColumnRenamed("node", "rep")
-    by_fps = reps.join(groups, "rep", "left").select("fps", F.coalesce("component", "rep").alias("component_id"))
+    reps = materialize(found.groupBy("fps").agg(F.min("doc_id").alias("name")).select(F.monotonically_increasing_id().alias("uid"), "name", "fps"))
+    groups = components(links(reps.select("uid", F.col("uid").alias("rep"), "fps"), prints, distance, distance if bits is None else bits)).withColumnRenamed("node", "uid")
+    grouped = reps.join(groups, "uid", "left").select("fps", "name", F.coalesce("component", "uid").alias("component"))
+    names = grouped.groupBy("component").agg(F.min("name").alias("component_id"))
+    by_fps = grouped.join(names, "component").select("fps", "component_id")
     return found.join(by_fps, "fps").select("doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -295,25 +297,39 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
 
 
 def dedup(docs: DataFrame, width: int = 5, least: float = 0.8, seed: int = 42) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its group; a doc_id that comes twice is kept once.
+    """One row of ``docs`` of each group of similar texts: that of the smallest doc_id, a null one last, then of the
+    smallest hash of its text; of rows that agree in both, any one. Other columns, of any names, stay as they are.
 
     Documents link if their sets of ``width``-word shingles have a similarity (Jaccard) of at least ``least``, which
     is computed for each pair of candidates. Candidates share one of ``BANDS`` min-hash keys, whose length doesn't
     depend on the input: pairs of a similarity s do with a chance of 1 - (1 - s ** ROWS) ** BANDS, 0.998 at 0.8. Texts
-    without a word are never duplicates of anything, and rows with a null doc_id are kept.
+    without a word, null ones too, are never duplicates of anything; rows that share a doc_id but not a similar text all
+    stay. No rows: no rows.
     """
-    wordy = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    found = materialize(map_column(wordy, ["doc_id"], "text", lambda: _shingled(width, seed, True), "keys array<long>, n int, digest binary"))
-    first = found.groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null")
-    reps = materialize(found.join(first, (F.col("doc_id") == F.col("rep")) & (found["digest"] == first["digest"])).select("rep", "n", "keys"))
+    key = free_name("_key", docs.columns)
+    marked = docs.withColumn(key, text_key(F.col("text")))
+    wordy = marked.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.col(key).alias("key"), "text")
+    found = materialize(map_column(wordy, ["doc_id", "key"], "text", lambda: _shingled(width, seed, True), "keys array<long>, n int, digest binary"))
+    one = found.groupBy("digest").agg(F.min(F.struct("key", "n", "keys")).alias("m"))
+    first = materialize(one.select(F.monotonically_increasing_id().alias("rep"), "digest", "m.key", "m.n", "m.keys"))
 
     def sets_of(members: DataFrame) -> DataFrame:
-        named = first.join(members, "rep").withColumnRenamed("rep", "doc_id")
-        made = map_column(wordy.join(named, "doc_id", "left_semi"), ["doc_id"], "text", lambda: _shingled(width, seed, False), "shingles array<long>, n int, digest binary")
-        return materialize(made.join(named, ["doc_id", "digest"]).select(F.col("doc_id").alias("rep"), "shingles"))
+        named = first.select("rep", "key").join(members, "rep")
+        made = map_column(of_some(wordy, named), ["rep"], "text", lambda: _shingled(width, seed, False), "shingles array<long>, n int, digest binary")
+        return materialize(made.select("rep", "shingles"))
 
-    groups = components(similar_links(reps, sets_of, least)).withColumnRenamed("node", "rep")
+    groups = components(similar_links(first.select("rep", "n", "keys"), sets_of, least)).withColumnRenamed("node", "rep")
     named = first.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    losers = found.join(named, "digest").where("doc_id <> component").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(losers, "doc_id", "left_anti")
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = materialize(found.select("doc_id", "key", "digest").join(named, "digest").groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("n")))
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("best"), F.sum("n").alias("of")).where("of > 1")
+    judged = rows.join(best, "component").select("doc_id", "key", "n", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("wins"))
+
+    def among(those: DataFrame) -> tuple[DataFrame, Column]:
+        those = those.select(F.col("doc_id").alias("_of"), F.col("key").alias("_by"))
+        return those, marked["doc_id"].eqNullSafe(those["_of"]) & (marked[key] == those["_by"])
+
+    kept = marked.join(*among(judged.where("not wins")), "left_anti")
+    again = materialize(judged.where("wins and n > 1"))
+    if not again.isEmpty():  # rows that repeat a winner in doc_id and text
+        kept = kept.join(*among(again), "left_anti").unionByName(kept.join(*among(again), "left_semi").dropDuplicates(["doc_id", key]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,13 +11,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FEW, byte_words, free_name, map_column, materialize, text_key
+from .common import FEW, byte_words, free_name, map_column, materialize, of_some, text_key
 
 #: An odd multiplier of the window hashes (any odd 64-bit number will do) and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-#: Of ids of documents that hold candidates, so many are broadcast at most (8 bytes each); beyond, they are joined.
-MAX_BROADCAST_IDS = 1_000_000
 
 
 def levels(window: int, first: int) -> list[int]:
@@ -153,15 +151,6 @@ def repeated_runs(docs: DataFrame, window: int = 35, first: int = 18) -> tuple[D
     return runs.join(lone, "uid", "left"), seen.select("uid", "doc_id", "key", "n_words", "digest").join(names, "digest", "left")
 
 
-def of_some(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``chosen`` with the texts of their keys, one text a key. All other texts are left out before the shuffle, by a
-    broadcast of at most ``MAX_BROADCAST_IDS`` hashes of keys, or, beyond it, by the join alone."""
-    texts = docs.select("key", "text")
-    if chosen.count() <= MAX_BROADCAST_IDS:
-        texts = texts.withColumn("h", F.xxhash64("key")).join(F.broadcast(chosen.select(F.xxhash64("key").alias("h"))), "h", "left_semi").drop("h")
-    return texts.dropDuplicates(["key"]).join(chosen, "key")
-
-
 def _twice(parts: DataFrame) -> DataFrame:
     """``(uid, runs)`` of the parts whose hash occurs at two places at least. The hashes are a table of their own, so
     that both sides of the join come from shuffles and a hash with very many parts can be split."""

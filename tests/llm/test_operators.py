@@ -266,6 +266,22 @@ def test_simhash_dedup_by_brute_force(spark, monkeypatch, small):
     assert got <= gone and len(got) >= 0.98 * len(gone) > 50
 
 
+def test_dedup_of_repeated_and_null_ids(spark):
+    rng = random.Random(3)
+    a, b, c = (words(rng, 40, 50_000) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a), (None, a), (None, b), (None, c), (None, c), (7, c + " x"), (7, c + " x"), (8, None), (8, None), (None, ""), (1, a)]
+    out = by_row(simhash.dedup(docs(spark, rows)), "doc_id", "text")
+    assert out == sorted([(1, a), (1, b), (7, c + " x"), (8, None), (8, None), (None, "")], key=repr)
+    assert simhash.dedup(clashing(spark, rows)).columns == clashing(spark, rows).columns
+
+
+def test_simhash_null_id_links_its_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_, **__: docs.select("doc_id", F.array(F.col("text").cast("long")).alias("fps")))
+    rows = [(4, "0"), (None, str(0b1111)), (3, str(0b11111111)), (None, str(0x5555555555555555))]
+    got = simhash.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_row(got, "doc_id", "component_id") == sorted([(4, 3), (None, 3), (3, 3), (None, None)], key=repr)
+
+
 def vectors(spark, n=1500, seed=0):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, 64)).astype(np.float32)
