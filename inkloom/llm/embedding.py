@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import components, map_column, materialize, runs_of
 
-CHUNK = 1024
+#: Vectors of one prefix that are compared in one task; two such chunks meet at a time.
+CHUNK = 2048
 #: Random pairs on which the bound of the filters is calibrated.
 PAIRS = 10_000
 
@@ -109,31 +110,45 @@ def code_shape(n: int, per_vector: float, bucket: float = 24.0) -> tuple[int, in
     return blocks, math.ceil(filters ** (1 / blocks))
 
 
-def _links(unit: np.ndarray, decode: Callable[[np.ndarray], list[np.ndarray]], weight: np.ndarray, at: int, left: int, least: float):
-    """In one filter: each row's copies linked here first, and links that span the components.
+def _links(unit: np.ndarray, lists: list[np.ndarray], decode: Callable[[np.ndarray], list[np.ndarray]], weight: np.ndarray, floor: int, left: int, least: float):
+    """Among vectors whose filters (``lists``) begin alike: each row's copies linked here first, and links that span the
+    components. Pairs that share a filter below ``floor`` are counted where they share it.
 
     ``left``: rows of the first chunk; only pairs across the two chunks count, or, if it is zero, all pairs.
     """
     n = len(unit)
-    near = unit @ unit.T >= least
+    flat, row = np.concatenate(lists), np.repeat(np.arange(n), [len(c) for c in lists])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    cuts = [0, *(np.flatnonzero(flat[1:] != flat[:-1]) + 1).tolist(), len(flat)]
+    near = np.zeros((n, n), bool)
+    for a, b in itertools.pairwise(cuts):
+        if b - a > 1:
+            at = row[a:b]
+            near[at[:, None], at] |= unit[at] @ unit[at].T >= least
     np.fill_diagonal(near, False)
     if left:
         near[:left, :left] = near[left:, left:] = False
-    if not near.any():
-        return np.zeros(n, np.int64), []
     some = np.flatnonzero(near.any(axis=1))
-    lower = [c[c < at] for c in decode(unit[some])]
+    if not len(some):
+        return np.zeros(n, np.int64), []
+    lower = [c[c < floor] for c in decode(unit[some])]
     flat = np.concatenate(lower)
     first = near
     if len(flat):
         names, at_name = np.unique(flat, return_inverse=True)
-        member = np.zeros((len(some), len(names)), np.float32)
-        member[np.repeat(np.arange(len(some)), [len(c) for c in lower]), at_name] = 1
+        at = np.repeat(np.arange(len(some)), [len(c) for c in lower])
+        shared = np.zeros((len(some), len(some)), np.float32)
+        for lo in range(0, len(names), 1024):
+            part = (at_name >= lo) & (at_name < lo + 1024)
+            member = np.zeros((len(some), 1024), np.float32)
+            member[at[part], at_name[part] - lo] = 1
+            shared += member @ member.T
         first = near.copy()
-        first[np.ix_(some, some)] &= member @ member.T < 0.5  # pairs that share a smaller filter are counted there
-    degree = first.astype(np.float64) @ weight
+        first[some[:, None], some] &= shared < 0.5
+    degree = first.astype(np.float64) @ weight if n <= 256 else np.array([weight[r].sum() for r in first])
     labels, edges = np.arange(n), []
-    for i in range(n):
+    for i in some.tolist():
         for j in np.flatnonzero(near[i] & (labels != labels[i])).tolist():
             if labels[j] != labels[i]:
                 edges.append((i, j))
@@ -148,69 +163,80 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
     ``least``; no other pair links. Of the pairs at just ``least`` the share ``recall`` is found, and more of closer ones,
     for any number of vectors: a vector falls in as many filters as that takes, at least about ``per_vector`` of them
     in the mean, and a slowly growing number as there are more vectors. Equal vectors are one vector with a count and
-    always link. A filter's vectors are dealt into chunks, and each pair of chunks is compared in one task, which
-    gives back a count per vector and a spanning set of links, never all pairs.
+    always link. Vectors meet by the prefix of their filters, all but the last block, so that one travels once for all
+    its filters that begin alike. A prefix's vectors are dealt into chunks, and each pair of chunks is compared in one
+    task, which gives back a count per vector and a spanning set of links, never all pairs.
 
     Null or zero vectors, and those with null or non-finite components, link with nothing: no links, their own
-    component, kept. Rows that repeat a vec_id count as vectors of their own, and a null vec_id is never a component.
-    No rows: no rows.
+    component, kept. Rows that repeat a vec_id count as vectors of their own. A row with a null vec_id is compared and
+    counted like any other; its component is named after the smallest vec_id in it, null if there is none. Other columns
+    are ignored, whatever their names. No rows: no rows.
     """
+    kind = np.float32 if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else np.float64
 
     def clean(values: list) -> list[list]:
         raw = []
         for v in values:
-            x = None if not v or None in v else np.array(v, np.float64)
-            raw.append((x + 0.0).tobytes() if x is not None and np.isfinite(x).all() and x.any() else None)
+            x = None if not v or None in v else np.array(v, kind)
+            raw.append((x + kind(0)).tobytes() if x is not None and np.isfinite(x).all() and x.any() else None)
         return [raw]
 
     rows = materialize(map_column(vectors, ["vec_id"], "embedding", lambda: clean, "raw binary"))
-    distinct = materialize(rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("rep is not null"))
-    made = {}
-    for r in distinct.groupBy((F.octet_length("raw") / 8).cast("int").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect():
+    distinct = rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("name"), F.count(F.lit(1)).alias("copies"))
+    distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("uid"), "raw", "name", "copies"))
+    made, width = {}, np.dtype(kind).itemsize
+    for r in distinct.groupBy((F.octet_length("raw") / width).cast("int").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect():
         made[r["dim"]] = ProductCode(r["dim"], *code_shape(r["n"], per_vector), per_vector, seed, least, recall)
     shared = vectors.sparkSession.sparkContext.broadcast(made)
 
     def unit_of(raws) -> np.ndarray:
-        x = np.stack([np.frombuffer(r, np.float64) for r in raws])
+        x = np.stack([np.frombuffer(r, kind) for r in raws]).astype(np.float64)
         x = x / np.abs(x).max(axis=1, keepdims=True)
         return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for dim, part in pdf.groupby(pdf["raw"].map(len) // 8):
+            for dim, part in pdf.groupby(pdf["raw"].map(len) // width):
                 if dim not in shared.value:  # alone in its length
                     continue
                 for lo in range(0, len(part), 512):
                     few = part.iloc[lo : lo + 512]
-                    lists = shared.value[dim].decode(unit_of(few["raw"]))
-                    yield pd.DataFrame({"dim": dim, "filter": np.concatenate(lists), "rep": np.repeat(few["rep"].to_numpy(), [len(c) for c in lists])})
-
-    filed = materialize(distinct.select("raw", "rep").mapInPandas(spread, "dim int, filter long, rep long"))
-    sizes = filed.groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).drop("size")
-    chunked = filed.join(sizes, ["dim", "filter"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+                    yield pd.DataFrame({"dim": dim, "step": shared.value[dim].size, "uid": few["uid"].to_numpy(), "filters": shared.value[dim].decode(unit_of(few["raw"]))})
+
+    filed = materialize(distinct.select("raw", "uid").mapInPandas(spread, "dim int, step long, uid long, filters array<long>"))
+    filed = filed.select("dim", "step", "uid", F.explode("filters").alias("filter"))
+    shared_filters = filed.groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    begun = filed.join(shared_filters, ["dim", "filter"]).groupBy("dim", F.floor(F.col("filter") / F.col("step")).alias("prefix"), "uid").agg(F.collect_list("filter").alias("filters"))
+    begun = materialize(begun)
+    sizes = begun.groupBy("dim", "prefix").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).drop("size")
+    chunked = begun.join(sizes, ["dim", "prefix"]).withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
     units = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
     units = units.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("other", "chunks")
-    keys = ["dim", "filter", "i", "j"]
-    units = units.join(distinct, "rep").repartition(*keys).sortWithinPartitions(*keys, "chunk")
+    keys = ["dim", "prefix", "i", "j"]
+    units = units.join(distinct.drop("name"), "uid").repartition(*keys).sortWithinPartitions(*keys, "chunk")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf, bounds in runs_of(batches, keys):
+        few = (pdf.iloc[lo : lo + CHUNK] for pdf in batches for lo in range(0, len(pdf), CHUNK))
+        for pdf, bounds in runs_of(few, keys):
             out = []
-            raw, reps, copies, chunk = pdf["raw"].to_numpy(), pdf["rep"].to_numpy(), pdf["copies"].to_numpy(), pdf["chunk"].to_numpy()
-            dims, filters, i, j = pdf["dim"].to_numpy(), pdf["filter"].to_numpy(), pdf["i"].to_numpy(), pdf["j"].to_numpy()
+            raw, uids, copies, chunk, lists = (pdf[c].to_numpy() for c in ("raw", "uid", "copies", "chunk", "filters"))
+            dims, prefix, i, j = (pdf[c].to_numpy() for c in keys)
             for a, b in zip(bounds, [*bounds[1:], len(pdf)]):
                 if b - a < 2:
                     continue
+                code = shared.value[dims[a]]
                 left = int((chunk[a:b] == i[a]).sum()) if i[a] != j[a] else 0
-                degree, edges = _links(unit_of(raw[a:b]), shared.value[dims[a]].decode, copies[a:b].astype(np.float64), filters[a], left, least)
-                out += [(int(r), None, int(d)) for r, d in zip(reps[a:b], degree) if d]
-                out += [(int(reps[a + x]), int(reps[a + y]), 0) for x, y in edges]
+                degree, edges = _links(unit_of(raw[a:b]), list(lists[a:b]), code.decode, copies[a:b].astype(np.float64), int(prefix[a]) * code.size, left, least)
+                out += [(int(r), None, int(d)) for r, d in zip(uids[a:b], degree) if d]
+                out += [(int(uids[a + x]), int(uids[a + y]), 0) for x, y in edges]
             if out:
                 yield pd.DataFrame(out, columns=["a", "b", "n"]).astype({"b": "Int64"})
 
     found = materialize(units.mapInPandas(compare, "a long, b long, n long"))
-    degrees = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("degree"))
-    groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
-    reps = distinct.join(degrees, "rep", "left").join(groups, "rep", "left").select("raw", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
-    out = rows.join(reps, "raw", "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    degrees = found.groupBy(F.col("a").alias("uid")).agg(F.sum("n").alias("degree"))
+    groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "uid")
+    reps = distinct.join(degrees, "uid", "left").join(groups, "uid", "left").select("raw", "name", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "uid").alias("component"))
+    names = reps.groupBy("component").agg(F.min("name").alias("component_id"))
+    reps = reps.join(names, "component").select("raw", "links", "component_id", F.lit(True).alias("live"))
+    out = rows.join(reps, "raw", "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("live"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

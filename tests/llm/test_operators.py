@@ -310,6 +310,15 @@ def test_embedding(spark, monkeypatch, chunk):
     assert embedding.embedding_neighbours(df.limit(0)).count() == 0
 
 
+def test_embedding_null_ids(spark):
+    """A row without an id is compared and counted, and links others."""
+    at = lambda d: [math.cos(math.radians(d)), math.sin(math.radians(d))]
+    rows = [(None, at(0)), (5, at(20)), (3, at(-20)), (None, at(90)), (None, at(91)), (8, at(200)), (9, at(8))]
+    for kind in ("float", "double"):
+        got = by_row(embedding.embedding_neighbours(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")), "vec_id", "n_links", "component_id")
+        assert got == sorted([(None, 3, 3), (5, 2, 3), (3, 1, 3), (9, 2, 3), (None, 1, None), (None, 1, None), (8, 0, 8)], key=repr)
+
+
 @pytest.mark.parametrize("n", [2000, 10_000, 100_000, 1_000_000])
 def test_embedding_recall_at_the_bound(n):
     """Pairs at 0.90 to 0.92 alone, on axes and at random, whatever the number of vectors."""
