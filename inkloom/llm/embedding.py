@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import components, map_column, materialize, runs_of
 
-#: Vectors of one prefix that are compared in one task; two such chunks meet at a time.
-CHUNK = 2048
+#: Vectors of one group of filters that are compared in one task; two such chunks meet at a time.
+CHUNK = 4096
 #: Random pairs on which the bound of the filters is calibrated.
 PAIRS = 10_000
 
@@ -38,6 +38,12 @@ class ProductCode:
         for a, b in zip(cuts, cuts[1:]):
             book = rng.standard_normal((size, b - a))
             self.books.append(_grid(turn[:, a:b] @ (book / np.linalg.norm(book, axis=1, keepdims=True) / math.sqrt(blocks)).T))
+        last, order = self.books[-1], [0]
+        rest = set(range(1, size))
+        while rest:  # neighbours come one after the other, so that a vector's filters fall in few groups
+            order.append(max(rest, key=(last.T @ last[:, order[-1]]).__getitem__))
+            rest.remove(order[-1])
+        self.books[-1] = np.ascontiguousarray(last[:, order])
         self.size = size
         tail = min(0.5, per_vector / size**blocks)
         self.least = float(_grid(NormalDist().inv_cdf(1 - tail) / math.sqrt(dim)))
@@ -47,6 +53,15 @@ class ProductCode:
         missed = max(0.0, 1 - recall - 3 * math.sqrt(recall * (1 - recall) / PAIRS))
         self.least = min(self.least, float(reach[int(missed * PAIRS)]))
 
+    def group(self, n: int, most: float) -> int:
+        """So many filters in a row make a group that about ``most`` of ``n`` unrelated vectors fall in, if not more
+        than that share one filter."""
+        x = np.random.default_rng(0).standard_normal((500, self.books[0].shape[0]))
+        lists, g = self.decode(x / np.linalg.norm(x, axis=1, keepdims=True)), self.size
+        while g > 1 and n * sum(len(np.unique(c // g)) for c in lists) / len(lists) * g / self.size ** len(self.books) > most:
+            g = (g + 1) // 2
+        return g
+
     def _products(self, unit: np.ndarray) -> Iterator[list[np.ndarray]]:
         """For each vector its products with each block's vectors: exact, as all factors are on a grid, so that a vector
         has the same filters in whatever batch it comes."""
@@ -111,7 +126,7 @@ def code_shape(n: int, per_vector: float, bucket: float = 24.0) -> tuple[int, in
 
 
 def _links(unit: np.ndarray, lists: list[np.ndarray], decode: Callable[[np.ndarray], list[np.ndarray]], weight: np.ndarray, floor: int, left: int, least: float):
-    """Among vectors whose filters (``lists``) begin alike: each row's copies linked here first, and links that span the
+    """Among vectors with filters (``lists``) in one group: each row's copies linked here first, and links that span the
     components. Pairs that share a filter below ``floor`` are counted where they share it.
 
     ``left``: rows of the first chunk; only pairs across the two chunks count, or, if it is zero, all pairs.
@@ -138,14 +153,22 @@ def _links(unit: np.ndarray, lists: list[np.ndarray], decode: Callable[[np.ndarr
     if len(flat):
         names, at_name = np.unique(flat, return_inverse=True)
         at = np.repeat(np.arange(len(some)), [len(c) for c in lower])
-        shared = np.zeros((len(some), len(some)), np.float32)
-        for lo in range(0, len(names), 1024):
-            part = (at_name >= lo) & (at_name < lo + 1024)
-            member = np.zeros((len(some), 1024), np.float32)
-            member[at[part], at_name[part] - lo] = 1
-            shared += member @ member.T
         first = near.copy()
-        first[some[:, None], some] &= shared < 0.5
+        bounds = np.concatenate([[0], np.cumsum([len(c) for c in lower])])
+        for lo in range(0, len(some), 512):
+            hi = min(lo + 512, len(some))
+            mine = at_name[bounds[lo] : bounds[hi]]
+            few = np.unique(mine)
+            spot = np.searchsorted(few, at_name)
+            spot[spot == len(few)] = 0
+            known = few[spot] == at_name if len(few) else np.zeros(len(at_name), bool)
+            both = np.zeros((hi - lo, len(some)), np.float32)
+            for c in range(0, len(few), 512):
+                part = known & (spot >= c) & (spot < c + 512)
+                member = np.zeros((len(some), 512), np.float32)
+                member[at[part], spot[part] - c] = 1
+                both += member[lo:hi] @ member.T
+            first[some[lo:hi, None], some] &= both < 0.5
     degree = first.astype(np.float64) @ weight if n <= 256 else np.array([weight[r].sum() for r in first])
     labels, edges = np.arange(n), []
     for i in some.tolist():
@@ -163,8 +186,8 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
     ``least``; no other pair links. Of the pairs at just ``least`` the share ``recall`` is found, and more of closer ones,
     for any number of vectors: a vector falls in as many filters as that takes, at least about ``per_vector`` of them
     in the mean, and a slowly growing number as there are more vectors. Equal vectors are one vector with a count and
-    always link. Vectors meet by the prefix of their filters, all but the last block, so that one travels once for all
-    its filters that begin alike. A prefix's vectors are dealt into chunks, and each pair of chunks is compared in one
+    always link. Vectors meet by groups of filters that lie side by side, so that one travels once for all its filters in
+    a group. A group's vectors are dealt into chunks, and each pair of chunks is compared in one
     task, which gives back a count per vector and a spanning set of links, never all pairs.
 
     Null or zero vectors, and those with null or non-finite components, link with nothing: no links, their own
@@ -184,10 +207,11 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
     rows = materialize(map_column(vectors, ["vec_id"], "embedding", lambda: clean, "raw binary"))
     distinct = rows.where("raw is not null").groupBy("raw").agg(F.min("vec_id").alias("name"), F.count(F.lit(1)).alias("copies"))
     distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("uid"), "raw", "name", "copies"))
-    made, width = {}, np.dtype(kind).itemsize
+    made, steps, width = {}, {}, np.dtype(kind).itemsize
     for r in distinct.groupBy((F.octet_length("raw") / width).cast("int").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect():
         made[r["dim"]] = ProductCode(r["dim"], *code_shape(r["n"], per_vector), per_vector, seed, least, recall)
-    shared = vectors.sparkSession.sparkContext.broadcast(made)
+        steps[r["dim"]] = made[r["dim"]].group(r["n"], CHUNK / 2)
+    shared = vectors.sparkSession.sparkContext.broadcast((made, steps))
 
     def unit_of(raws) -> np.ndarray:
         x = np.stack([np.frombuffer(r, kind) for r in raws]).astype(np.float64)
@@ -197,22 +221,23 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for dim, part in pdf.groupby(pdf["raw"].map(len) // width):
-                if dim not in shared.value:  # alone in its length
+                codes, steps = shared.value
+                if dim not in codes:  # alone in its length
                     continue
                 for lo in range(0, len(part), 512):
                     few = part.iloc[lo : lo + 512]
-                    yield pd.DataFrame({"dim": dim, "step": shared.value[dim].size, "uid": few["uid"].to_numpy(), "filters": shared.value[dim].decode(unit_of(few["raw"]))})
+                    yield pd.DataFrame({"dim": dim, "step": steps[dim], "uid": few["uid"].to_numpy(), "filters": codes[dim].decode(unit_of(few["raw"]))})
 
     filed = materialize(distinct.select("raw", "uid").mapInPandas(spread, "dim int, step long, uid long, filters array<long>"))
     filed = filed.select("dim", "step", "uid", F.explode("filters").alias("filter"))
     shared_filters = filed.groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    begun = filed.join(shared_filters, ["dim", "filter"]).groupBy("dim", F.floor(F.col("filter") / F.col("step")).alias("prefix"), "uid").agg(F.collect_list("filter").alias("filters"))
-    begun = materialize(begun)
-    sizes = begun.groupBy("dim", "prefix").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).drop("size")
-    chunked = begun.join(sizes, ["dim", "prefix"]).withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
+    grouped = filed.join(shared_filters, ["dim", "filter"]).groupBy("dim", F.floor(F.col("filter") / F.col("step")).alias("group"), "uid").agg(F.collect_list("filter").alias("filters"))
+    grouped = materialize(grouped)
+    sizes = grouped.groupBy("dim", "group").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).drop("size")
+    chunked = grouped.join(sizes, ["dim", "group"]).withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks")).cast("int"))
     units = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
     units = units.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("other", "chunks")
-    keys = ["dim", "prefix", "i", "j"]
+    keys = ["dim", "group", "i", "j"]
     units = units.join(distinct.drop("name"), "uid").repartition(*keys).sortWithinPartitions(*keys, "chunk")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -220,13 +245,13 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
         for pdf, bounds in runs_of(few, keys):
             out = []
             raw, uids, copies, chunk, lists = (pdf[c].to_numpy() for c in ("raw", "uid", "copies", "chunk", "filters"))
-            dims, prefix, i, j = (pdf[c].to_numpy() for c in keys)
+            dims, group, i, j = (pdf[c].to_numpy() for c in keys)
             for a, b in zip(bounds, [*bounds[1:], len(pdf)]):
                 if b - a < 2:
                     continue
-                code = shared.value[dims[a]]
+                code, step = (x[dims[a]] for x in shared.value)
                 left = int((chunk[a:b] == i[a]).sum()) if i[a] != j[a] else 0
-                degree, edges = _links(unit_of(raw[a:b]), list(lists[a:b]), code.decode, copies[a:b].astype(np.float64), int(prefix[a]) * code.size, left, least)
+                degree, edges = _links(unit_of(raw[a:b]), list(lists[a:b]), code.decode, copies[a:b].astype(np.float64), int(group[a]) * step, left, least)
                 out += [(int(r), None, int(d)) for r, d in zip(uids[a:b], degree) if d]
                 out += [(int(uids[a + x]), int(uids[a + y]), 0) for x, y in edges]
             if out:
@@ -234,8 +259,8 @@ def embedding_neighbours(vectors: DataFrame, least: float = 0.9, per_vector: flo
 
     found = materialize(units.mapInPandas(compare, "a long, b long, n long"))
     degrees = found.groupBy(F.col("a").alias("uid")).agg(F.sum("n").alias("degree"))
-    groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "uid")
-    reps = distinct.join(degrees, "uid", "left").join(groups, "uid", "left").select("raw", "name", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "uid").alias("component"))
+    linked = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "uid")
+    reps = distinct.join(degrees, "uid", "left").join(linked, "uid", "left").select("raw", "name", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "uid").alias("component"))
     names = reps.groupBy("component").agg(F.min("name").alias("component_id"))
     reps = reps.join(names, "component").select("raw", "links", "component_id", F.lit(True).alias("live"))
     out = rows.join(reps, "raw", "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("live"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"))
