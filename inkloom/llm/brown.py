@@ -2,251 +2,407 @@
 
 from __future__ import annotations
 
+import itertools
+import logging
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import commonest, lower_words, map_column, materialize
+from .common import FEW, commonest, lower_words, materialize
 
-#: Words whose counts every executor holds (bounded: about 100 bytes each); other words' counts are joined.
+log = logging.getLogger(__name__)
+
+#: The commonest words, whose classes start by exchange on the driver (at most the square of them pairs are sent there).
+#: Every other word is then inserted into one of these classes on the executors.
+CLUSTERED = 2000
+CLASSES, SWEEPS = 64, 8
+#: Words whose classes and counts every executor holds (bounded: about 100 bytes each); other words' are joined.
 HEAD = 200_000
-#: Of these, the words that are clustered one by one; all others are clustered by their ending.
-WORDS, ENDINGS = 6000, 2000
-CLASSES, ROUNDS = 64, 8
 #: Weight of the class frequencies in each class transition.
 MIX = 0.02
 FOLDS, HELD = 7, 2
-
-
-def ending(word: bytes) -> bytes:
-    """What stands for a word outside the clustered ones: a mark and its last three bytes."""
-    return b"\xff" + word[-3:]
-
-
-class Units:
-    """Numbers the clustered units: 0 a text's end (and start), then words, then endings, last all other words."""
-
-    def __init__(self, words: list[bytes], endings: list[bytes]) -> None:
-        self.of = {w: i + 1 for i, w in enumerate(words)} | {e: len(words) + 1 + i for i, e in enumerate(endings)}
-        self.other = len(words) + len(endings) + 1
-        self.size = self.other + 1
-
-    def __call__(self, word: bytes) -> int:
-        got = self.of.get(word)
-        return got if got is not None else self.of.get(ending(word), self.other)
-
-    def sequence(self, words: list[bytes], cache: dict[bytes, int]) -> list[int]:
-        out = []
-        for w in words:
-            u = cache.get(w)
-            if u is None:
-                u = self(w)
-                if len(cache) < 300_000:
-                    cache[w] = u
-            out.append(u)
-        return out
-
-
-def word_counts(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``(word, n)`` of all words of ``docs(text)``, and the number of texts; counts are summed before the shuffle."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        texts = 0
-        for pdf in batches:
-            for t in pdf["text"]:
-                seen.update(lower_words(t if isinstance(t, str) else None))
-            texts += len(pdf)
-            if len(seen) > 400_000:
-                yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
-                seen = Counter()
-        # No word is empty: the empty one counts the texts.
-        yield pd.DataFrame({"word": [*seen.keys(), b""], "n": [*seen.values(), texts]})
-
-    counts = materialize(docs.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    texts = counts.where(F.octet_length("word") == 0).agg(F.sum("n").alias("n")).collect()[0]["n"] or 0
-    return counts.where(F.octet_length("word") > 0), int(texts)
-
-
-def transitions(docs: DataFrame, units: Units) -> DataFrame:
-    """``(u, v, n)``: how often unit v follows unit u in ``docs(text)``; summed before the shuffle."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[bytes, int] = {}
+#: Words of the texts that are packed into one row; a longer text is a row of its own.
+PACKED = 1 << 18
+#: Bits of a word's hash that its neighbours' counts are summed by, beside 7 bits for the neighbour's class.
+WORD_BITS = 57
+
+END, OTHER = 0, 1
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as numbers: rows ``(doc_ids, held, lens, words, seq)``, of which ``seq`` holds for each word of the texts, in
+    order, its place in ``words``, in two bytes where they suffice. Later passes look up each distinct word only once."""
+    names: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    ids, held, parts = [], [], []
+    size = 0
+
+    def row() -> pa.RecordBatch:
+        kind = np.uint16 if len(names) <= 1 << 16 else np.uint32
+        seq = np.concatenate(parts).astype(kind).tobytes()
+        made = [pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([[len(p) for p in parts]], pa.list_(pa.int32())), pa.array([list(names)], pa.list_(pa.binary())), pa.array([seq], pa.binary())]
+        return pa.RecordBatch.from_arrays(made, names=["doc_ids", "held", "lens", "words", "seq"])
+
+    for batch in (b.slice(i, FEW) for b in batches for i in range(0, b.num_rows, FEW)):
+        for doc, out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            words = lower_words(text)
+            if ids and (size + len(words) > PACKED or len(names) + len(words) > 1 << 16 or len(ids) >= PACKED):
+                yield row()
+                names, ids, held, parts, size = defaultdict(itertools.count().__next__), [], [], [], 0
+            ids.append(doc)
+            held.append(out)
+            parts.append(np.fromiter(map(names.__getitem__, words), np.uint32, len(words)))
+            size += len(words)
+    if ids:
+        yield row()
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Of each packed row: the batch, its place there, the words, and per text whether it is held out and its length, and ``seq``."""
+    for b in batches:
+        words, held, lens, seq = (b.column(c) for c in ("words", "held", "lens", "seq"))
+        for i in range(b.num_rows):
+            n = lens[i].values.to_numpy()
+            raw = seq[i].as_buffer()
+            kind = np.uint16 if len(raw) == 2 * int(n.sum()) else np.uint32
+            yield b, i, words[i].values, held[i].values.to_numpy(zero_copy_only=False).astype(bool), n, np.frombuffer(raw, kind)
+
+
+def with_ends(seq: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The texts one after the other, with ``END`` after each."""
+    return np.insert(seq, np.cumsum(lens), END)
+
+
+def word_counts(packed: DataFrame) -> tuple[DataFrame, int]:
+    """``(word, n)`` of all words of the texts that aren't held out, and the number of these texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, words, held, lens, seq in unpacked(batches):
+            n = np.bincount(seq[np.repeat(~held, lens)], minlength=len(words))
+            yield pa.RecordBatch.from_arrays([words.filter(pa.array(n > 0)), pa.array(n[n > 0], pa.int64())], names=["word", "n"])
+
+    counts = packed.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    texts = packed.agg(F.sum(F.size(F.filter("held", lambda h: ~h))).alias("n")).collect()[0]["n"]
+    return materialize(counts), int(texts or 0)
+
+
+def transitions(packed: DataFrame, units: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """How often each unit follows each other in the texts that aren't held out: ``u * size + v`` and its count. Units are
+    ``END``, ``OTHER`` and the given words; counts are summed on the executors."""
+    size = len(units) + 2
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for _, _, words, held, lens, seq in unpacked(batches):
+            of = np.array([units.get(w, OTHER) for w in words.to_pylist()], np.int64)
+            full = with_ends(of[seq[np.repeat(~held, lens)]] if len(of) else np.zeros(0, np.int64), lens[~held])
+            if len(full):
+                names, n = np.unique(np.concatenate([[END], full[:-1]]) * size + full, return_counts=True)
+                total[names] += n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["pair", "n"])
+
+    got = packed.mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).orderBy("pair").toArrow()
+    return got.column("pair").to_numpy().astype(np.int64), got.column("n").to_numpy()
+
+
+def _h(x):
+    return x * np.log(np.maximum(x, 1))
+
+
+def likelihood(joint: np.ndarray) -> float:
+    """The log-likelihood of class transitions, but for what doesn't depend on the classes."""
+    return float(_h(joint).sum() - _h(joint.sum(axis=0)).sum() - _h(joint.sum(axis=1)).sum())
+
+
+def exchange(pairs: np.ndarray, n: np.ndarray, size: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[np.ndarray, list[float]]:
+    """A class for each unit by the exchange algorithm, and the likelihood after each sweep, which never falls.
+
+    Units are taken one after the other, the commonest first; each goes to the class that raises the likelihood most,
+    all counts being brought up to date after each move; of equals the first, and a unit only moves for a rise. Sweeps
+    end when no unit has moved. ``END`` and ``OTHER`` keep classes 0 and 1 for themselves; the others start in turn in
+    the rest.
+    """
+    u, v = pairs // size, pairs % size
+    classes = max(3, min(classes, size))
+    own = np.concatenate([[0, 1], 2 + np.arange(size - 2) % (classes - 2)])
+    joint = np.bincount(own[u] * classes + own[v], n, classes * classes).reshape(classes, classes)
+    after = np.searchsorted(u, np.arange(size + 1))  # pairs are sorted by u, then v
+    order = np.argsort(v, kind="stable")
+    back_u, back_n, before = u[order], n[order], np.searchsorted(v[order], np.arange(size + 1))
+    history = [likelihood(joint)]
+    diagonal = np.arange(classes)
+    for _ in range(sweeps):
+        moved = 0
+        for w in range(2, size):
+            a, b, c, d = after[w], after[w + 1], before[w], before[w + 1]
+            if a == b and c == d:
+                continue
+            out = np.bincount(own[v[a:b]], n[a:b], classes)
+            inn = np.bincount(own[back_u[c:d]], back_n[c:d], classes)
+            at = a + np.searchsorted(v[a:b], w)
+            same = float(n[at]) if at < b and v[at] == w else 0.0
+            was = own[w]
+            out[was] -= same
+            inn[was] -= same
+            rest = joint.copy()
+            rest[was] -= out
+            rest[:, was] -= inn
+            rest[was, was] -= same
+            h = _h(rest)
+            rows, cols = _h(rest + out) - h, _h(rest + inn[:, None]) - h
+            both = _h(rest[diagonal, diagonal] + out + inn + same) - h[diagonal, diagonal]
+            gain = rows.sum(axis=1) - rows[diagonal, diagonal] + cols.sum(axis=0) - cols[diagonal, diagonal] + both
+            left, right = rest.sum(axis=1) + inn, rest.sum(axis=0) + out
+            gain -= _h(left + out.sum() + same) - _h(left) + _h(right + inn.sum() + same) - _h(right)
+            gain[:2] = -np.inf
+            best = int(np.argmax(gain))
+            if best != was and gain[best] > gain[was] + 1e-6:
+                moved += 1
+                own[w] = best
+            else:
+                best = was
+            rest[best] += out
+            rest[:, best] += inn
+            rest[best, best] += same
+            joint = rest
+        history.append(likelihood(joint))
+        log.info("exchange: %d of %d units moved, log-likelihood %.6g", moved, size, history[-1])
+        if not moved:
+            break
+    return own, history
+
+
+def insert(packed: DataFrame, head: dict[bytes, int], joint: np.ndarray) -> DataFrame:
+    """``(wid, class)`` of the words that aren't in ``head`` (word: class) and stand beside one that is, or an end.
+
+    A word goes to the class, of those of ``head``, that makes its neighbours there likeliest, by ``joint``, given how
+    often they come before and after it in all texts that aren't held out; of equals the first. These counts are summed on
+    the executors, by a hash of the word (``wid``) and the neighbour's class.
+    """
+    k = len(joint)
+    if not head:
+        return packed.sparkSession.createDataFrame([], "wid long, class int")
+    follow = np.log((joint + 0.1) / (joint.sum(axis=1, keepdims=True) + 0.1 * k))
+    precede = np.log((joint + 0.1) / (joint.sum(axis=0, keepdims=True) + 0.1 * k))
+    weights = np.vstack([follow, precede.T])  # neighbours before, then after, by classes of the word
+    weights[:, [c for c in range(k) if c not in set(head.values())]] = -np.inf
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sums, rows = [], [], 0
 
         def summed() -> tuple[np.ndarray, np.ndarray]:
-            k, n = np.concatenate(keys), np.concatenate(sums)
-            names, at = np.unique(k, return_inverse=True)
-            return names, np.bincount(at, n).astype(np.int64)
-
-        def frame() -> pd.DataFrame:
-            names, n = summed()
-            return pd.DataFrame({"u": names // units.size, "v": names % units.size, "n": n})
-
-        for pdf in batches:
-            got = [0]
-            for t in pdf["text"]:
-                got += units.sequence(lower_words(t if isinstance(t, str) else None), cache)
-                got.append(0)
-            seq = np.array(got, np.int64)
-            names, n = np.unique(seq[:-1] * units.size + seq[1:], return_counts=True)
-            keys.append(names)
+            names, at = np.unique(np.concatenate(keys), return_inverse=True)
+            return names, np.bincount(at, np.concatenate(sums)).astype(np.int64)
+
+        def made(names: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            wid = (names >> np.uint64(7)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(wid), pa.array((names & np.uint64(127)).astype(np.int32)), pa.array(n)], names=["wid", "code", "n"])
+
+        for _, _, words, held, lens, seq in unpacked(batches):
+            texts = words.to_pylist()
+            of = np.array([head.get(w, -1) for w in texts] + [END], np.int64)
+            wid = np.array([xxhash.xxh64_intdigest(w, 42) if c < 0 else 0 for w, c in zip(texts, of)] + [0], np.uint64) << np.uint64(7)
+            end = len(texts)
+            full = np.insert(seq[np.repeat(~held, lens)].astype(np.int64), np.cumsum(lens[~held]), end)
+            if not len(full):
+                continue
+            full = np.concatenate([[end], full])
+            left, right = full[:-1], full[1:]
+            got = []
+            for me, other, base in ((right, left, 0), (left, right, 64)):
+                use = (of[me] < 0) & (of[other] >= 0)
+                got.append(me[use] * 128 + of[other[use]] + base)
+            names, n = np.unique(np.concatenate(got), return_counts=True)
+            keys.append(wid[names >> 7] | (names & 127).astype(np.uint64))
             sums.append(n)
             rows += len(names)
             if rows > 2_000_000:
                 names, n = summed()
                 keys, sums, rows = [names], [n], len(names)
                 if rows > 1_500_000:
-                    yield frame()
+                    yield made(names, n)
                     keys, sums, rows = [], [], 0
         if keys:
-            yield frame()
-
-    return docs.select("text").mapInPandas(count, "u int, v int, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
-
-
-def _by_class(pairs: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Units by classes: how often each class follows each unit, and comes before it. At most units x classes numbers."""
-    spark = pairs.sparkSession
-    k = int(classes.max()) + 1
-    table = F.broadcast(spark.createDataFrame(pd.DataFrame({"unit": np.arange(len(classes), dtype=np.int32), "class": classes.astype(np.int32)})))
-    both = pairs.join(table.withColumnRenamed("unit", "v"), "v").select(F.lit(0).alias("side"), F.col("u").alias("unit"), "class", "n")
-    both = both.unionByName(pairs.join(table.withColumnRenamed("unit", "u"), "u").select(F.lit(1).alias("side"), F.col("v").alias("unit"), "class", "n"))
-    got = both.groupBy("side", "unit", "class").agg(F.sum("n").alias("n")).toArrow().to_pandas()
-    out = np.zeros((2, len(classes), k))
-    out[got["side"].to_numpy(), got["unit"].to_numpy(), got["class"].to_numpy()] = got["n"].to_numpy()
-    return out[0], out[1]
+            yield made(*summed())
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = np.concatenate([np.arange(k), 64 + np.arange(k)])
+        for b in (b.slice(i, 8192) for b in batches for i in range(0, b.num_rows, 8192)):
+            lists, flat = b.column("near"), b.column("near").flatten()
+            row = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            counts = np.bincount(row * 128 + flat.field("code").to_numpy(), flat.field("n").to_numpy(), b.num_rows * 128).reshape(-1, 128)
+            finite = np.flatnonzero(np.isfinite(weights[0]))
+            best = finite[np.argmax(counts[:, at] @ weights[:, finite], axis=1)]
+            yield pa.RecordBatch.from_arrays([b.column("wid"), pa.array(best.astype(np.int32))], names=["wid", "class"])
+
+    # No word here is among the commonest, so no key has a large share of the rows.
+    summed = packed.mapInArrow(count, "wid long, code int, n long").repartition("wid").groupBy("wid", "code").agg(F.sum("n").alias("n"))
+    near = summed.groupBy("wid").agg(F.collect_list(F.struct("code", "n")).alias("near"))  # at most 128 a word
+    return materialize(near.mapInArrow(choose, "wid long, class int"))
+
+
+@dataclass
+class Model:
+    """The classes and counts of all words, ``words(word, n, class)``, and the numbers of the classes."""
+
+    words: DataFrame
+    texts: int
+    n_all: int
+    n_types: int
+    classes: int
+    #: The class of words that weren't seen, and of those seen beside no clustered one: that of the most distinct words.
+    spare: int
+    #: log10 of tokens and distinct words (and, of the spare class, one unknown word) by class.
+    room: np.ndarray
+    history: list[float]
+
+
+def fit(packed: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, sweeps: int = SWEEPS) -> Model:
+    """Counts all words of the texts that aren't held out and gives each a class."""
+    if classes > 64:
+        raise ValueError("at most 64 classes")
+    spark = packed.sparkSession
+    counts, texts = word_counts(packed)
+    total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
+    top = commonest(counts, clustered).collect()
+    top = sorted(((bytes(r["word"]), r["n"]) for r in top), key=lambda x: (-x[1], x[0]))
+    units = {w: i + 2 for i, (w, _) in enumerate(top)}
+    pairs, n = transitions(packed, units)
+    own, history = exchange(pairs, n, len(units) + 2, classes, sweeps)
+    k, size = int(own.max()) + 1, len(units) + 2
+    joint = np.bincount(own[pairs // size] * k + own[pairs % size], n, k * k).reshape(k, k)
+    head = {w: int(own[i]) for w, i in units.items()}
+    tail = insert(packed, head, joint)
+    heads = spark.createDataFrame([(bytearray(w), c) for w, c in head.items()], "word binary, head int")
+    named = counts.withColumn("wid", F.xxhash64("word").bitwiseAND(F.lit((1 << WORD_BITS) - 1)))
+    named = named.join(F.broadcast(heads), "word", "left").join(tail, "wid", "left").select("word", "n", F.coalesce("head", "class").alias("class"))
+    named = materialize(named)
+    sums = {r["class"]: (r["n"], r["v"]) for r in named.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
+    lone = sums.pop(None, (0, 0))
+    spare = min(sums, key=lambda c: (-sums[c][1], c)) if sums else END
+    mass = np.zeros(k)
+    for c, (tokens, types) in sums.items():
+        mass[c] += tokens + types
+    mass[spare] += sum(lone) + 1
+    mass[END] += texts + (texts > 0)
+    words = named.select("word", "n", F.coalesce("class", F.lit(spare)).alias("class"))
+    return Model(words, texts, int(total["n"] or 0) + texts, int(total["v"]) + (texts > 0), k, spare, np.log10(np.maximum(mass, 1)), history)
 
 
-def exchange(pairs: DataFrame, size: int, classes: int = CLASSES, rounds: int = ROUNDS, seed: int = 42) -> np.ndarray:
-    """A class for each unit, by exchange: each round moves every unit of one half to the class that raises the
-    likelihood of ``pairs(u, v, n)`` most, given all other units' classes.
+def encode(packed: DataFrame, model: Model, head: int = HEAD) -> DataFrame:
+    """Texts as classes: ``(doc_ids, held, lens, known, logs, path)``: per text the number of known tokens and the log10 of
+    their counts plus one, and the class of each word, in one byte.
 
-    The counts of units by neighbouring classes are summed on the executors, over all pairs; the driver holds units x
-    classes numbers, a fixed bound. Unit 0, the end of a text, keeps class 0 for itself.
+    The ``head`` commonest words are looked up in a broadcast table; all others are joined with the table of words, once
+    for each packed row they are in.
     """
-    rng = np.random.default_rng(seed)
-    own = np.concatenate([[0], 1 + rng.integers(0, classes - 1, size - 1)])
-    for step in range(rounds):
-        after, before = _by_class(pairs, own)
-        if after.shape[1] < classes:
-            after, before = (np.pad(x, ((0, 0), (0, classes - x.shape[1]))) for x in (after, before))
-        joint = np.zeros((classes, classes))
-        np.add.at(joint, own, after)
-        if step == 0 and size > 2 * classes:
-            # Random classes are alike; the units' own neighbours, of the commonest units, set them apart first.
-            profile = np.sqrt(np.hstack([after, before]) + 0.5)
-            profile /= np.linalg.norm(profile, axis=1, keepdims=True)
-            centres = profile[1:classes].copy()
-            for _ in range(5):
-                near = 1 + np.argmax(profile @ centres.T, axis=1)
-                for c in range(1, classes):
-                    if (near[1:] == c).any():
-                        centres[c - 1] = profile[1:][near[1:] == c].mean(axis=0)
-                centres /= np.linalg.norm(centres, axis=1, keepdims=True)
-            own = near
-            own[0] = 0
-            continue
-        follow = np.log((joint + 0.1) / (joint.sum(axis=1, keepdims=True) + 0.1 * classes))
-        gain = after @ follow.T + before @ follow - before.sum(axis=1, keepdims=True) * np.log(joint.sum(axis=0) + 0.5)[None, :]
-        gain[:, 0] = -np.inf
-        best = np.argmax(gain, axis=1)
-        moving = (np.arange(size) * 2654435761 >> 7) % 2 == step % 2 if step < rounds - 2 else np.ones(size, bool)
-        moving[0] = False
-        own = np.where(moving, best, own)
-    return own
-
-
-def brown_scores(docs: DataFrame, head: int = HEAD, words: int = WORDS, endings: int = ENDINGS, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
+    common = commonest(model.words, head).toArrow()
+    heads = dict(zip(common.column("word").to_pylist(), zip(common.column("class").to_pylist(), common.column("n").to_pylist())))
+    shared = packed.sparkSession.sparkContext.broadcast(heads)
+    spare, texts = model.spare, model.texts
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = shared.value
+        for b, i, words, *_ in unpacked(batches):
+            at = np.array([j for j, w in enumerate(words.to_pylist()) if w not in heads], np.int32)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), b.column("chunk")[i].as_py())), pa.array(at), words.take(pa.array(at))], names=["chunk", "at", "word"])
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = shared.value
+        for b, i, words, held, lens, seq in unpacked(batches):
+            got = [heads.get(w, (spare, 0)) for w in words.to_pylist()]
+            of, n = (np.array(x, np.int64) for x in (zip(*got) if got else ((), ())))
+            more = b.column("more")[i]
+            if more.is_valid:
+                at = more.values.field("at").to_numpy()
+                of[at], n[at] = more.values.field("class").to_numpy(), more.values.field("n").to_numpy()
+            text = np.repeat(np.arange(len(lens)), lens)
+            known = np.bincount(text, (n > 0)[seq], len(lens)).astype(np.int64) + (texts > 0)
+            logs = np.bincount(text, np.log10(n + 1.0)[seq], len(lens)) + math.log10(texts + 1)
+            made = [b.column("doc_ids").slice(i, 1), b.column("held").slice(i, 1), b.column("lens").slice(i, 1), pa.array([known], pa.list_(pa.int64())), pa.array([logs], pa.list_(pa.float64())), pa.array([of[seq].astype(np.uint8).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=["doc_ids", "held", "lens", "known", "logs", "path"])
+
+    found = packed.mapInArrow(rare, "chunk long, at int, word binary").join(model.words, "word")
+    more = found.groupBy("chunk").agg(F.collect_list(F.struct("at", F.col("class").cast("int").alias("class"), "n")).alias("more"))
+    schema = "doc_ids array<long>, held array<boolean>, lens array<int>, known array<long>, logs array<double>, path binary"
+    return materialize(packed.join(more, "chunk", "left").mapInArrow(classed, schema))
+
+
+def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Of each encoded row: the batch, its place, lengths, what is held out, and the classes before and at each token."""
+    for b in batches:
+        for i in range(b.num_rows):
+            lens = b.column("lens")[i].values.to_numpy()
+            at = with_ends(np.frombuffer(b.column("path")[i].as_buffer(), np.uint8).astype(np.int64), lens)
+            yield b, i, lens, b.column("held")[i].values.to_numpy(zero_copy_only=False).astype(bool), np.concatenate([[END], at[:-1]]), at
+
+
+def class_transitions(encoded: DataFrame, k: int) -> np.ndarray:
+    """How often each class follows each other in the texts that aren't held out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k * k, np.int64)
+        for _, _, lens, held, prior, at in paths(batches):
+            use = np.repeat(~held, lens + 1)
+            total += np.bincount(prior[use] * k + at[use], minlength=k * k)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["pair", "n"])
+
+    out = np.zeros(k * k)
+    for r in encoded.mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out.reshape(k, k)
+
+
+def smoothed(joint: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each class after each other; those after one class sum to one."""
+    share = (joint.sum(axis=0) + 1) / (joint.sum() + len(joint))
+    return np.log10((1 - MIX) * (joint + share * 0.5) / (joint.sum(axis=1, keepdims=True) + 0.5) + MIX * share)
+
+
+def brown_scores(docs: DataFrame, head: int = HEAD, clustered: int = CLUSTERED, classes: int = CLASSES, sweeps: int = SWEEPS) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for each row of ``docs(doc_id, text)``.
 
     Learns from the rows that are not held out. A token's probability is that of its class after the class before
-    (mixed with the class's frequency) times that of the word in its class, (n + 1) / (tokens + words + 1 of the class),
-    where all unknown words of a class are one word more. So the probabilities after any class sum to one. Every word
-    has the class of its unit: the ``words`` commonest words are units, the others share units by their last
-    three bytes. Counts of all words, of any frequency, are exact: those beyond ``head`` are joined, not held.
+    (mixed with the class's frequency) times that of the word in its class, (n + 1) / (tokens + words of the class), where
+    all unknown words are one more word of one class. So the probabilities after any class sum to one. The ``clustered``
+    commonest words are put into classes by exchange, then every other word is inserted into the class that makes its
+    neighbours likeliest; class transitions are counted anew over all words. Counts of all words are exact.
 
     Null, empty and blank texts are one end token. Rows with a null doc_id are learnt from. Repeated rows stay and
-    count as often as they come. Without any training row all counts are zero: one class, each word at one.
+    count as often as they come. Other columns are ignored. Without any training row all counts are zero. No rows: no rows.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False))
-    train = docs.where(~held)
-    counts, texts = word_counts(train)
-    total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()[0]
-    n_all, n_types = int(total["n"] or 0) + texts, int(total["v"]) + (texts > 0)
-    common = commonest(counts, head).toArrow().to_pandas()
-    heads = dict(sorted(zip(map(bytes, common["word"]), common["n"].tolist()), key=lambda x: (-x[1], x[0])))
-    top = list(heads)[:words]
-    tail = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in top], "word binary")), "word", "left_anti") if top else counts
-    by_ending = tail.groupBy(F.expr("substring(word, greatest(length(word) - 2, 1), 3)").alias("e")).agg(F.sum("n").alias("n"))
-    units = Units(top, sorted(b"\xff" + bytes(r["e"]) for r in commonest(by_ending, endings).collect()))
-    pairs = materialize(transitions(train, units))
-    own = exchange(pairs, units.size, min(classes, units.size), rounds) if n_all else np.zeros(units.size, np.int64)
-    k = int(own.max()) + 1
-    after, _ = _by_class(pairs, own)
-    joint = np.zeros((k, k))
-    np.add.at(joint, own, after)
-    share = (joint.sum(axis=0) + 1) / (joint.sum() + k)
-    follow = np.log10((1 - MIX) * np.divide(joint + share * 0.5, joint.sum(axis=1, keepdims=True) + 0.5) + MIX * share)
-
-    def unit_types(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            at = [int(own[units(bytes(w))]) for w in pdf["word"]]
-            yield pd.DataFrame({"class": at, "n": pdf["n"], "v": 1}).groupby("class", as_index=False).sum()
-
-    sums = counts.mapInPandas(unit_types, "class int, n long, v long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow().to_pandas()
-    mass = np.zeros(k)
-    mass[sums["class"].to_numpy()] += sums["n"].to_numpy() + sums["v"].to_numpy()
-    mass[0] += texts + (texts > 0)
-    room = np.log10(mass + 1)  # log of tokens + words + 1 of each class
-    end = math.log10(texts + 1)
-    known_end = texts > 0
-    shared = spark.sparkContext.broadcast((heads, units, own, follow, room))
-
-    def start():
-        heads, units, own, follow, room = shared.value
-        cache: dict[bytes, int] = {}
-        logs = {w: math.log10(n + 1) for w, n in heads.items()}
-
-        def score(texts: list) -> tuple[list, ...]:
-            rows = []
-            for text in texts:
-                words = lower_words(text)
-                at = own[np.array([0, *units.sequence(words, cache), 0])]
-                path = float(follow[at[:-1], at[1:]].sum() - room[at[1:]].sum())
-                rest: Counter = Counter()
-                logs_of, known = end, int(known_end)
-                for w in words:
-                    n = logs.get(w)
-                    if n is None:
-                        rest[w] += 1
-                    else:
-                        logs_of += n
-                        known += 1
-                rows.append((len(words) + 1, known, logs_of, path, list(rest.keys()), list(rest.values())))
-            return tuple(zip(*rows)) if rows else ([],) * 6
-
-        return score
-
-    made = "n_tokens long, known long, logs double, path double, words array<binary>, times array<int>"
-    scored = materialize(map_column(docs.withColumn("held_out", held), ["uid", "doc_id", "held_out"], "text", start, made))
-    rare = scored.select("uid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("uid", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    found = rare.join(counts, "word").groupBy("uid").agg(F.sum("times").alias("k"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("l"))
-    logs = F.col("logs") + F.coalesce("l", F.lit(0.0))
-    return scored.join(found, "uid", "left").select(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), "text")
+    rows = rows.mapInArrow(pack, "doc_ids array<long>, held array<boolean>, lens array<int>, words array<binary>, seq binary")
+    packed = materialize(rows.withColumn("chunk", F.monotonically_increasing_id()))
+    model = fit(packed, clustered, classes, sweeps)
+    encoded = encode(packed, model, head)
+    follow = smoothed(class_transitions(encoded, model.classes))
+    room = model.room
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, i, lens, _, prior, at in paths(batches):
+            text = np.repeat(np.arange(len(lens)), lens + 1)
+            path = np.bincount(text, follow[prior, at] - room[at], len(lens))
+            made = [b.column(c)[i].values for c in ("doc_ids", "held")] + [pa.array(lens.astype(np.int64) + 1)] + [b.column(c)[i].values for c in ("known", "logs")] + [pa.array(path)]
+            yield pa.RecordBatch.from_arrays(made, names=["doc_id", "held_out", "n_tokens", "known", "logs", "path"])
+
+    scored = encoded.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, known long, logs double, path double")
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("k", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(n_all).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * math.log10(n_all + n_types + 1)).alias("base_score"),
-        (logs + F.col("path")).alias("score"),
+        F.col("known").alias("n_known"),
+        F.lit(model.n_all).cast("long").alias("train_tokens"),
+        (F.col("logs") - F.col("n_tokens") * math.log10(model.n_all + model.n_types + 1)).alias("base_score"),
+        (F.col("logs") + F.col("path")).alias("score"),
     )

@@ -470,7 +470,7 @@ def test_brown(spark, head):
     rows = [(i, " ".join(rng.choice(["the", "A", "one"]) + f" n{rng.randrange(60)} " + rng.choice(["runs", "sits"]) + f" d{rng.randrange(300)}" for _ in range(rng.randrange(0, 25)))) for i in range(300)]
     rows += [(1000, None), (1001, " \n"), (None, "the n1 runs"), (1002, "unknown-word the\u00c9 n1"), (5, rows[5][1])]
     df = docs(spark, rows)
-    got = sorted(brown.brown_scores(df, head=head, words=100, endings=20, classes=8).collect(), key=repr)
+    got = sorted(brown.brown_scores(df, head=head, clustered=100, classes=8).collect(), key=repr)
     train = [t for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
     count = {}
     for t in train:
@@ -488,18 +488,87 @@ def test_brown(spark, head):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) and all(r["score"] < 0 for r in got)
 
 
-def test_brown_probabilities_sum_to_one(spark):
-    """Over all known words, and one unknown word for each class, after the start of a text."""
-    rows = [(i, f"a{i % 4} b{i % 3} c") for i in range(40)]
-    vocabulary = sorted({w for _, t in rows for w in t.split()})
-    probe = [(100_000 + i, w) for i, w in enumerate(vocabulary)] + [(10, "")]
-    held = [x for x in range(200_000, 210_000) if zlib.crc32(str(x).encode()) % 7 == 2][: len(probe)]
-    train = [(d, t) for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2]
-    df = spark.createDataFrame(train + [(h, w) for h, (_, w) in zip(held, probe)], "doc_id long, text string")
-    got = {r["doc_id"]: r["score"] for r in brown.brown_scores(df, words=50, endings=5, classes=4).collect()}
-    # P(w) * P(end | class of w) for all w, and P(end), are disjoint events.
-    total = sum(10 ** got[h] for h in held)
-    assert 0 < total < 1
+def packed(spark, rows):
+    held = F.expr("coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 7) = 2, false)").alias("held")
+    df = docs(spark, rows).select("doc_id", held, "text")
+    return df.mapInArrow(brown.pack, "doc_ids array<long>, held array<boolean>, lens array<int>, words array<binary>, seq binary").withColumn("chunk", F.monotonically_increasing_id())
+
+
+def small_corpus(n=250):
+    rng = random.Random(8)
+    return [(i, " ".join(rng.choice(["the", "A", "one"]) + f" n{rng.randrange(60)} " + rng.choice(["runs", "sits"]) + f" d{rng.randrange(300)}" for _ in range(rng.randrange(0, 25)))) for i in range(n)]
+
+
+def test_brown_by_its_definition(spark):
+    """Scores are those of a plain class bigram model over the operator's classes, whose probabilities sum to one."""
+    rows = small_corpus() + [(1000, None), (1001, "unknown-word the n1")]
+    tokens = {d: [*brute.WORD.findall((t or "").translate(brute.LOWER)), None] for d, t in rows}
+    train = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 != 2]
+    model = brown.fit(packed(spark, rows), 30, 8)
+    of = {r["word"].decode(): (r["class"], r["n"]) for r in model.words.collect()}
+    of[None] = (0, len(train))
+    count = {}
+    for d in train:
+        for w in tokens[d]:
+            count[w] = count.get(w, 0) + 1
+    assert count == {w: n for w, (_, n) in of.items()} and len({c for c, _ in of.values()}) > 4
+    k = model.classes
+    joint, mass = np.zeros((k, k)), np.zeros(k)
+    of_word = lambda w: of.get(w, (model.spare, 0))
+    for d in train:
+        for x, y in zip([None, *tokens[d]], tokens[d]):
+            joint[of_word(x)[0], of_word(y)[0]] += 1
+    for c, n in of.values():
+        mass[c] += n + 1
+    mass[model.spare] += 1
+    share = (joint.sum(axis=0) + 1) / (joint.sum() + k)
+    follow = (1 - brown.MIX) * (joint + 0.5 * share) / (joint.sum(axis=1, keepdims=True) + 0.5) + brown.MIX * share
+    p = lambda x, y: follow[of_word(x)[0], of_word(y)[0]] * (of_word(y)[1] + 1) / mass[of_word(y)[0]]
+    empty = [c for c in range(k) if not mass[c]]
+    for before in [None, "the", "n1", "d5"]:
+        assert sum(p(before, w) for w in [*of, "never seen"]) + follow[of_word(before)[0], empty].sum() == pytest.approx(1)
+    got = {r["doc_id"]: r["score"] for r in brown.brown_scores(docs(spark, rows), clustered=30, classes=8, head=20).collect()}
+    for d, _ in rows:
+        assert got[d] == pytest.approx(sum(math.log10(p(x, y)) for x, y in zip([None, *tokens[d]], tokens[d])))
+
+
+def test_exchange_by_brute_force():
+    """The same classes as when the likelihood is computed anew for each class of each unit; it never falls."""
+    rng = np.random.default_rng(4)
+    size, classes = 24, 6
+    table = rng.poisson(1.5, (size, size)) * rng.integers(0, 8, (size, 1))
+    pairs = np.flatnonzero(table)
+    own, history = brown.exchange(pairs, table.ravel()[pairs].astype(np.int64), size, classes, 4)
+    mine = [0, 1] + [2 + i % (classes - 2) for i in range(size - 2)]
+
+    def value():
+        joint = np.zeros((classes, classes))
+        np.add.at(joint, (np.repeat(mine, size), np.tile(mine, size)), table.ravel())
+        h = lambda x: sum(v * math.log(v) for v in np.ravel(x) if v > 0)
+        return h(joint) - h(joint.sum(axis=0)) - h(joint.sum(axis=1))
+
+    seen = [value()]
+    for _ in range(4):
+        for w in range(2, size):
+            was, tried = mine[w], {}
+            for c in range(2, classes):
+                mine[w] = c
+                tried[c] = value()
+            best = max(tried, key=lambda c: (tried[c], -c))
+            mine[w] = best if tried[best] > tried[was] + 1e-6 else was
+        seen.append(value())
+    assert own.tolist() == mine and history == pytest.approx(seen[: len(history)])
+    assert all(a <= b + 1e-9 for a, b in zip(history, history[1:])) and history[-1] > history[0]
+
+
+def test_brown_of_a_long_text_and_many_words(spark, monkeypatch):
+    """Texts of more words than a packed row takes, and of more distinct ones than two bytes tell apart."""
+    rows = [(1, " ".join(f"w{i}" for i in range(70_000))), (3, "w1 w2 " * 200_000), (4, "w1"), (5, None)]
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
+    got = {r["doc_id"]: r for r in brown.brown_scores(docs(spark, rows), clustered=50, classes=8).collect()}
+    n = {d: len((t or "").split()) + 1 for d, t in rows}
+    assert {d: r["n_tokens"] for d, r in got.items()} == n
+    assert all(r["train_tokens"] == sum(n[d] for d in n if not held[d]) and r["held_out"] == held[r["doc_id"]] for r in got.values())
 
 
 def test_brown_empty(spark):
