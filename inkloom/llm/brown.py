@@ -24,7 +24,9 @@ log = logging.getLogger(__name__)
 CLUSTERED = 2000
 CLASSES, SWEEPS = 64, 8
 #: Words whose classes and counts every executor holds (bounded: about 100 bytes each); other words' are joined.
-HEAD = 200_000
+HEAD = 400_000
+#: Endings (last three bytes) that tell the class of a word never seen beside a clustered one, at most.
+ENDINGS = 20_000
 #: Weight of the class frequencies in each class transition.
 MIX = 0.02
 FOLDS, HELD = 7, 2
@@ -36,17 +38,27 @@ WORD_BITS = 57
 END, OTHER = 0, 1
 
 
+def squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def opened(value: pa.BinaryScalar) -> bytes:
+    raw = value.as_buffer()
+    return pa.decompress(raw.slice(8), int.from_bytes(raw.slice(0, 8).to_pybytes(), "little"), codec="zstd", asbytes=True)
+
+
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as numbers: rows ``(doc_ids, held, lens, words, seq)``, of which ``seq`` holds for each word of the texts, in
-    order, its place in ``words``, in two bytes where they suffice. Later passes look up each distinct word only once."""
+    """Texts as numbers: rows ``(doc_ids, held, lens, words, seq)``. ``words`` are the distinct words, one a line, and
+    ``seq`` holds for each word of the texts, in order, its line, in two bytes where they suffice; both are compressed.
+    Later passes look up each distinct word only once."""
     names: dict[bytes, int] = defaultdict(itertools.count().__next__)
     ids, held, parts = [], [], []
     size = 0
 
     def row() -> pa.RecordBatch:
         kind = np.uint16 if len(names) <= 1 << 16 else np.uint32
-        seq = np.concatenate(parts).astype(kind).tobytes()
-        made = [pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([[len(p) for p in parts]], pa.list_(pa.int32())), pa.array([list(names)], pa.list_(pa.binary())), pa.array([seq], pa.binary())]
+        seq = squeezed(np.concatenate(parts).astype(kind).tobytes())
+        made = [pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), pa.array([[len(p) for p in parts]], pa.list_(pa.int32())), pa.array([squeezed(b"\n".join(names))], pa.binary()), pa.array([seq], pa.binary())]
         return pa.RecordBatch.from_arrays(made, names=["doc_ids", "held", "lens", "words", "seq"])
 
     for batch in (b.slice(i, FEW) for b in batches for i in range(0, b.num_rows, FEW)):
@@ -69,9 +81,9 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         words, held, lens, seq = (b.column(c) for c in ("words", "held", "lens", "seq"))
         for i in range(b.num_rows):
             n = lens[i].values.to_numpy()
-            raw = seq[i].as_buffer()
+            raw, lines = opened(seq[i]), opened(words[i])
             kind = np.uint16 if len(raw) == 2 * int(n.sum()) else np.uint32
-            yield b, i, words[i].values, held[i].values.to_numpy(zero_copy_only=False).astype(bool), n, np.frombuffer(raw, kind)
+            yield b, i, lines.split(b"\n") if lines else [], held[i].values.to_numpy(zero_copy_only=False).astype(bool), n, np.frombuffer(raw, kind)
 
 
 def with_ends(seq: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -85,7 +97,7 @@ def word_counts(packed: DataFrame) -> tuple[DataFrame, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, words, held, lens, seq in unpacked(batches):
             n = np.bincount(seq[np.repeat(~held, lens)], minlength=len(words))
-            yield pa.RecordBatch.from_arrays([words.filter(pa.array(n > 0)), pa.array(n[n > 0], pa.int64())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).filter(pa.array(n > 0)), pa.array(n[n > 0], pa.int64())], names=["word", "n"])
 
     counts = packed.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     texts = packed.agg(F.sum(F.size(F.filter("held", lambda h: ~h))).alias("n")).collect()[0]["n"]
@@ -100,7 +112,7 @@ def transitions(packed: DataFrame, units: dict[bytes, int]) -> tuple[np.ndarray,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for _, _, words, held, lens, seq in unpacked(batches):
-            of = np.array([units.get(w, OTHER) for w in words.to_pylist()], np.int64)
+            of = np.array([units.get(w, OTHER) for w in words], np.int64)
             full = with_ends(of[seq[np.repeat(~held, lens)]] if len(of) else np.zeros(0, np.int64), lens[~held])
             if len(full):
                 names, n = np.unique(np.concatenate([[END], full[:-1]]) * size + full, return_counts=True)
@@ -206,10 +218,9 @@ def insert(packed: DataFrame, head: dict[bytes, int], joint: np.ndarray) -> Data
             return pa.RecordBatch.from_arrays([pa.array(wid), pa.array((names & np.uint64(127)).astype(np.int32)), pa.array(n)], names=["wid", "code", "n"])
 
         for _, _, words, held, lens, seq in unpacked(batches):
-            texts = words.to_pylist()
-            of = np.array([head.get(w, -1) for w in texts] + [END], np.int64)
-            wid = np.array([xxhash.xxh64_intdigest(w, 42) if c < 0 else 0 for w, c in zip(texts, of)] + [0], np.uint64) << np.uint64(7)
-            end = len(texts)
+            of = np.array([head.get(w, -1) for w in words] + [END], np.int64)
+            wid = np.array([xxhash.xxh64_intdigest(w, 42) if c < 0 else 0 for w, c in zip(words, of)] + [0], np.uint64) << np.uint64(7)
+            end = len(words)
             full = np.insert(seq[np.repeat(~held, lens)].astype(np.int64), np.cumsum(lens[~held]), end)
             if not len(full):
                 continue
@@ -257,9 +268,10 @@ class Model:
     n_all: int
     n_types: int
     classes: int
-    #: The class of words that weren't seen, and of those seen beside no clustered one: that of the most distinct words.
+    #: The classes of words that weren't seen: by their last three bytes, else that of the most distinct words.
+    endings: dict[bytes, int]
     spare: int
-    #: log10 of tokens and distinct words (and, of the spare class, one unknown word) by class.
+    #: log10 of tokens and distinct words and, but for the end's, one unknown word, by class.
     room: np.ndarray
     history: list[float]
 
@@ -283,17 +295,19 @@ def fit(packed: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, s
     heads = spark.createDataFrame([(bytearray(w), c) for w, c in head.items()], "word binary, head int")
     named = counts.withColumn("wid", F.xxhash64("word").bitwiseAND(F.lit((1 << WORD_BITS) - 1)))
     named = named.join(F.broadcast(heads), "word", "left").join(tail, "wid", "left").select("word", "n", F.coalesce("head", "class").alias("class"))
-    named = materialize(named)
-    sums = {r["class"]: (r["n"], r["v"]) for r in named.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    lone = sums.pop(None, (0, 0))
-    spare = min(sums, key=lambda c: (-sums[c][1], c)) if sums else END
-    mass = np.zeros(k)
-    for c, (tokens, types) in sums.items():
-        mass[c] += tokens + types
-    mass[spare] += sum(lone) + 1
-    mass[END] += texts + (texts > 0)
-    words = named.select("word", "n", F.coalesce("class", F.lit(spare)).alias("class"))
-    return Model(words, texts, int(total["n"] or 0) + texts, int(total["v"]) + (texts > 0), k, spare, np.log10(np.maximum(mass, 1)), history)
+    named = materialize(named.withColumn("ending", F.expr("substring(word, greatest(length(word) - 2, 1), 3)")))
+    ends = named.where("class is not null").groupBy("ending", "class").agg(F.count(F.lit(1)).alias("v"))
+    ends = materialize(ends.groupBy("ending").agg(F.max_by("class", F.struct("v", -F.col("class"))).alias("by_ending"), F.sum("v").alias("n")))
+    ends = materialize(commonest(ends, ENDINGS).drop("n"))
+    sizes = {r["class"]: r["v"] for r in named.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("v")).collect()}
+    spare = min(sizes, key=lambda c: (-sizes[c], c)) if sizes else END
+    words = materialize(named.join(F.broadcast(ends), "ending", "left").select("word", "n", F.coalesce("class", "by_ending", F.lit(spare)).alias("class")))
+    mass = np.ones(k)
+    mass[END] = texts + (texts > 0) + (spare == END)
+    for r in words.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        mass[r["class"]] += r["n"] + r["v"]
+    endings = {bytes(r["ending"]): r["by_ending"] for r in ends.collect()}
+    return Model(words, texts, int(total["n"] or 0) + texts, int(total["v"]) + (texts > 0), k, endings, spare, np.log10(np.maximum(mass, 1)), history)
 
 
 def encode(packed: DataFrame, model: Model, head: int = HEAD) -> DataFrame:
@@ -304,22 +318,26 @@ def encode(packed: DataFrame, model: Model, head: int = HEAD) -> DataFrame:
     for each packed row they are in.
     """
     common = commonest(model.words, head).toArrow()
-    heads = dict(zip(common.column("word").to_pylist(), zip(common.column("class").to_pylist(), common.column("n").to_pylist())))
-    shared = packed.sparkSession.sparkContext.broadcast(heads)
+    heads = {w: i for i, w in enumerate(common.column("word").to_pylist())}
+    table = [common.column(c).to_numpy() for c in ("class", "n")]
+    shared = packed.sparkSession.sparkContext.broadcast((heads, *table, model.endings))
     spare, texts = model.spare, model.texts
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads = shared.value
+        heads = shared.value[0]
         for b, i, words, *_ in unpacked(batches):
-            at = np.array([j for j, w in enumerate(words.to_pylist()) if w not in heads], np.int32)
+            at = np.array([j for j, w in enumerate(words) if w not in heads], np.int32)
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), b.column("chunk")[i].as_py())), pa.array(at), words.take(pa.array(at))], names=["chunk", "at", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), b.column("chunk")[i].as_py())), pa.array(at), pa.array([words[j] for j in at], pa.binary())], names=["chunk", "at", "word"])
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads = shared.value
+        heads, class_of, count_of, endings = shared.value
         for b, i, words, held, lens, seq in unpacked(batches):
-            got = [heads.get(w, (spare, 0)) for w in words.to_pylist()]
-            of, n = (np.array(x, np.int64) for x in (zip(*got) if got else ((), ())))
+            place = np.array([heads.get(w, -1) for w in words], np.int64)
+            known, of, n = place >= 0, np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            of[known], n[known] = class_of[place[known]], count_of[place[known]]
+            for j in np.flatnonzero(~known).tolist():
+                of[j] = endings.get(words[j][-3:], spare)
             more = b.column("more")[i]
             if more.is_valid:
                 at = more.values.field("at").to_numpy()
@@ -373,16 +391,17 @@ def brown_scores(docs: DataFrame, head: int = HEAD, clustered: int = CLUSTERED,
 
     Learns from the rows that are not held out. A token's probability is that of its class after the class before
     (mixed with the class's frequency) times that of the word in its class, (n + 1) / (tokens + words of the class), where
-    all unknown words are one more word of one class. So the probabilities after any class sum to one. The ``clustered``
+    all unknown words of a class are one more word of it. So the probabilities after any class sum to one. The ``clustered``
     commonest words are put into classes by exchange, then every other word is inserted into the class that makes its
-    neighbours likeliest; class transitions are counted anew over all words. Counts of all words are exact.
+    neighbours likeliest, or, where none of them is clustered, and if it was never seen, into the class of the most
+    words with its last three bytes; class transitions are counted anew over all words. Counts of all words are exact.
 
     Null, empty and blank texts are one end token. Rows with a null doc_id are learnt from. Repeated rows stay and
     count as often as they come. Other columns are ignored. Without any training row all counts are zero. No rows: no rows.
     """
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), "text")
-    rows = rows.mapInArrow(pack, "doc_ids array<long>, held array<boolean>, lens array<int>, words array<binary>, seq binary")
+    rows = rows.mapInArrow(pack, "doc_ids array<long>, held array<boolean>, lens array<int>, words binary, seq binary")
     packed = materialize(rows.withColumn("chunk", F.monotonically_increasing_id()))
     model = fit(packed, clustered, classes, sweeps)
     encoded = encode(packed, model, head)
