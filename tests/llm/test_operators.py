@@ -332,7 +332,7 @@ def test_embedding_recall_at_the_bound(n):
 
 
 def test_html():
-    tree = html_text.grow(np.array(html_text.LABELLED, float))
+    tree = html_text.grow(html_text.labelled_rows())
     page = (
         "<html><head><title>T</title><script>if (a</b>) '</p>'</script><style>p{}</style></head><body class='has-sidebar'>"
         "<header><a href=/>Home</a></header><nav><ul><li><a>x</a><li><a>y</a></ul></nav><div id='cookie-notice'>We use cookies.</div>"
@@ -341,7 +341,7 @@ def test_html():
         "<p>Be <span class=promo>NOW</span> here</p><section id=comments><p>A reader said a great deal about all of this and more.</p></section>"
         "</article><footer>&copy; f</footer></body>"
     )
-    assert html_text.main_text(page, tree) == "Title & <more>\n\nFirst para graph, linked © &am\n\nShort.\n\n3 < 4 bold\n\nBe here"
+    assert html_text.main_text(page, tree) == "Title & <more>\n\nFirst para graph, linked © &am\n\nShort.\n\n3 < 4 bold\n\nBe NOW here"
     for odd in (None, "", "<", "<p", "<!--", "<script>x", "</", "<p>\x00</p>" * 3):
         assert isinstance(html_text.main_text(odd, tree), str)
     long = "<article>" + "<p>" + "word " * 200_000 + "</p></article>"
@@ -350,6 +350,47 @@ def test_html():
     assert html_text.main_text(plain, tree).count("\n\n") == 1 and "also" in html_text.main_text(plain, tree)
 
 
+def test_html_names_inside_a_line_drop_nothing():
+    tree = html_text.grow(html_text.labelled_rows())
+    page = "<article><p>We used an <span class='ad-hoc'>ad hoc</span> method and a <code class='form'>form</code> here.</p><div id='related-work'>The work that is related is here.</div>"
+    assert html_text.main_text(page, tree) == "We used an ad hoc method and a form here.\n\nThe work that is related is here."
+    assert html_text.main_text("<article><p>seen <span hidden>not <b>this</b></span>and <i style='display: none'>nor</i> this</article>", tree) == "seen and this"
+
+
+def test_html_reads_neighbours():
+    """Without an article element or names, blocks are told apart by words, link density, neighbours and kinds of tags."""
+    rng, tree = random.Random(3), html_text.grow(html_text.labelled_rows())
+    used = set()
+
+    def walk(t):
+        if len(t) > 1:
+            used.add(t[0])
+            walk(t[2])
+            walk(t[3])
+
+    walk(tree)
+    assert used & {2, 3, 4, 5} and 0 in used and 1 in used
+    right = total = 0
+    for _ in range(60):
+        link = lambda: f"<li><a href=/>{words(rng, rng.randrange(1, 4))}</a></li>"
+        body = [("h2", words(rng, rng.randrange(3, 9)))] + [("p", words(rng, rng.randrange(12, 120))) for _ in range(rng.randrange(3, 9))]
+        menu, foot = "".join(link() for _ in range(6)), "".join(link() for _ in range(4))
+        page = f"<body><div><ul>{menu}</ul></div><div>" + "".join(f"<{t}>{x}</{t}>" for t, x in body) + f"</div><ul>{foot}</ul><div>{words(rng, 4)}</div>"
+        got = html_text.main_text(page, tree).split("\n\n")
+        right += len(set(got) & {x for _, x in body}) - len(set(got) - {x for _, x in body})
+        total += len(body)
+    assert right >= 0.95 * total
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<a b='" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<p x=\"'>" * 50_000, "<svg>" * 30_000, "<!-- " * 30_000, "</" * 50_000, "<p><span hidden>" * 30_000])
+def test_html_takes_linear_time(page):
+    import time
+
+    start = time.process_time()
+    html_text.main_text(page, html_text.grow(html_text.labelled_rows()))
+    assert time.process_time() - start < 2
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (None, None, "<article><p>a b c</article>", "y"), (1, "u", None, "x")], "page_id long, url string, html string, text string")
     assert by_row(html_text.extract_main_text(df), "page_id", "url", "text", "n_chars") == sorted([(1, "u", "", 0), (None, None, "a b c", 5), (1, "u", "", 0)], key=repr)
