@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -33,8 +35,8 @@ LETTERS = str.maketrans({k: v for k, v in LOOKALIKES.items() if k.isalpha()} | {
 
 #: Labelled rows that the lexicon and the scale are fitted to, at most so many of either label.
 SAMPLE = 4000
-PATTERNS, PHRASES = 2000, 1000
-PREFIXES = range(4, 9)
+#: Lengths of the stems that can be entries, beside whole words of any length.
+STEMS = range(4, 9)
 
 
 def fold(text: str) -> list[str]:
@@ -54,7 +56,7 @@ def candidates(words: list[str]) -> set[str]:
     out = set()
     for w in set(words):
         out.add(f" {w} ")
-        out.update(f" {w[:k]}" for k in PREFIXES if k < len(w))
+        out.update(f" {w[:k]}" for k in STEMS if k < len(w))
     return out
 
 
@@ -89,7 +91,17 @@ def matches(words: list[str], automaton) -> list[tuple[int, float, str]]:
             spared.append((start, end))
         elif start not in found or found[start][0] < end:
             found[start] = (end, weight, entry)
-    return [(end, w, e) for start, (end, w, e) in found.items() if not any(a <= start and end <= b for a, b in spared)]
+    if not spared:
+        return [(end, w, e) for end, w, e in found.values()]
+    spared.sort()
+    starts, reach = [a for a, _ in spared], list(itertools.accumulate((b for _, b in spared), max))
+
+    def inside(start: int, end: int) -> bool:
+        """Whether a phrase that starts no later ends no earlier."""
+        at = bisect.bisect_right(starts, start)
+        return at > 0 and reach[at - 1] >= end
+
+    return [(end, w, e) for start, (end, w, e) in found.items() if not inside(start, end)]
 
 
 def features(words: list[str], automaton) -> tuple[float, float]:
@@ -127,10 +139,11 @@ def held_out(doc_id: Column, folds: int = 4, fold_no: int = 2) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     """A lexicon from ``labels(doc_id, toxic)`` that are not held out, on at most ``sample`` rows of either label.
 
-    Rows are taken in the order of a hash of their doc_id. Entries are words and stems that occur far more often in
+    Rows are taken in the order of a hash of their doc_id; of several texts of one doc_id the smallest is. Entries are words and stems that occur far more often in
     toxic texts; of entries that contain each other the better stays. Exceptions are pairs of words, one of them
     matched, that occur in clean texts alone. The scale is a logistic regression, weighted back to all rows' labels.
-    Only counts of patterns, at most ``PATTERNS``, and two numbers per sampled row reach the driver.
+    All entries and phrases that pass are kept: the sample bounds their number, as each occurs in several of its rows.
+    They, and two numbers per sampled row, reach the driver. Null and empty texts hold no entries.
     """
     spark = docs.sparkSession
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -141,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     known = known.withColumn("h", F.xxhash64("doc_id"))
     parts = [hashed_sample(known.where(F.col("toxic") == v), "h", sample) for v in (0, 1)]
     chosen = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
-    texts = materialize(chosen.dropDuplicates(["doc_id"]).select("text", "toxic").repartition(2 * spark.sparkContext.defaultParallelism))
+    texts = materialize(chosen.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic").repartition(2 * spark.sparkContext.defaultParallelism))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         both = (Counter(), Counter())
@@ -170,12 +183,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
     excess = n * (share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0))
     certain = math.log(max(2, counted.count())) - 2
     ranked = counted.where(F.col("bad") >= least).withColumn("odds", odds).where((F.col("odds") > math.log(10)) & (excess > certain))
-    top = ranked.orderBy((F.col("odds") * F.sqrt("bad")).desc(), "entry").limit(PATTERNS).collect()
     weights: dict[str, float] = {}
-    for r in top:
+    stems, begun = set(), set()  # of the entries so far, and all their beginnings
+    for r in ranked.orderBy((F.col("odds") * F.sqrt("bad")).desc(), "entry").collect():
         stem = r["entry"].rstrip(" ")
-        if not any(stem.startswith(w.rstrip(" ")) or w.startswith(stem) for w in weights):
+        if stem not in begun and not any(stem[:i] in stems for i in range(2, len(stem) + 1)):
             weights[r["entry"]] = float(r["odds"])
+            stems.add(stem)
+            begun.update(r["entry"][:i] for i in range(1, len(r["entry"]) + 1))
     lexicon = Lexicon(weights)
 
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,7 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Lexicon:
             yield pd.DataFrame({"entry": names, "bad": [both[1][e] for e in names], "fine": [both[0][e] for e in names]})
 
     pairs = texts.mapInPandas(around, "entry string, bad long, fine long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine"))
-    lexicon.phrases = [r["entry"] for r in pairs.where("bad = 0 and fine >= 2").orderBy(F.desc("fine"), "entry").limit(PHRASES).collect()]
+    lexicon.phrases = [r["entry"] for r in pairs.where("bad = 0 and fine >= 2").orderBy(F.desc("fine"), "entry").collect()]
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
@@ -214,7 +229,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataF
 
     A score is the logistic of the matched weight, normalised by the length, and the share of words matched. Null,
     empty and wordless texts have the score of a text without a match. Repeated rows and null ids stay. Only the
-    lexicon, at most ``PATTERNS`` + ``PHRASES`` entries, is sent to the executors.
+    lexicon, whose size its sample bounds, is sent to the executors. No rows: no rows.
     """
 
     def start():
@@ -230,7 +245,10 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataF
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` that score below ``threshold``, whole and unchanged; scores are made where the rows are read."""
+    """Rows of ``docs`` that score below ``threshold``, whole and unchanged; scores are made where the rows are read.
+
+    Null and empty texts have the score of a text without a match. Columns of any names, repeated rows and null ids pass.
+    """
     names = list(docs.columns)
     at = names.index("text")
 
