@@ -228,6 +228,14 @@ def test_chat_round_trip(spark):
     assert chat.chat_digest(chat.chat_examples(df.limit(0))).count() == 0
 
 
+def test_chat_of_a_long_conversation(spark):
+    """A text of a million characters, and a conversation of 300 turns."""
+    rows = [(1, 0, "user", "x" * 1_000_000), (1, 1, "assistant", "<|" * 300_000)] + [(2, t, "assistant" if t % 2 else "user", f"t{t}<|") for t in range(300)]
+    got = {r["conv_id"]: r for r in chat.chat_digest(chat.chat_examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    assert got[1]["loss_chars"] == 600_000 and got[2]["n_turns"] == 300
+    assert got[2]["loss_sha256"] == brute.sha("".join(f"t{t}<|" for t in range(1, 300, 2)))
+
+
 def test_poisson_mix(spark):
     data = [(i, "x", "big" if i % 3 else "hot") for i in range(3000)] + [(None, "n", None), (5, "x", "tiny")]
     df = spark.createDataFrame([(*r, 7) for r in data], "doc_id long, text string, source string, copy int")
@@ -445,6 +453,69 @@ def test_toxicity(spark):
     assert toxicity.toxicity(df.limit(0), lexicon).count() == 0 and toxicity.learn(df.limit(0), table).weights == {}
 
 
+def plain_score(text, lexicon):
+    """The score from its definition, without an automaton."""
+    text = f" {' '.join(toxicity.fold(text or ''))} "
+    n = len(text.split())
+    at = lambda x: [i for i in range(len(text)) if text.startswith(x, i)]
+    spared = [(i, i + len(p)) for p in lexicon.phrases if p not in lexicon.weights for i in at(p)]
+    best = {}
+    for entry, weight in lexicon.weights.items():
+        for i in at(entry):
+            best[i] = max(best.get(i, (0, 0.0)), (len(entry), weight))
+    got = [w for i, (size, w) in best.items() if not any(a <= i and i + size <= b for a, b in spared)]
+    a, b = (math.log1p(sum(got) / math.sqrt(n)), math.log1p(100 * len(got) / n)) if got else (0.0, 0.0)
+    z = lexicon.scale[0] + lexicon.scale[1] * a + lexicon.scale[2] * b
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_toxicity_by_its_definition(spark):
+    rows, labels = toxic_corpus(300)
+    rows += [(9001, None), (9002, " "), (9003, "idiot proof " * 300), (9004, "an idiot idiot proof moronic 1d1ot"), (0, "another text of a doc_id that comes twice")]
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs(spark, rows), table)
+    assert lexicon.weights and lexicon.phrases
+    got = toxicity.toxicity(docs(spark, rows), lexicon).collect()
+    assert sorted((repr(r["doc_id"]), round(r["score"], 9)) for r in got) == sorted((repr(d), round(plain_score(t, lexicon), 9)) for d, t in rows)
+    again = toxicity.learn(docs(spark, rows[::-1]).repartition(3), table)
+    assert (again.weights, again.phrases) == (lexicon.weights, lexicon.phrases) and again.scale == pytest.approx(lexicon.scale)
+
+
+def test_toxicity_of_a_very_long_text():
+    import time
+
+    lexicon = toxicity.Lexicon({" idiot ": 2.0}, [" idiot proof "])
+    start = time.process_time()
+    got = toxicity.matches(("idiot proof idiot bad " * 50_000).split(), lexicon.automaton())
+    assert len(got) == 50_000 and time.process_time() - start < 3
+
+
+def test_calibrate_and_verdict(spark):
+    """The bound is the best of all mid-points by brute force; URLs that no rule decides are judged by it."""
+    rng = random.Random(5)
+    scored = [(round(rng.gauss(1 if ok else -1, 1), 1), ok) for ok in (True, False) for _ in range(40)]
+    values = sorted({x for x, _ in scored})
+    rate = lambda t: sum(x >= t for x, ok in scored if ok) / 40 + sum(x < t for x, ok in scored if not ok) / 40
+    best = max(values, key=lambda v: (round(rate(v), 9), -v))
+    below = [v for v in values if v < best]
+    got = url_filter.calibrate(spark.createDataFrame(scored, "score double, accepted boolean"))
+    assert got == pytest.approx((best + below[-1]) / 2 if below else best)
+    urls = [f"http://{''.join(rng.choice('abc') for _ in range(8))}.net/de/{i}" for i in range(150)] + [f"http://{''.join(rng.choice('xyz') for _ in range(8))}.com/en/{i}" for i in range(150)]
+    fresh = [f"http://{''.join(rng.choice(a) for _ in range(9))}.info/{k}" for a in ("abc", "xyz") for k in range(40)]
+    rows = [(i, u) for i, u in enumerate([*urls, *fresh, "http://q.net/de/" + "a" * 5000])]
+    out = {r["page_id"]: r for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), queries.URL_RULES).collect()}
+    verdicts = [out[len(urls) + k]["verdict"] for k in range(80)]
+    assert verdicts[:40].count("allow") >= 36 and verdicts[40:].count("block") >= 36
+    bound = {v: [out[len(urls) + k]["score"] for k in range(80) if verdicts[k] == v] for v in ("allow", "block")}
+    assert min(bound["allow"]) >= max(bound["block"])
+
+
+def test_rules_of_equal_length(spark):
+    df = spark.createDataFrame([(1, "http://a.com/en/")], "page_id long, url string")
+    for rules in ([("allow", "com/en/"), ("block", "com/en/")], [("block", "com/en/"), ("allow", "com/en/")]):
+        assert [r["verdict"] for r in url_filter.filter_urls(df, rules).collect()] == ["block"]
+
+
 def test_fold():
     assert toxicity.fold("1D10T! Ｆｏｏ m\u200boron сlоwn 1234 c@t é") == ["idiot", "foo", "moron", "clown", "cat", "é"]
 
