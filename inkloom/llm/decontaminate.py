@@ -78,6 +78,14 @@ def hits(docs: DataFrame, items: DataFrame, width: int = 10, most: int | None =
     return again.where(said(F.col("at"), F.col("n")) == F.col("window")).select("key", "at", "n", "items")
 
 
+def _small(found: DataFrame, more: Column) -> DataFrame:
+    """What is to be joined with all documents, written first; marked for a broadcast if its bytes are within the bound, so
+    that documents aren't shuffled, copies of one text least of all."""
+    found = materialize(found)
+    size = found.agg(F.sum(more + 32 + ROW_BYTES).alias("n")).collect()[0]["n"] or 0
+    return F.broadcast(found) if size <= MAX_BROADCAST_BYTES else found
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, most: int | None = None) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -90,6 +98,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, most: int
     spans = hits(docs, items, width, most).groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     cover = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))))
     spans = spans.select("key", cover.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("names"))
+    spans = _small(spans, F.octet_length("names"))
     words = docs.select("key", "doc_id", F.size(normal_words(F.col("text"))).cast("long").alias("n_words"))
     zero = F.lit(0).cast("long")
     out = words.join(spans, "key", "left").select("doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.sha2(F.coalesce("names", F.lit("")), 256).alias("items_sha256"))
@@ -101,5 +110,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> Dat
     texts and repeated rows with them. Input columns of any names stay. No items: all rows stay."""
     key = free_name("_key", docs.columns)
     marked = docs.withColumn(key, text_key(F.col("text")))
-    bad = hits(marked.select(F.col(key).alias("key"), "text"), items, width).select(F.col("key").alias(key)).distinct()
+    bad = _small(hits(marked.select(F.col(key).alias("key"), "text"), items, width).select(F.col("key").alias(key)).distinct(), F.lit(0))
     return marked.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
