@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import itertools
+import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,11 +30,16 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def blocks(value: Column, count: int) -> list[Column]:
-    """The 64 bits in ``count`` blocks; two values that differ in fewer bits than that share one."""
-    cuts = [round(64 * i / count) for i in range(count + 1)]
-    return [F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << (high - low)) - 1)) if high - low < 64 else value for low, high in zip(cuts, cuts[1:])]
+def masks(distance: int, rows: int) -> list[int]:
+    """Masks, as signed numbers, of which two values that differ in at most ``distance`` bits share the bits of one.
 
-
-def pack(bits: list[Column]) -> Column:
-    return reduce(lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(b.cast("bigint")), bits, F.lit(0).cast("bigint"))
+    The 64 bits are cut into blocks, of which all but ``distance`` agree. There are as many blocks as it takes for
+    unrelated values, of ``rows`` in all, to share the bits of a mask but rarely; at most four more than needed.
+    """
+    for count in range(distance + 1, distance + 6):
+        cuts = [round(64 * i / count) for i in range(count + 1)]
+        parts = [((1 << (high - low)) - 1) << low for low, high in itertools.pairwise(cuts)]
+        out = [sum(c) for c in itertools.combinations(parts, count - distance)]
+        if min(m.bit_count() for m in out) >= math.log2(max(rows, 2)):
+            break
+    return [m - (1 << 64) if m >> 63 else m for m in out]

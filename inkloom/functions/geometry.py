@@ -53,3 +53,8 @@ def upscaled(width: Column, height: Column, target: int) -> Column:
 def sorted_corners(b: Column) -> Column:
     """Corners with the smaller first."""
     return F.struct(*[f(b[p], b[q]).alias(n) for f, p, q, n in ((F.least, "x1", "x2", "x1"), (F.least, "y1", "y2", "y1"), (F.greatest, "x1", "x2", "x2"), (F.greatest, "y1", "y2", "y2"))])
+
+
+def at_least(value: Column, least: int) -> Column:
+    """A number cut to a whole one, and raised to the least allowed."""
+    return F.greatest(F.lit(least), value.cast("int"))

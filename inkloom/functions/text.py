@@ -54,16 +54,62 @@ def comma_list(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, ","), lambda v: F.trim(v)), lambda v: v != "")
 
 
+#: Fields of a captioning service's reply (fixed values).
+REPLY = "caption string, in_tokens bigint, out_tokens bigint, latency_s double, error string, detail string"
+
+
 def service_reply(raw: Column) -> Column:
-    """A reply that is a JSON list whose first entry is JSON text: its fields, or ``error`` set.
+    """A reply's fields, or ``error`` set. The fields are a JSON object, or one inside a JSON string, either by itself or
+    as the first entry of a list; an empty list has no fields.
 
-    Null or blank: ``empty_response``; anything else that is not such a reply: ``parse_failed``.
+    Null or blank: ``empty_response``; anything else that is not such a reply: ``parse_failed``. It is parsed once a row.
     """
-    kind = "caption string, in_tokens bigint, out_tokens bigint, latency_s double, error string, detail string"
-    parsed = F.from_json(F.get_json_object(raw, "$[0]"), kind, {"mode": "PERMISSIVE"})
-    bad = F.when(raw.isNull() | (F.trim(raw) == ""), "empty_response").when(parsed.isNull() | F.forall(F.array(parsed["caption"], parsed["error"], parsed["detail"], parsed["latency_s"].cast("string")), lambda v: v.isNull()), "parse_failed")
-    empty = F.from_json(F.lit("{}"), kind)
-    return F.when(bad.isNull(), parsed).otherwise(empty.withField("error", bad).withField("detail", F.when(bad == "parse_failed", F.substring(raw, 1, 160))))
+    line = F.trim(raw)
+    whole = F.when(F.startswith(line, F.lit("[")), line).otherwise(F.concat(F.lit("["), line, F.lit("]")))
+    inner = F.when(F.get_json_object(whole, "$[0]").isNotNull(), F.get_json_object(whole, "$[0]")).when(F.json_array_length(whole) == 0, F.lit("{}"))
+    bad = F.when(raw.isNull() | (line == ""), "empty_response").when(F.json_object_keys(inner).isNull(), "parse_failed")
+    seen = F.struct(F.from_json(inner, REPLY).alias("reply"), bad.alias("bad"), F.substring(raw, 1, 160).alias("start"))
+    none = F.from_json(F.lit("{}"), REPLY)
+    return F.get(F.transform(F.array(seen), lambda r: F.when(r["bad"].isNull(), r["reply"]).otherwise(none.withField("error", r["bad"]).withField("detail", F.when(r["bad"] == "parse_failed", r["start"])))), 0)
+
+
+def last_data_line(stream: Column) -> Column:
+    """Of a server's event stream the payload of the last ``data:`` line that is neither empty nor ``null``; else null."""
+    payloads = F.transform(F.filter(F.split(stream, "\n"), lambda x: F.startswith(x, F.lit("data:"))), lambda x: F.trim(F.regexp_replace(F.substr(x, F.lit(6)), r"[\r\t]", " ")))
+    said = F.filter(payloads, lambda x: (x != "") & (x != "null"))
+    return F.when(F.size(said) > 0, F.element_at(said, -1))
+
+
+def request_body(model: Column, prompt: Column, image: Column) -> Column:
+    """What is posted to a captioning service: a JSON object whose ``data`` lists model, prompt and image in base 64."""
+    return F.to_json(F.struct(F.array(model, prompt, F.base64(image)).alias("data")))
+
+
+def url_part(value: Column) -> Column:
+    """A value as a part of a URL's query: all but letters, digits and ``_.-~`` is percent-encoded."""
+    out = F.url_encode(value)
+    for given, wanted in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(given), F.lit(wanted))
+    return out
+
+
+#: What a caption describes, by style.
+PROMPT_STYLES = {
+    "optimal": "Write one line of plain prose, one to three sentences: who is there and how they look, pose and action, clothes, main objects, place, shot and camera angle, light.",
+    "rich": "Write three to six sentences of plain prose and leave nothing out: each person's body, hair, face and expression, every garment and object, poses and gestures, what is near and far, the place, shot and camera angle, light.",
+}
+
+
+def caption_prompt(trigger: str, style: str) -> str:
+    """What a captioning service is asked for: content alone, so that the trigger stands for the style."""
+    if style not in PROMPT_STYLES:
+        raise ValueError(f"unknown style {style!r}; there are: {', '.join(PROMPT_STYLES)}")
+    return f"Caption this picture for training. Begin with '{trigger}, '. {PROMPT_STYLES[style]} Say nothing of drawing style, medium, line, colour, or of panels, pages and speech bubbles. Answer with the caption alone."
+
+
+def prompts(lines: Column) -> Column:
+    """Whether a line of a prompt file is a prompt: not blank."""
+    return F.trim(lines) != ""
 
 
 def worth_retrying(error: Column) -> Column:
@@ -79,15 +125,22 @@ def _number(line: Column, pattern: str, group: int, kind: str) -> Column:
 def training_progress(line: Column) -> Column:
     """Step, steps, epoch, epochs and loss of a trainer's log line; null for what it doesn't say.
 
-    The step bar is told from other bars by the bracket after it; a loss that is no number is null.
+    A line that begins with an epoch says nothing else. Steps are read only beside an ``avr_loss=``, which tells the
+    training's bar from those of caching; a loss that is no number is null.
     """
-    step, epoch = r"(\d+)/(\d+)\s*\[", r"^epoch (\d+)/(\d+)"
+    epoch = r"^epoch (\d+)/(\d+)"
+    is_epoch, is_bar = line.rlike(epoch), F.contains(line, F.lit("avr_loss=")) & line.rlike(r"\d+/\d+\s*\[")
+
+    def bar(pattern: str, group: int, kind: str) -> Column:
+        return F.when(~is_epoch & is_bar, _number(line, pattern, group, kind))
+
+    step = r"(\d+)/(\d+)\s*\["
     return F.struct(
-        _number(line, step, 1, "int").alias("step"),
-        _number(line, step, 2, "int").alias("total_steps"),
+        bar(step, 1, "int").alias("step"),
+        bar(step, 2, "int").alias("total_steps"),
         _number(line, epoch, 1, "int").alias("epoch"),
         _number(line, epoch, 2, "int").alias("total_epochs"),
-        _number(line, r"avr_loss=([0-9.eE+\-]+)", 1, "double").alias("loss"),
+        bar(r"avr_loss=([0-9.eE+\-]+)", 1, "double").alias("loss"),
     )
 
 

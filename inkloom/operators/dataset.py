@@ -58,6 +58,39 @@ def gates(captions: DataFrame, keys: list[str], caption: str, trigger: Column, s
     )
 
 
+def readiness(files: DataFrame, keys: list[str], trigger: Column, style_words: Sequence[str], now: Column, mark: str = ".stage_complete", least: int = 20, quiet_minutes: int = 20) -> DataFrame:
+    """Whether a data set can be trained on, from its ``files(path, modified, text)``; one row a group.
+
+    It is complete (its mark is there), has ``least`` images or more and as many captions, all of which begin with
+    the trigger, and nothing has changed for a while. Captions that name a style are counted but don't decide.
+    """
+    name, kind = text.file_name(F.col("path")), text.suffix(F.col("path"))
+    is_note = kind.eqNullSafe("txt")
+    leak = F.col("text").rlike(r"(?iu)(?<![\p{L}\p{N}_])(" + "|".join(style_words) + r")(?![\p{L}\p{N}_])")
+    out = files.groupBy(*keys).agg(
+        F.bool_or(name == mark).alias("complete"),
+        F.count_if(kind.eqNullSafe("png")).alias("images"),
+        F.count_if(is_note).alias("captions"),
+        F.count_if(is_note & ~F.startswith(F.coalesce("text", F.lit("")), trigger)).alias("not_leading"),
+        F.coalesce(F.max("modified") <= now - F.make_dt_interval(mins=F.lit(quiet_minutes)), F.lit(True)).alias("quiet"),
+        F.count_if(is_note & leak).alias("leaks"),
+    )
+    good = F.col("complete") & (F.col("images") >= least) & (F.col("images") == F.col("captions")) & (F.col("not_leading") == 0) & F.col("quiet")
+    return out.withColumn("ready", good)
+
+
+def newest(files: DataFrame, keys: list[str]) -> DataFrame:
+    """Of ``files(path, modified)`` the last one by name and the newest by time, of equals the last by name."""
+    return files.groupBy(*keys).agg(F.max("path").alias("last"), F.max_by("path", F.struct("modified", "path")).alias("newest"))
+
+
+def lacking(files: DataFrame, parts: Sequence[str], needle: str, suffix: str = "py") -> DataFrame:
+    """Paths of ``files(path, text)`` that lie in one of the folders named ``parts`` and lack ``needle``."""
+    inside = F.size(F.array_intersect(F.split("path", "/"), F.array(*map(F.lit, parts)))) > 0
+    mine = inside & (text.suffix(F.col("path")) == suffix) & (text.file_name(F.col("path")) != f"__init__.{suffix}")
+    return files.where(mine & ~F.contains(F.coalesce("text", F.lit("")), F.lit(needle))).select("path")
+
+
 def run_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(label, n)``, labels padded to the widest."""
     wide = max(map(len, tables), default=0)

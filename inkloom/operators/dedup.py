@@ -12,7 +12,7 @@ from inkloom.sources.tables import materialize
 
 #: Up to so many rows are folded in one task; beyond, links are sought by blocks and resolved in rounds.
 FOLD_ROWS = 5_000
-#: Up to this distance bound buckets of equal blocks hold the links; beyond, blocks are too short to be selective.
+#: Up to this distance bound buckets of equal bits hold the links; beyond, there are too many masks.
 BLOCK_LIMIT = 12
 CHUNK = 8192
 
@@ -29,10 +29,13 @@ def close_pairs(rows: DataFrame, distance: int) -> DataFrame:
     """``(a, b)``: ords of all rows ``(ord, h)``, a < b, that differ in fewer than ``distance`` bits."""
     if distance > BLOCK_LIMIT:
         return _by_chunks(rows, distance)
-    rows = materialize(rows)  # else the hash would be made anew for every block
-    keyed = rows.select("ord", "h", F.posexplode(F.array(*bits.blocks(F.col("h"), distance))).alias("block", "bits"))
+    if distance <= 0:
+        return rows.select(F.col("ord").alias("a"), F.col("ord").alias("b")).limit(0)
+    rows = materialize(rows)  # else the hash would be made anew for every mask
+    masks = F.array(*[F.lit(m).cast("bigint") for m in bits.masks(distance - 1, rows.count())])
+    keyed = rows.select("ord", "h", F.posexplode(masks).alias("no", "mask")).select("ord", "h", F.xxhash64("no", F.col("h").bitwiseAND(F.col("mask"))).alias("key"))
     x, y = keyed.alias("x"), keyed.alias("y")
-    same = (F.col("x.block") == F.col("y.block")) & (F.col("x.bits") == F.col("y.bits")) & (F.col("x.ord") < F.col("y.ord"))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.ord") < F.col("y.ord"))
     near = same & (bits.hamming(F.col("x.h"), F.col("y.h")) < distance)
     return x.join(y, near).select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).distinct()
 

@@ -65,7 +65,7 @@ def panel_boxes(spark, sf):
     return panels.panel_boxes(_boxes(spark, sf), SETTINGS)
 
 
-ROUGH = "select l_orderkey as page, l_quantity::bigint * 9 as w, l_quantity::bigint * 9 as h from lineitem where l_linenumber <= l_orderkey % 5"
+ROUGH = "select l_orderkey as page, l_quantity::bigint * 9 as w, l_quantity::bigint * 9 as h from lineitem"
 CLASSIFIED = f"""rough as ({ROUGH}),
 found as (select page, count(*) as n, max(w * h) as largest from rough group by page),
 judged as (
@@ -76,9 +76,9 @@ judged as (
   from orders left join found on page = o_orderkey)"""
 
 
-def _classified(spark, sf, lines="l_linenumber <= l_orderkey % 5"):
+def _classified(spark, sf):
     side = F.col("l_quantity").cast("bigint") * 9
-    rough = load(spark, sf, "lineitem").where(lines).select(F.col("l_orderkey").alias("page"), side.alias("w"), side.alias("h"))
+    rough = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("page"), side.alias("w"), side.alias("h"))
     pages = load(spark, sf, "orders").select(F.col("o_orderkey").alias("page"), F.lit(PAGE).alias("page_w"), F.lit(PAGE).alias("page_h"))
     return panels.classify_pages(pages, rough, SETTINGS.having(max_panels=2))
 
@@ -93,20 +93,6 @@ def quarantine(spark, sf):
     return panels.route(_classified(spark, sf), "panels")[1]
 
 
-WHOLE = CLASSIFIED.replace(" where l_linenumber <= l_orderkey % 5", "")
-
-
-@query(f"with {WHOLE} select * from judged")
-def classify_page_whole(spark, sf):
-    """All lines are boxes."""
-    return _classified(spark, sf, "true")
-
-
-@query(f"with {WHOLE} select 'panels' as stage, page::varchar as stem, reason from judged where reason is not null")
-def quarantine_whole(spark, sf):
-    return panels.route(_classified(spark, sf, "true"), "panels")[1]
-
-
 @query("""with axis as (select distinct user_id, floor(epoch(ts) / 3600)::bigint as i from events),
 marked as (select *, case when i - lag(i) over w - 1 >= 8 then 1 else 0 end as new from axis window w as (partition by user_id order by i)),
 numbered as (select *, sum(new) over (partition by user_id order by i rows unbounded preceding) as span from marked)
@@ -179,9 +165,17 @@ def greedy_dedup_rounds(spark, sf):
     return dedup.greedy_dedup(_hashes(spark, sf), HASH_DISTANCE, fold_rows=0).select(F.col("ord").alias("vec_id"))
 
 
-@query(f"""with {HASHES} select x.vec_id as a, y.vec_id as b from hashes x join hashes y on x.vec_id < y.vec_id and bit_count(xor(x.u, y.u)) < 12""")
+COPIED = f"""with {HASHES}, both_ as (select vec_id as ord, u from hashes union all
+  select vec_id + 1000000, xor(u, case when vec_id % 3 = 0 then 1048575::ubigint else (1::ubigint << (vec_id % 61)::ubigint) | (1::ubigint << (vec_id * 7 % 59)::ubigint) end) from hashes)"""
+
+
+@query(f"""{COPIED} select x.ord as a, y.ord as b from both_ x join both_ y on x.ord < y.ord and bit_count(xor(x.u, y.u)) < 12""")
 def band_candidates(spark, sf):
-    return dedup.close_pairs(_hashes(spark, sf), 12)
+    """Of hashes and copies of them that differ in one or two bits, or in twenty, which no pair has within the bound."""
+    rows = _hashes(spark, sf)
+    flips = F.when(F.col("ord") % 3 == 0, F.lit(1048575).cast("bigint")).otherwise(F.expr("shiftleft(1L, cast(ord % 61 as int)) | shiftleft(1L, cast(ord * 7 % 59 as int))"))
+    copies = rows.select((F.col("ord") + 1000000).alias("ord"), F.col("h").bitwiseXOR(flips).alias("h"))
+    return dedup.close_pairs(rows.unionByName(copies), 12)
 
 
 @query(f"""{GREEDY}, sized as (select vec_id * 7 % 600 as s from kept),
@@ -192,20 +186,12 @@ def clean_report(spark, sf):
     return dataset.clean_report(dedup.greedy_dedup(rows, HASH_DISTANCE), rows, F.col("ord") * 7 % 600, SETTINGS.min_side_px, 400)
 
 
-@query("""with t as (select doc_id, string_split(coalesce(text, ''), ' ')[1:30] as l from documents),
-k as (select doc_id, list_filter(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: lower(x) <> 'the') as l from t)
-select doc_id, case when len(l) > 0 then 'The, ' || array_to_string(l, ', ') else 'The' end as caption from k""")
-def caption_tags(spark, sf):
-    tags = F.slice(F.split(F.coalesce("text", F.lit("")), " "), 1, 30)
-    return load(spark, sf, "documents").select("doc_id", text.build_caption(F.lit("The"), tags).alias("caption"))
-
-
 @query("""with r as materialized (select row_number() over () as uid, doc_id, string_split(coalesce(text, ''), ' ') as l from documents),
 w as (select uid, unnest(l) as x, unnest(range(1, len(l) + 1)) as p from r),
 f as (select uid, x, min(p) as p from w where lower(x) <> 'the' group by uid, x),
 k as (select uid, string_agg(x, ', ' order by p) as c from f group by uid)
 select doc_id, 'The' || coalesce(', ' || c, '') as caption from r left join k using (uid)""")
-def caption_tags_whole(spark, sf):
+def caption_tags(spark, sf):
     """All words of a text are tags."""
     tags = F.split(F.coalesce("text", F.lit("")), " ")
     return load(spark, sf, "documents").select("doc_id", text.build_caption(F.lit("The"), tags).alias("caption"))
@@ -280,18 +266,20 @@ def dataset_gates(spark, sf):
     return dataset.gates(load(spark, sf, "documents"), ["lang"], "text", F.lit("The"), STYLE_WORDS)
 
 
-@query(r"""with l as (select event_id, case event_id % 4 when 0 then 'epoch ' || event_id % 7 || '/10' when 1 then 'steps: | ' || event_id % 900 || '/2000 [01:30<13:30, avr_loss=' || '0.' || event_id % 90 || ']'
-  when 2 then 'caching | ' || event_id % 50 || '/100' else 'avr_loss=-' end as line from events)
-select event_id, try_cast(nullif(regexp_extract(line, '(\d+)/(\d+)\s*\[', 1), '') as int) as step, try_cast(nullif(regexp_extract(line, '(\d+)/(\d+)\s*\[', 2), '') as int) as total_steps,
-  try_cast(nullif(regexp_extract(line, '^epoch (\d+)/(\d+)', 1), '') as int) as epoch, try_cast(nullif(regexp_extract(line, '^epoch (\d+)/(\d+)', 2), '') as int) as total_epochs,
-  try_cast(nullif(regexp_extract(line, 'avr_loss=([0-9.eE+\-]+)', 1), '') as double) as loss from l""")
+@query("""select event_id, case when k = 1 then (event_id % 900)::int end as step, case when k = 1 then 2000 end as total_steps,
+case k when 0 then (event_id % 7)::int when 3 then 3 end as epoch, case k when 0 then 10 when 3 then 4 end as total_epochs,
+case when k = 1 and event_id % 8 <> 5 then ('0.' || event_id % 90)::double end as loss from (select event_id, event_id % 5 as k from events)""")
 def parse_progress(spark, sf):
+    """Epoch lines, a training bar with and without a loss, a caching bar, an epoch line with a bar, and noise."""
     e = F.col("event_id")
+    word = lambda c: c.cast("string")
+    loss = F.when(e % 8 == 5, F.lit("-")).otherwise(F.concat(F.lit("0."), word(e % 90)))
     line = (
-        F.when(e % 4 == 0, F.concat(F.lit("epoch "), (e % 7).cast("string"), F.lit("/10")))
-        .when(e % 4 == 1, F.concat(F.lit("steps: | "), (e % 900).cast("string"), F.lit("/2000 [01:30<13:30, avr_loss=0."), (e % 90).cast("string"), F.lit("]")))
-        .when(e % 4 == 2, F.concat(F.lit("caching | "), (e % 50).cast("string"), F.lit("/100")))
-        .otherwise(F.lit("avr_loss=-"))
+        F.when(e % 5 == 0, F.concat(F.lit("epoch "), word(e % 7), F.lit("/10")))
+        .when(e % 5 == 1, F.concat(F.lit("steps:  10%|#  | "), word(e % 900), F.lit("/2000 [01:30<13:30, 2.1it/s, avr_loss="), loss, F.lit("]")))
+        .when(e % 5 == 2, F.concat(F.lit("caching latents:  50%|###  | "), word(e % 50), F.lit("/100 [00:01<00:02, 30it/s]")))
+        .when(e % 5 == 3, F.lit("epoch 3/4 steps: 5/9 [00:01, avr_loss=0.5]"))
+        .otherwise(F.lit("avr_loss=0.5 without a bar"))
     )
     return load(spark, sf, "events").select("event_id", text.training_progress(line).alias("p")).select("event_id", "p.*")
 
@@ -327,10 +315,14 @@ def composite(spark, sf):
     return load(spark, sf, "embeddings").select("vec_id", dataset.composite(scaled, F.reverse(scaled), F.transform(scaled, lambda v: F.abs(v))).alias("pixels"))
 
 
-@query("select url, regexp_extract(split_part(url, '?', 1), '[^/]*$') as name, lower(regexp_extract(split_part(url, '?', 1), '\\.([A-Za-z0-9#]+)$', 1)) = 'html' as is_html from pages".replace("\\\\", "\\"))
+@query("""with n as (select url, string_split(split_part(url, '?', 1), '/')[-1] as name from pages),
+d as (select *, length(name) - position('.' in reverse(name)) + 1 as dot from n)
+select url, name, case when position('.' in name) > 0 and dot > 1 then name[:dot - 1] else name end as stem,
+  case when position('.' in name) > 0 and dot > 1 then lower(name[dot + 1:]) else '' end as suffix,
+  coalesce(position('.' in name) > 0 and dot > 1 and list_contains(['png', 'jpg', 'jpeg', 'webp', 'bmp'], lower(name[dot + 1:])), false) as is_image from d""")
 def file_names(spark, sf):
     path = F.substring_index("url", "?", 1)
-    return load(spark, sf, "pages").select("url", text.file_name(path).alias("name"), F.regexp_extract(path, r"\.([A-Za-z0-9#]+)$", 1).eqNullSafe("html").alias("is_html"))
+    return load(spark, sf, "pages").select("url", text.file_name(path).alias("name"), text.stem(path).alias("stem"), text.suffix(path).alias("suffix"), text.is_image(path).alias("is_image"))
 
 
 @query("""select event_id, list_filter(list_transform(string_split(event_type || ', ,' || user_id::varchar || ' ', ','), lambda v: trim(v)), lambda v: v <> '') as items from events""")
@@ -341,14 +333,23 @@ def comma_list(spark, sf):
 @query("""select item_id as file, 0 as block, 'b' || item_id as id, case when item_id % 3 = 0 then ['missing required field: title'] when item_id % 3 = 1 then ['invalid status lost'] else []::varchar[] end as errors
 from benchmark where item_id % 4 <> 3""")
 def marker_extract(spark, sf):
+    found = _markers(spark, sf)
+    return found.select(F.col("file").cast("bigint").alias("file"), "block", F.col("fields")["id"].alias("id"), "errors")
+
+
+@query("select count(*) as markers, count(*) filter (item_id % 3 <> 2) as errored from benchmark where item_id % 4 <> 3")
+def marker_counts(spark, sf):
+    return markers.marker_counts(_markers(spark, sf))
+
+
+def _markers(spark, sf):
     n = F.col("item_id")
     title = F.when(n % 3 == 0, "").otherwise("title: T\n")
     status = F.when(n % 3 == 1, "status: lost\n").otherwise("status: draft\n")
     ident = F.when(n % 4 == 3, "").otherwise(F.concat(F.lit("id: b"), n.cast("string"), F.lit("\n")))
     body = F.concat(F.lit("x\n<START>\n"), ident, title, status, F.lit("<END>\n"), F.coalesce("text", F.lit("")))
     files = load(spark, sf, "benchmark").select(n.cast("string").alias("file"), body.alias("text"))
-    found = markers.extract_blocks(files, "<START>", "<END>", ("id", "title", "status", "tags"), ("id", "title", "status"), ("draft", "final"))
-    return found.select(F.col("file").cast("bigint").alias("file"), "block", F.col("fields")["id"].alias("id"), "errors")
+    return markers.extract_blocks(files, "<START>", "<END>", ("id", "title", "status", "tags"), ("id", "title", "status"), ("draft", "final"))
 
 
 @query("select bool_and(length(r_name) > 3) as ok, max(length(r_name)) as width from region")
@@ -356,9 +357,60 @@ def doctor_verdict(spark, sf):
     return dataset.all_good(load(spark, sf, "region").select(F.col("r_name").alias("name"), (F.char_length("r_name") > 3).alias("ok")))
 
 
-@query("select event_type as key, arg_max(value, event_id) as last from events where value is not null group by event_type")
+@query("select event_id, case when event_id % 5 <> 0 then props end as last from events")
 def last_reply(spark, sf):
-    return load(spark, sf, "events").where("value is not null").groupBy(F.col("event_type").alias("key")).agg(F.max_by("value", "event_id").alias("last"))
+    """The last payload of an event stream that is neither empty nor null."""
+    said = F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("data: {}\nevent: x\ndata:"), F.col("props"), F.lit(" \n"))).otherwise(F.lit("event: data: y\n"))
+    return load(spark, sf, "events").select("event_id", text.last_data_line(F.concat(said, F.lit("data: null\n\ndata:\n"))).alias("last"))
+
+
+@query("""select event_id, case event_id % 7 when 0 then 'a' when 1 then 'b' when 2 then 'c' when 3 then 'd' end as caption,
+case event_id % 7 when 1 then 5 end::bigint as in_tokens, case event_id % 7 when 4 then 'parse_failed' when 6 then 'empty_response' end as error from events""")
+def reply_shapes(spark, sf):
+    """All forms of a reply: a list with JSON text, an object, JSON text, a list with an object; a number, an empty list, blanks."""
+    forms = ['["{\\"caption\\": \\"a\\"}"]', '{"caption": "b", "in_tokens": 5}', '"{\\"caption\\": \\"c\\"}"', '[{"caption": "d"}]', "17", "[]", " "]
+    raw = F.element_at(F.array(*map(F.lit, forms)), (F.col("event_id") % 7 + 1).cast("int"))
+    return load(spark, sf, "events").select("event_id", text.service_reply(raw).alias("r")).select("event_id", "r.caption", "r.in_tokens", "r.error")
+
+
+@query("""select page_id, '{"data":["m","p","' || to_base64(encode(url)) || '"]}' as body, url_encode(url) as part from pages""")
+def service_request(spark, sf):
+    return load(spark, sf, "pages").select("page_id", text.request_body(F.lit("m"), F.lit("p"), F.encode("url", "utf-8")).alias("body"), text.url_part(F.col("url")).alias("part"))
+
+
+READY_AT = "2030-01-01 00:00:00"
+
+
+@query(f"""with f as (select lang, 'x/d' || doc_id || case doc_id % 2 when 0 then '.png' else '.txt' end as path, text, timestamp '2029-12-31 23:00:00' + to_minutes((doc_id % 60)::bigint) as modified from documents
+  union all select distinct lang, 'x/.stage_complete', null, timestamp '2029-12-31 23:00:00' from documents where lang <> 'de'),
+g as (select lang, bool_or(path = 'x/.stage_complete') as complete, count(*) filter (path[-3:] = 'png') as images, count(*) filter (path[-3:] = 'txt') as captions,
+  count(*) filter (path[-3:] = 'txt' and not starts_with(coalesce(text, ''), 'T')) as not_leading, max(modified) <= timestamp '{READY_AT}' - interval 20 minutes as quiet,
+  count(*) filter (path[-3:] = 'txt' and regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(the|ist|est|ing)($|[^\\p{{L}}\\p{{N}}_])')) as leaks from f group by lang)
+select *, complete and images >= 20 and images = captions and not_leading = 0 and quiet as ready from g""".replace("\\\\", "\\"))
+def dataset_readiness(spark, sf):
+    docs = load(spark, sf, "documents")
+    kind = F.when(F.col("doc_id") % 2 == 0, ".png").otherwise(".txt")
+    start = F.lit("2029-12-31 23:00:00").cast("timestamp")
+    files = docs.select("lang", F.concat(F.lit("x/d"), F.col("doc_id").cast("string"), kind).alias("path"), "text", (start + F.make_dt_interval(mins=(F.col("doc_id") % 60).cast("int"))).alias("modified"))
+    marks = docs.where("lang <> 'de'").select("lang").distinct().select("lang", F.lit("x/.stage_complete").alias("path"), F.lit(None).cast("string").alias("text"), start.alias("modified"))
+    return dataset.readiness(files.unionByName(marks), ["lang"], F.lit("T"), STYLE_WORDS, F.lit(READY_AT).cast("timestamp"))
+
+
+@query("""select user_id, max(event_type || '-' || lpad(event_id::varchar, 9, '0')) as last, arg_max(event_type || '-' || lpad(event_id::varchar, 9, '0'), (ts, event_type || '-' || lpad(event_id::varchar, 9, '0'))) as newest from events group by user_id""")
+def last_checkpoint(spark, sf):
+    path = F.concat("event_type", F.lit("-"), F.lpad(F.col("event_id").cast("string"), 9, "0"))
+    return dataset.newest(load(spark, sf, "events").select("user_id", path.alias("path"), F.col("ts").alias("modified")), ["user_id"])
+
+
+@query("""select path from (select case doc_id % 4 when 0 then 'src/agents/' when 1 then 'src/other/' when 2 then 'agents/x/' else 'src/agents/__init__.py/' end || case when doc_id % 5 = 0 then '__init__' else 'm' || doc_id end
+  || case when doc_id % 7 = 0 then '.md' else '.py' end as path, text, doc_id from documents)
+where doc_id % 4 <> 1 and doc_id % 7 <> 0 and doc_id % 5 <> 0 and position('The' in coalesce(text, '')) = 0""")
+def instrumentation_lint(spark, sf):
+    n = F.col("doc_id")
+    folder = F.element_at(F.array(*map(F.lit, ("src/agents/", "src/other/", "agents/x/", "src/agents/__init__.py/"))), (n % 4 + 1).cast("int"))
+    name = F.when(n % 5 == 0, "__init__").otherwise(F.concat(F.lit("m"), n.cast("string")))
+    files = load(spark, sf, "documents").select(F.concat(folder, name, F.when(n % 7 == 0, ".md").otherwise(".py")).alias("path"), "text")
+    return dataset.lacking(files, ("handlers", "adapters", "agents", "engines"), "The")
 
 
 @query("select c_custkey as id, replace(replace('a %PROMPT% by %NAME%', '%PROMPT%', c_mktsegment), '%NAME%', c_name) as graph from customer")
@@ -369,4 +421,4 @@ def fill_template(spark, sf):
 @query("""select p_partkey as stem, greatest(1, trunc(p_retailprice / 100 - 12)::int) as repeats, greatest(x1, 0)::int as x1 from (select *, least(p_size - 10, 5) as x1 from part)""")
 def settings_clamps(spark, sf):
     corner = geometry.sorted_corners(F.struct((F.col("p_size") - 10).alias("x1"), F.lit(0).alias("y1"), F.lit(5).alias("x2"), F.lit(1).alias("y2")))
-    return load(spark, sf, "part").select(F.col("p_partkey").alias("stem"), F.greatest(F.lit(1), (F.col("p_retailprice") / 100 - 12).cast("int")).alias("repeats"), F.greatest(corner["x1"], F.lit(0)).alias("x1"))
+    return load(spark, sf, "part").select(F.col("p_partkey").alias("stem"), geometry.at_least(F.col("p_retailprice") / 100 - 12, 1).alias("repeats"), geometry.at_least(corner["x1"], 0).alias("x1"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,3 +28,26 @@ def extract_blocks(files: DataFrame, start: str, end: str, fields: Sequence[str]
     given = F.col("fields")["status"]
     invalid = F.when(given.isNotNull() & ~given.isin(*status), F.array(F.concat(F.lit("invalid status "), given))).otherwise(F.array().cast("array<string>"))
     return found.withColumn("errors", F.concat(missing, invalid))
+
+
+#: Folders and files that are not looked into, and what is (fixed values).
+SKIPPED_FOLDERS = (".venv", ".git", "node_modules", "__pycache__", ".ruff_cache", ".pytest_cache")
+SCANNED = ("*.py", "*.md")
+
+
+def read_tree(spark: SparkSession, root: str, patterns: Sequence[str] = SCANNED, skip: Sequence[str] = SKIPPED_FOLDERS) -> DataFrame:
+    """``(file, text)`` of the text files below a folder, but for those in a folder of a name to skip."""
+    glob = patterns[0] if len(patterns) == 1 else "{" + ",".join(patterns) + "}"
+    rows = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    rows = rows.select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), F.col("value").alias("text"))
+    return rows.where(F.size(F.array_intersect(F.split("file", "/"), F.array(*map(F.lit, skip)))) == 0)
+
+
+def marker_counts(blocks: DataFrame) -> DataFrame:
+    """One row: blocks, and those with errors."""
+    return blocks.agg(F.count(F.lit(1)).alias("markers"), F.count_if(F.size("errors") > 0).alias("errored"))
+
+
+def marker_json(blocks: DataFrame) -> DataFrame:
+    """One JSON object a line for each block: file, block and its fields; to be written as text."""
+    return blocks.select(F.to_json(F.map_concat(F.create_map(F.lit("file"), F.col("file").cast("string"), F.lit("block"), F.col("block").cast("string")), "fields")).alias("value"))

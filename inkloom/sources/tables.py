@@ -12,8 +12,12 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the folder that executors share; where none is set, in a temporary one."""
+    """Cut the lineage by a checkpoint in the folder that executors share, from ``spark.checkpoint.dir``; on one machine,
+    where none is set, in a temporary one. A cluster without the setting is an error."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkloom-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="inkloom-"))
     return df.checkpoint(eager=True)

@@ -18,13 +18,13 @@ def test_entry(spark, sf_dir):
 
 def test_whole_pages_have_all_lines(spark, sf_dir):
     lines = {r["l_orderkey"]: r["count"] for r in spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").count().collect()}
-    got = {r["page"]: r["n"] for r in catalogue.QUERIES["classify_page_whole"](spark, sf_dir).collect()}
+    got = {r["page"]: r["n"] for r in catalogue.QUERIES["classify_page"](spark, sf_dir).collect()}
     assert got == {page: lines.get(page, 0) for page in got} and set(lines) <= set(got)
 
 
 def test_whole_captions_have_all_words(spark, sf_dir):
     said = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    got = {r["doc_id"]: r["caption"] for r in catalogue.QUERIES["caption_tags_whole"](spark, sf_dir).collect()}
+    got = {r["doc_id"]: r["caption"] for r in catalogue.QUERIES["caption_tags"](spark, sf_dir).collect()}
     for d, t in said.items():
         tags = [w for w in dict.fromkeys(t.split(" ")) if w.lower() != "the"]
         assert got[d] == ", ".join(["The", *tags])
