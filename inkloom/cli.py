@@ -1,13 +1,18 @@
-"""Command line: init, doctor, one command per stage, run-all, summary."""
+"""Command line: init, doctor, one command per stage, run-all, recaption, promote, summary."""
 
 from __future__ import annotations
 
 import argparse
+import importlib.metadata
+import importlib.util
+import os
+import shutil
 import sys
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from inkloom.functions.text import IMAGE_SUFFIXES, PROMPT_STYLES
 from inkloom.plans import runner
 from inkloom.settings import Settings
 
@@ -26,11 +31,27 @@ def initialise(root: str) -> list[str]:
     return made
 
 
-def checks(root: str) -> list[tuple[str, bool, str]]:
-    """What a run needs: ``(name, ok, detail)``."""
+def checks(root: str, settings: Settings | None = None) -> list[tuple[str, bool, str]]:
+    """What a run needs: ``(name, ok, detail)``. Models and the token are told but not needed by every run."""
+    settings = settings or Settings()
     pages = Path(root, "00_pages")
-    found = sum(p.suffix.lower().lstrip(".") in {"png", "jpg", "jpeg", "webp", "bmp"} for p in pages.iterdir()) if pages.is_dir() else 0
-    return [("python", sys.version_info >= (3, 11), sys.version.split()[0]), ("workspace", Path(root).is_dir(), root), ("pages", found > 0, f"{found} images")]
+    found = sum(p.suffix.lower().lstrip(".") in IMAGE_SUFFIXES for p in pages.iterdir()) if pages.is_dir() else 0
+    free = shutil.disk_usage(root if Path(root).is_dir() else ".").free / 1e9
+    java = shutil.which("java") or os.environ.get("JAVA_HOME", "")
+    rows = [
+        ("python", sys.version_info >= (3, 11), sys.version.split()[0]),
+        ("workspace", Path(root).is_dir(), root),
+        ("pages", found > 0, f"{found} images"),
+        ("disk", free >= 1, f"{free:.0f} GB free"),
+        ("java", bool(java), java or "not found"),
+        ("trigger", bool(settings.trigger_token.strip()), settings.trigger_token),
+    ]
+    for name in ("pyspark", "pyarrow", "pandas", "numpy"):
+        there = importlib.util.find_spec(name) is not None
+        rows.append((name, there, importlib.metadata.version(name) if there else "not installed"))
+    if settings.run_train:
+        rows += [("base model", bool(settings.train_base_model), settings.train_base_model or "not set"), ("trainer", Path(settings.train_sd_scripts_dir or "-").is_dir(), settings.train_sd_scripts_dir or "not set")]
+    return rows
 
 
 def report(rows: list[tuple[str, bool, str]]) -> str:
@@ -42,7 +63,9 @@ def report(rows: list[tuple[str, bool, str]]) -> str:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="inkloom", description=__doc__)
     names = [n for n, _, _ in runner.STAGES]
-    parser.add_argument("command", choices=["init", "doctor", "run-all", "summary", *names])
+    parser.add_argument("command", choices=["init", "doctor", "run-all", "recaption", "promote", "summary", *names])
+    parser.add_argument("names", nargs="*", help="of the images to promote")
+    parser.add_argument("--style", choices=sorted(PROMPT_STYLES))
     parser.add_argument("--workspace")
     parser.add_argument("--force", action="store_true")
     args = parser.parse_args(argv)
@@ -52,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(initialise(root)) or "nothing to do")
         return 0
     if args.command == "doctor":
-        rows = checks(root)
+        rows = checks(root, settings)
         print(report(rows))
         return int(not all(ok for _, ok, _ in rows))
     spark = SparkSession.builder.appName("inkloom").getOrCreate()
@@ -60,6 +83,12 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.command == "summary":
             runner.summary(context).show(truncate=False)
+        elif args.command == "recaption":
+            got = runner.recaption(context, args.style)
+            print("\n".join([f"written {got['written']}, failed {got['failed']}", *got["errors"]]))
+            return int(got["failed"] > 0 or not got["written"])
+        elif args.command == "promote":
+            print(f"{runner.promote(context, args.names)} promoted")
         elif args.command == "run-all":
             for r in runner.run_all(context, args.force):
                 print(f"{r.name}: {r.reason or f'{r.produced} produced'}")

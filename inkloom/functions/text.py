@@ -118,6 +118,11 @@ def worth_retrying(error: Column) -> Column:
     return (code != "") & (~F.startswith(code, F.lit("http_4")) | (code == "http_429"))
 
 
+def may_pass(error: str) -> bool:
+    """As ``worth_retrying``, of one value."""
+    return bool(error) and (not error.startswith("http_4") or error == "http_429")
+
+
 def _number(line: Column, pattern: str, group: int, kind: str) -> Column:
     return F.nullif(F.regexp_extract(line, pattern, group), F.lit("")).try_cast(kind)
 

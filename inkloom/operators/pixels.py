@@ -292,3 +292,42 @@ def detect_panels(image: np.ndarray, resplit: bool = True) -> list[tuple[int, in
     level = gray(image)
     boxes = outer_boxes(level <= INK)
     return [piece for b in boxes for piece in cut_by_gutters(level, b)] if resplit else boxes
+
+
+def denoise(image: np.ndarray, strength: float = 3.0, patch: int = 3, reach: int = 5) -> np.ndarray:
+    """Non-local means: each place becomes the mean of those around it, weighted by how alike their surroundings are.
+
+    Shifted copies of the whole image are weighed at once; ``reach`` and ``patch`` are half widths.
+    """
+    h, w = image.shape[:2]
+    pad = reach + patch
+    wide = np.pad(image.astype(np.float32), ((pad, pad), (pad, pad), (0, 0)), mode="symmetric")
+    centre = wide[reach : reach + h + 2 * patch, reach : reach + w + 2 * patch]
+    total, weights = np.zeros(image.shape, np.float32), np.zeros((h, w, 1), np.float32)
+    for dy in range(2 * reach + 1):
+        for dx in range(2 * reach + 1):
+            other = wide[dy : dy + h + 2 * patch, dx : dx + w + 2 * patch]
+            sums = np.pad(((centre - other) ** 2).mean(axis=2), ((1, 0), (1, 0))).cumsum(axis=0, dtype=np.float64).cumsum(axis=1)
+            n = 2 * patch + 1
+            apart = (sums[n:, n:] - sums[:-n, n:] - sums[n:, :-n] + sums[:-n, :-n]) / n**2
+            weight = np.exp(-np.maximum(apart, 0) / strength**2).astype(np.float32)[:, :, None]
+            total += weight * other[patch : patch + h, patch : patch + w]
+            weights += weight
+    return np.clip(np.rint(total / weights), 0, 255).astype(np.uint8)
+
+
+def contact_sheet(cells: dict[tuple[int, int], np.ndarray | None], rows: int, columns: int, side: int = 320) -> np.ndarray:
+    """Images by (row, column) in a grid, each shrunk to fit its cell; a cell without one has a red frame."""
+    sheet = np.full((rows * side, columns * side, 3), 245, np.uint8)
+    for r in range(rows):
+        for c in range(columns):
+            image, y, x, room = cells.get((r, c)), r * side + 2, c * side + 2, side - 4
+            if image is None:
+                sheet[y : y + room, x : x + room] = (60, 60, 200)
+                sheet[y + 1 : y + room - 1, x + 1 : x + room - 1] = 245
+                continue
+            share = min(1.0, room / max(image.shape[:2]))
+            h, w = (max(1, round(n * share)) for n in image.shape[:2])
+            small = area_resize(image, w, h) if share < 1 else image
+            sheet[y : y + h, x : x + w] = small
+    return sheet

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import os
+import shlex
+import subprocess
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 from inkloom.settings import Settings
 
@@ -47,12 +53,30 @@ def bucket_limit(name: str) -> int:
     return 1024 if name == "sd15" else 1536
 
 
+#: The data set file (keys and fixed values of the trainer's format).
+DATASET = """[general]
+caption_extension = '.txt'
+shuffle_caption = false
+keep_tokens = 1
+
+[[datasets]]
+resolution = {resolution}
+batch_size = {batch_size}
+enable_bucket = true
+min_bucket_reso = 256
+max_bucket_reso = {most}
+bucket_no_upscale = true
+bucket_reso_steps = {steps}
+
+  [[datasets.subsets]]
+  image_dir = '{image_dir}'
+  num_repeats = {repeats}
+"""
+
+
 def dataset_file(image_dir: str, repeats: int, resolution: int, batch_size: int, most: int, steps: int = 64) -> str:
     """The data set as TOML: captions in ``.txt`` files, the first tag kept in its place."""
-    general = {"caption_extension": "'.txt'", "shuffle_caption": "false", "keep_tokens": 1}
-    buckets = {"resolution": resolution, "batch_size": batch_size, "enable_bucket": "true", "min_bucket_reso": 256, "max_bucket_reso": most, "bucket_no_upscale": "true", "bucket_reso_steps": steps}
-    subset = {"image_dir": f"'{image_dir}'", "num_repeats": repeats}
-    return "\n\n".join("\n".join([pad + head, *[f"{pad}{k} = {v}" for k, v in body.items()]]) for pad, head, body in (("", "[general]", general), ("", "[[datasets]]", buckets), ("  ", "[[datasets.subsets]]", subset))) + "\n"
+    return DATASET.format(image_dir=image_dir, repeats=repeats, resolution=resolution, batch_size=batch_size, most=most, steps=steps)
 
 
 def arguments(settings: Settings, config: str, output_dir: str, output_name: str) -> list[str]:
@@ -97,3 +121,34 @@ def plan(settings: Settings, config: str, output_dir: str) -> TrainPlan:
     one = {"num_processes": 1, "num_machines": 1, "num_cpu_threads_per_process": 1, "mixed_precision": settings.train_mixed_precision, "dynamo_backend": "no"}
     launch = [python, "-m", "accelerate.commands.launch", *[str(x) for k, v in one.items() for x in (f"--{k}", v)]]
     return TrainPlan((*launch, FAMILIES[family(settings)][0], *arguments(settings, config, output_dir, name)), settings.train_sd_scripts_dir, f"{output_dir}/{name}.safetensors")
+
+
+def launch(plan: TrainPlan, tell: Callable[[str], None] = print, start: Callable[..., Any] = subprocess.Popen) -> str:
+    """Runs a plan, tells each line of its log, and gives the file it left. A trainer that fails, or leaves no file, or
+    doesn't say that the model was saved, is an error."""
+    process = start(list(plan.command), cwd=plan.cwd or None, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, text=True)
+    saved = False
+    for line in process.stdout:
+        saved = saved or "model saved." in line
+        tell(line.rstrip())
+    if code := process.wait():
+        raise RuntimeError(f"training failed (exit {code}): {shlex.join(plan.command)}")
+    if not saved or not os.path.isfile(plan.output_path) or not os.path.getsize(plan.output_path):
+        raise RuntimeError(f"training ended but {plan.output_path} is missing or empty")
+    return plan.output_path
+
+
+def run_metadata(status: str, reason: str, started: float, ended: float, images: int, output: str | None) -> dict[str, Any]:
+    """What a training run leaves on record: state, reason, numbers, and the file's size and tensors."""
+    there = output is not None and os.path.isfile(output)
+    return {"status": status, "reason": reason, "images": images, "seconds": round(ended - started), "output": output, "bytes": os.path.getsize(output) if there else 0, "tensors": tensor_count(output) if there else 0}
+
+
+def tensor_count(path: str) -> int:
+    """Tensors of a weights file, by its header: eight bytes of length, then JSON."""
+    with open(path, "rb") as f:
+        size = int.from_bytes(f.read(8), "little")
+        try:
+            return sum(k != "__metadata__" for k in json.loads(f.read(min(size, 100_000_000))))
+        except ValueError:
+            return 0

@@ -42,6 +42,8 @@ class Settings:
     workspace: str = "workspace"
     trigger_token: str = "comicstyle"
     dataset_repeats: int = 10
+    hf_token: str = ""
+    vlm_url: str = ""
     vlm_model: str = "gemini-2.5-flash"
     vlm_prompt_style: str = "rich"
     vlm_concurrency: int = 8
@@ -103,9 +105,12 @@ class Settings:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> Settings:
-        """Settings of ``APP_<NAME>`` variables; unknown ones are ignored."""
-        env = os.environ if env is None else env
+        """Settings of ``APP_<NAME>`` variables, and of ``HF_TOKEN``; unknown ones are ignored. Without ``env`` those of an
+        ``.env`` file in the working folder count too, where the environment doesn't have them."""
+        env = {**read_env(".env"), **os.environ} if env is None else env
         given = {k.upper(): v for k, v in env.items()}
+        if "HF_TOKEN" in given:
+            given.setdefault("APP_HF_TOKEN", given["HF_TOKEN"])
         return cls(**{f.name: _parse(str(f.type), given[key]) for f in fields(cls) if (key := f"APP_{f.name.upper()}") in given})
 
     def having(self, **changes: Any) -> Settings:
@@ -113,6 +118,20 @@ class Settings:
         return replace(self, **changes)
 
 
+def read_env(path: str) -> dict[str, str]:
+    """``KEY=value`` lines of a file; comments and blank lines are passed over, quotes around a value taken off."""
+    if not os.path.isfile(path):
+        return {}
+    out = {}
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            key, sign, value = line.strip().removeprefix("export ").partition("=")
+            if sign and not key.startswith("#"):
+                value = value.strip()
+                out[key.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'" else value
+    return out
+
+
 def _parse(kind: str, text: str) -> Any:
     if kind.startswith("bool"):
         value = text.strip().lower()

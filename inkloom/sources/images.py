@@ -1,4 +1,4 @@
-"""Image folders as DataFrames: ``(path, stem, ord, height, width, channels, data)``, blue, green, red.
+"""Image folders as DataFrames: ``(path, stem, height, width, data)``, blue, green, red.
 
 Files that cannot be decoded, and empty ones, stay as rows with null pixels, so that a stage can set them aside.
 """
@@ -18,8 +18,9 @@ from inkloom.operators import pixels
 PIXELS = "height int, width int, data binary"
 
 
-def list_images(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, length, modified)`` of the image files directly in a folder; a folder that is not there has none.
+def list_images(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = text.IMAGE_SUFFIXES) -> DataFrame:
+    """``(ord, path, length, modified)`` of the image files directly in a folder, numbered by path; a folder that is not
+    there has none. Other ``suffixes`` list other files.
 
     The listing is Hadoop's own, as Spark's binary source leaves out empty files.
     """
@@ -27,13 +28,17 @@ def list_images(spark: SparkSession, folder: str) -> DataFrame:
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = [(s.getPath().toString(), s.getLen(), s.getModificationTime() / 1000) for s in (fs.listStatus(path) if fs.exists(path) else []) if s.isFile()]
-    rows = spark.createDataFrame(found, "path string, length bigint, modified double")
-    return rows.where(text.is_image(F.col("path"))).withColumn("modified", F.timestamp_seconds("modified"))
+    found = sorted(f for f in found if f[0].rsplit("/", 1)[-1].lstrip(".").lower().endswith(tuple(f".{x}" for x in suffixes)))
+    rows = spark.createDataFrame([(i, *f) for i, f in enumerate(found)], "ord bigint, path string, length bigint, modified double")
+    return rows.withColumn("modified", F.timestamp_seconds("modified"))
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
-    """The images of a folder, numbered by path in ``ord``."""
-    files = list_images(spark, folder).select("path", text.stem(F.col("path")).alias("stem"))
+    """``(path, stem, height, width, data)`` of the images of a folder; those that can't be decoded have null pixels.
+
+    Pixels stay where they are decoded. Only empty files, which the source leaves out, are added from the listing.
+    """
+    files = list_images(spark, folder)
     if files.isEmpty():
         return spark.createDataFrame([], f"path string, stem string, {PIXELS}")
     raw = spark.read.format("image").option("dropInvalid", False).load(folder).select("image.*")
@@ -41,11 +46,34 @@ def read_images(spark: SparkSession, folder: str) -> DataFrame:
     def unify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [pixels.from_source(h, w, c, d) for h, w, c, d in zip(pdf["height"], pdf["width"], pdf["nChannels"], pdf["data"])]
-            yield pd.DataFrame({"origin": pdf["origin"], **_columns(got)})
+            yield pd.DataFrame({"path": pdf["path"], **_columns(got)})
+
+    origin = F.url_decode(F.replace("origin", F.lit("+"), F.lit("%2B")))
+    decoded = raw.withColumn("path", F.regexp_replace(origin, "^file:/+", "file:/")).where(text.is_image(F.col("path"))).mapInPandas(unify, f"path string, {PIXELS}")
+    empty = files.where("length = 0").select("path", *[F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in PIXELS.split(", "))])
+    return decoded.unionByName(empty).select("path", text.stem(F.col("path")).alias("stem"), "height", "width", "data")
+
+
+def read_bytes(path: str) -> bytes:
+    """A file's bytes, on an executor, from any store that Arrow can reach."""
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    with store.open_input_stream(name) as f:
+        return f.read()
+
+
+def weights(spark: SparkSession, folder: str) -> DataFrame:
+    """``(ord, path, length, modified)`` of the trained weights in a folder."""
+    return list_images(spark, folder, ("safetensors",)).where(F.endswith("path", F.lit(".safetensors")))
+
 
-    decoded = raw.mapInPandas(unify, f"origin string, {PIXELS}")
-    same = F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace(F.url_decode(F.replace("origin", F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
-    return files.join(decoded, same, "left").drop("origin")
+def prompts(spark: SparkSession, path: str | None = None, defaults: tuple[str, ...] = ()) -> list[str]:
+    """The lines of a prompt file that are not blank, trimmed, in order; without a file the defaults."""
+    if not path:
+        return list(defaults)
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"\r?\n")).alias("line"))
+    return [r["line"] for r in rows.where(text.prompts(F.col("line"))).select(F.trim("line").alias("line")).collect()]
 
 
 def _columns(images: list[np.ndarray | None]) -> dict:

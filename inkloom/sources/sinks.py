@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.operators import pixels
-from inkloom.sources.images import array_of
+from inkloom.sources.images import array_of, read_bytes
 
 
 def write_files(rows: DataFrame, folder: str, column: str = "content") -> int:
@@ -65,12 +65,46 @@ def write_quarantine(aside: DataFrame, folder: str) -> int:
     return write_files(aside.select(F.concat("stem", F.lit(".reason.txt")).alias("name"), F.concat("reason", F.lit("\n")).alias("content")), folder)
 
 
+def copy_files(paths: DataFrame, folder: str) -> int:
+    """Files of ``paths(path)`` under their own names in a folder, by the executors; only paths are shuffled."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"name": [path.rsplit("/", 1)[-1]], "content": pa.array([read_bytes(path)], pa.binary())})
+
+    return write_files(paths.select("path").mapInArrow(read, "name string, content binary"), folder)
+
+
+def save_uploads(spark: SparkSession, paths: list[str] | None, folder: str) -> int:
+    """Copies the image files among ``paths`` to a folder, which is made if need be; others are passed over."""
+    from inkloom.functions import text
+
+    make_folder(spark, folder)
+    rows = spark.createDataFrame([(p,) for p in paths or []], "path string").where(text.is_image(F.col("path")))
+    return copy_files(rows, folder)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or a folder in any Hadoop store; whether it was there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def put_text(spark: SparkSession, path: str, content: str) -> None:
     """A small file from the driver, in any Hadoop store."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    put_bytes(spark, path, content.encode())
+
+
+def put_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
-    out.write(bytearray(content.encode()))
+    out.write(bytearray(content))
     out.close()
 
 
