@@ -694,3 +694,29 @@ def test_empty_tables(spark):
     assert substring.substring_dedup(none).count() == substring.strip_repeats(none).count() == 0
     assert simhash.simhash_groups(none).count() == simhash.dedup(none).count() == 0
     assert decontaminate.decontaminate(none, none.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+def test_beyond_the_broadcast_bounds(spark, monkeypatch):
+    """What is joined instead of broadcast gives the same rows."""
+    rows = corpus()
+    df = docs(spark, rows)
+    items = spark.createDataFrame([(1, rows[20][1]), (2, "one")], "item_id long, text string")
+    pages = spark.createDataFrame([(i, f"http://{'ab' if i % 2 else 'xy'}{i % 5}.{'net/de' if i % 3 else 'com/en'}/{i}") for i in range(60)] + [(90, "http://q.info/x")], "page_id long, url string")
+
+    def results():
+        made = (
+            substring.substring_dedup(df),
+            simhash.dedup(df).select("doc_id", "text"),
+            decontaminate.decontaminate(df, items),
+            decontaminate.drop_contaminated(df, items),
+            mixing.poisson_mix(df, {"s1": 0.5}, total=300),
+            url_filter.filter_urls(pages, queries.URL_RULES).withColumn("score", F.round("score", 9)),
+        )
+        return [by_row(x, *x.columns) for x in made]
+
+    before = results()
+    monkeypatch.setattr(common, "MAX_BROADCAST_IDS", -1)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_BYTES", -1)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", -1)
+    monkeypatch.setattr(url_filter, "MAX_BROADCAST_ROWS", -1)
+    assert results() == before
