@@ -321,15 +321,17 @@ def dedup(docs: DataFrame, width: int = 5, least: float = 0.8, seed: int = 42) -
     groups = components(similar_links(first.select("rep", "n", "keys"), sets_of, least)).withColumnRenamed("node", "rep")
     named = first.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     rows = materialize(found.select("doc_id", "key", "digest").join(named, "digest").groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("n")))
-    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("best"), F.sum("n").alias("of")).where("of > 1")
-    judged = rows.join(best, "component").select("doc_id", "key", "n", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("wins"))
+    # Joined by text and doc_id, not by component, so that a large group is dealt over all tasks.
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("best"))
+    best = materialize(best.select(F.col("best.doc_id").alias("_of"), F.col("best.key").alias("_by")))
+    wins = rows["doc_id"].eqNullSafe(best["_of"]) & (rows["key"] == best["_by"])
 
     def among(those: DataFrame) -> tuple[DataFrame, Column]:
-        those = those.select(F.col("doc_id").alias("_of"), F.col("key").alias("_by"))
-        return those, marked["doc_id"].eqNullSafe(those["_of"]) & (marked[key] == those["_by"])
+        those = those.select(F.col("doc_id").alias("_its"), F.col("key").alias("_at"))
+        return those, marked["doc_id"].eqNullSafe(those["_its"]) & (marked[key] == those["_at"])
 
-    kept = marked.join(*among(judged.where("not wins")), "left_anti")
-    again = materialize(judged.where("wins and n > 1"))
+    kept = marked.join(*among(rows.join(best, wins, "left_anti")), "left_anti")
+    again = materialize(rows.where("n > 1").join(best, wins, "left_semi"))
     if not again.isEmpty():  # rows that repeat a winner in doc_id and text
         kept = kept.join(*among(again), "left_anti").unionByName(kept.join(*among(again), "left_semi").dropDuplicates(["doc_id", key]))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
