@@ -107,9 +107,10 @@ def caption_prompt(trigger: str, style: str) -> str:
     return f"Caption this picture for training. Begin with '{trigger}, '. {PROMPT_STYLES[style]} Say nothing of drawing style, medium, line, colour, or of panels, pages and speech bubbles. Answer with the caption alone."
 
 
-def prompts(lines: Column) -> Column:
-    """Whether a line of a prompt file is a prompt: not blank."""
-    return F.trim(lines) != ""
+def prompts(content: Column) -> Column:
+    """The prompts of a prompt file, an array: its lines without white space of any kind at their ends, blank ones left out."""
+    lines = F.split(content, r"[\n-\r\x1C-\x1E\x85\u2028\u2029]+")
+    return F.filter(F.transform(lines, lambda x: F.regexp_replace(x, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")), lambda x: x != "")
 
 
 def worth_retrying(error: Column) -> Column:

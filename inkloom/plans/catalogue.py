@@ -260,6 +260,25 @@ def recaption_result(spark, sf):
     return dataset.recaption_result(load(spark, sf, "events").withColumn("error", error), ["user_id"], "event_id", "error")
 
 
+@query("""select user_id, count(*) filter (event_id % 3 = 0) as failed, count(*) filter (event_id % 3 <> 0) as written,
+coalesce((list('e' || event_id order by event_id) filter (event_id % 3 = 0))[1:3], []) as errors from events group by user_id""")
+def recaption_shown(spark, sf):
+    """All errors are counted, the first three are shown."""
+    error = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("e"), F.col("event_id").cast("string")))
+    return dataset.recaption_result(load(spark, sf, "events").withColumn("error", error), ["user_id"], "event_id", "error", most=3)
+
+
+@query("""select path from (select doc_id, 'set/d' || doc_id || case doc_id % 4 when 0 then '.png' when 1 then '.JPG' when 2 then '.txt' else '' end as path from documents)
+where doc_id % 3 = 0 and doc_id % 4 < 2""")
+def chosen_files(spark, sf):
+    """Names come with folders of either kind, twice, and some of files that aren't images."""
+    n = F.col("doc_id")
+    kind = F.when(n % 4 == 0, ".png").when(n % 4 == 1, ".JPG").when(n % 4 == 2, ".txt").otherwise("")
+    files = load(spark, sf, "documents").select("doc_id", F.concat(F.lit("set/d"), n.cast("string"), kind).alias("path"))
+    names = files.where(n % 3 == 0).select(F.explode(F.array(F.concat(F.lit("../"), "path"), F.concat(F.lit("a\\"), text.file_name(F.col("path"))))).alias("name"))
+    return dataset.chosen(files.select("path"), names)
+
+
 @query(r"""select lang, count(*) as n, count(*) filter (not starts_with(coalesce(text, ''), 'The')) as not_leading,
 count(*) filter (regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])(the|ist|est|ing)($|[^\p{L}\p{N}_])')) as leaks from documents group by lang""")
 def dataset_gates(spark, sf):
@@ -342,6 +361,24 @@ def marker_counts(spark, sf):
     return markers.marker_counts(_markers(spark, sf))
 
 
+@query("""select '{"file":"' || item_id || '","block":"0","id":"b' || item_id || '"' || case when item_id % 3 <> 0 then ',"title":"T"' else '' end
+|| ',"status":"' || case when item_id % 3 = 1 then 'lost' else 'draft' end || '"}' as value from benchmark where item_id % 4 <> 3""")
+def marker_export(spark, sf):
+    return markers.marker_json(_markers(spark, sf))
+
+
+@query("""select item_id || '.md' as file, 0 as block, 'b' as id from benchmark where item_id % 2 = 0
+union all select item_id || '.py', k, id from benchmark, (values (0, 'a'), (1, 'b')) t(k, id) where item_id % 2 <> 0""")
+def marker_fences(spark, sf):
+    """A fenced block and a plain one: the fence counts in ``.md`` files alone."""
+    n = F.col("item_id")
+    block = "<START>\nid: {}\ntitle: T\nstatus: draft\n<END>\n"
+    body = F.concat(F.lit("```\n" + block.format("a") + "```\n" + block.format("b")), F.coalesce("text", F.lit("")))
+    files = load(spark, sf, "benchmark").select(F.concat(n.cast("string"), F.when(n % 2 == 0, ".md").otherwise(".py")).alias("file"), body.alias("text"))
+    found = markers.extract_blocks(files, "<START>", "<END>", ("id", "title", "status"), ("id", "title", "status"), ("draft", "final"))
+    return found.select("file", "block", F.col("fields")["id"].alias("id"))
+
+
 def _markers(spark, sf):
     n = F.col("item_id")
     title = F.when(n % 3 == 0, "").otherwise("title: T\n")
@@ -413,6 +450,16 @@ def instrumentation_lint(spark, sf):
     return dataset.lacking(files, ("handlers", "adapters", "agents", "engines"), "The")
 
 
+WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(rf"""with f as (select doc_id, chr(9) || ' a' || chr(160) || chr(13) || chr(10) || chr(12288) || chr(10) || coalesce(text, '') || chr(9) as content from documents)
+select doc_id, list_filter(list_transform(regexp_split_to_array(content, '[\n-\r\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]+'), lambda x: regexp_replace(x, '^{WHITE}|{WHITE}$', '', 'g')), lambda x: x <> '') as prompts from f""")
+def prompt_lines(spark, sf):
+    content = F.concat(F.lit("\t a\u00a0\r\n\u3000\n"), F.coalesce("text", F.lit("")), F.lit("\t"))
+    return load(spark, sf, "documents").select("doc_id", text.prompts(content).alias("prompts"))
+
+
 @query("select c_custkey as id, replace(replace('a %PROMPT% by %NAME%', '%PROMPT%', c_mktsegment), '%NAME%', c_name) as graph from customer")
 def fill_template(spark, sf):
     return load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), text.fill_template(F.lit("a %PROMPT% by %NAME%"), {"PROMPT": F.col("c_mktsegment"), "NAME": F.col("c_name")}).alias("graph"))

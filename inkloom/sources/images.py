@@ -72,8 +72,8 @@ def prompts(spark: SparkSession, path: str | None = None, defaults: tuple[str, .
     """The lines of a prompt file that are not blank, trimmed, in order; without a file the defaults."""
     if not path:
         return list(defaults)
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"\r?\n")).alias("line"))
-    return [r["line"] for r in rows.where(text.prompts(F.col("line"))).select(F.trim("line").alias("line")).collect()]
+    rows = spark.read.text(path, wholetext=True).select(F.explode(text.prompts(F.col("value"))).alias("line"))
+    return [r["line"] for r in rows.collect()]
 
 
 def _columns(images: list[np.ndarray | None]) -> dict:
