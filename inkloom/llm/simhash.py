@@ -17,6 +17,8 @@ from .common import components, free_name, lower_words, map_column, materialize,
 #: Fingerprints of a block bucket up to this many are compared by a self-join; larger buckets in chunks.
 SMALL_BUCKET = 4
 CHUNK = 4096
+#: Shingles of a chunk of the near-copy stage, about, so that long texts make chunks of fewer rows (8 bytes each).
+CHUNK_SHINGLES = 1 << 23
 #: Min-hash keys a document, and smallest hashes a key, of the near-copy stage.
 BANDS, ROWS = 16, 5
 
@@ -257,10 +259,10 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
 
     First each row is compared to the smallest one of its buckets. Of buckets that this leaves in more than one
     component, rows of different components are compared: pairs of small buckets once each, larger buckets in chunks,
-    as in ``links``.
+    as in ``links``, of about ``CHUNK`` rows or ``CHUNK_SHINGLES`` shingles, whichever is less.
     """
     keyed = reps.select("rep", "n", F.explode("keys").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "n")).alias("head")).where("size > 1")
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingled"), F.min(F.struct("rep", "n")).alias("head")).where("size > 1")
     sized = materialize(keyed.join(sizes, "key"))
     sets = sets_of(sized.select("rep").distinct())
     star = sized.where("rep <> head.rep").select(F.col("head.rep").alias("a"), F.col("head.n").alias("a_n"), F.col("rep").alias("b"), F.col("n").alias("b_n"))
@@ -272,7 +274,7 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
     x, y = small.where("rep <> head.rep").alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.group") != F.col("y.group")))
     plain = _verified(pairs.select(*[F.col(f"{t}.{c}").alias(o) for t, c, o in (("x", "rep", "a"), ("x", "n", "a_n"), ("y", "rep", "b"), ("y", "n", "b_n"))]), sets, least)
-    chunked = sized.where(F.col("size") > SMALL_BUCKET).withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
+    chunked = sized.where(F.col("size") > SMALL_BUCKET).withColumn("chunks", F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingled") / CHUNK_SHINGLES)).cast("int"))
     chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
         "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "group"

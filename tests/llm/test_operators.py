@@ -252,11 +252,12 @@ def test_poisson_mix(spark):
     assert mixing.poisson_mix(df.limit(0), {"hot": 0.7}).count() == 0
 
 
-@pytest.mark.parametrize("small", [4, 1])
-def test_simhash_dedup_by_brute_force(spark, monkeypatch, small):
+@pytest.mark.parametrize(("small", "chunk", "shingles"), [(4, 3, 1 << 23), (1, 3, 1 << 23), (1, 4096, 300)])
+def test_simhash_dedup_by_brute_force(spark, monkeypatch, small, chunk, shingles):
     """Pairs on either side of a five-word similarity of 0.8, in few and in many rows: those of 0.8 and more go."""
     monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
-    monkeypatch.setattr(simhash, "CHUNK", 3)
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    monkeypatch.setattr(simhash, "CHUNK_SHINGLES", shingles)
     rng = random.Random(9)
     rows, sets, gone = [], {}, set()
     for i in range(200):
