@@ -217,16 +217,22 @@ def sim_hashes(shingles: np.ndarray, prints: int = BANDS * KEY_BITS // 64) -> np
     return np.packbits(2 * total.reshape(prints, 64) > len(shingles), axis=1, bitorder="little").view("<u8").ravel()
 
 
-def band_keys(fps: Column) -> Column:
-    """``BANDS`` keys of ``KEY_BITS`` bits of the fingerprints each, with the number of the band above them."""
+def band_key(fps: Column, band: Column) -> Column:
+    """``KEY_BITS`` bits of the fingerprints, those of ``band``, with the number of the band above them."""
+    at = band * KEY_BITS
+    word, spot = F.shiftright(at, 6), at.bitwiseAND(63)
+    low, high = F.call_function("shiftrightunsigned", fps[word], spot), F.call_function("shiftleft", fps[word + 1], 64 - spot)
+    bits = F.when(spot <= 64 - KEY_BITS, low).otherwise(low.bitwiseOR(high))
+    return bits.bitwiseAND(F.lit((1 << KEY_BITS) - 1).cast("long")).bitwiseOR(F.shiftleft(band.cast("long"), KEY_BITS))
+
 
-    def bits(at: int) -> Column:
-        word, spot = divmod(at, 64)
-        low = F.shiftrightunsigned(fps[word], spot)
-        return low if spot + KEY_BITS <= 64 else low.bitwiseOR(F.shiftleft(fps[word + 1], 64 - spot))
+def bands() -> Column:
+    return F.sequence(F.lit(0), F.lit(BANDS - 1))
 
-    mask = F.lit((1 << KEY_BITS) - 1).cast("long")
-    return F.array(*[bits(i * KEY_BITS).bitwiseAND(mask).bitwiseOR(F.lit(i << KEY_BITS).cast("long")) for i in range(BANDS)])
+
+def band_keys(fps: Column) -> Column:
+    """The ``BANDS`` keys of the fingerprints."""
+    return F.transform(bands(), lambda band: band_key(fps, band))
 
 
 def _shingled(width: int, seed: int, keys: bool):
@@ -300,8 +306,10 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
     that are in different components still are compared in chunks, as in ``links``, of about ``CHUNK`` rows or
     ``CHUNK_SHINGLES`` shingles, whichever is less.
     """
-    keyed = reps.select("rep", "n", F.explode(band_keys(F.col("fps"))).alias("key")).repartition("key")  # shuffled once for both uses
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("head")).where("size > 1")
+    # One expression for all bands: with one for each, the driver held hundreds of MB to plan and compile them.
+    keyed = reps.select("rep", "n", "fps", F.explode(bands()).alias("band")).select("rep", "n", band_key(F.col("fps"), F.col("band")).alias("key"))
+    keyed = keyed.repartition("key")  # shuffled once for both uses, as both read all its columns
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("head"), F.sum("n").alias("shingled")).where("size > 1")
     sized = materialize(keyed.join(sizes, "key"))
     small, large = sized.where(F.col("size") <= SMALL_BUCKET), sized.where(F.col("size") > SMALL_BUCKET)
     star = sized.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
@@ -321,8 +329,8 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
         found = found.unionByName(more)
         labels = components(found)
     large = materialize(grouped(large, labels))
-    mixed = large.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.sum("n").alias("shingled")).where("lo < hi")
-    chunked = large.join(mixed.select("key", "shingled"), "key").withColumn("chunks", F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingled") / CHUNK_SHINGLES)).cast("int"))
+    mixed = large.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
+    chunked = large.join(mixed.select("key"), "key").withColumn("chunks", F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingled") / CHUNK_SHINGLES)).cast("int"))
     chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     paired = chunked.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
         "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "rep", "group"

@@ -289,6 +289,21 @@ def test_near_copy_keys_are_simhash_bits(spark):
         assert r["keys"] == [(k << simhash.KEY_BITS) | int(b[::-1], 2) for k, b in enumerate(at)]
 
 
+def test_near_copy_keys_are_small_plans(spark, monkeypatch):
+    """No query of the stage has generated code that grows with the keys of a document, which the driver holds and compiles."""
+    real, code = simhash.materialize, []
+
+    def materialize(df):
+        out = real(df)
+        code.append(len(spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")))
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", materialize)
+    w = words(random.Random(4), 60, 50_000)
+    assert simhash.dedup(docs(spark, [(1, w), (2, w + " x"), (3, "another")])).count() == 2
+    assert 50_000 < max(code) < 250_000
+
+
 def test_near_copy_keys_recall_at_the_bound():
     """Pairs of a similarity of just 0.8 share a key, and are near by their first words, in nine of ten cases and more."""
     rng, hit = np.random.default_rng(1), 0
