@@ -278,13 +278,13 @@ def set_links(sets: list[np.ndarray], ids: np.ndarray, groups: np.ndarray, cut:
 
 
 def _near(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """Of ``pairs(a, b)``, once each, those whose sizes allow a similarity of ``least`` and whose first fingerprints differ in
+    """Of ``pairs(a, b, few)``, once each, with ``few`` if any has it, those whose sizes allow a similarity of ``least`` and whose first fingerprints differ in
     at most ``FAR`` bits."""
-    pairs = pairs.distinct()
+    pairs = pairs.groupBy("a", "b").agg(F.max("few").alias("few"))
     for c in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("n").alias(f"{c}_n"), *[F.col("fps")[i].alias(f"{c}{i}") for i in range(SKETCH)]), c)
     differing = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH)), F.lit(0))
-    return pairs.where((F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")) & (differing <= FAR)).select("a", "b")
+    return pairs.where((F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")) & (differing <= FAR)).select("a", "b", "few")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -302,8 +302,8 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
     ``sets_of`` gives ``(rep, shingles)`` of the rows that are near another one, or in a large bucket.
 
     Each row is compared to the smallest one of its buckets, and rows of small buckets to each other, if their fingerprints
-    are near: first each row to the smallest row near it, then those that this leaves in different components. Rows of large buckets
-    that are in different components still are compared in chunks, as in ``links``, of about ``CHUNK`` rows or
+    are near: first each row to the smallest row near it, then those of small buckets that this leaves in different components. All rows of
+    large buckets that are in different components still are compared in chunks, as in ``links``, of about ``CHUNK`` rows or
     ``CHUNK_SHINGLES`` shingles, whichever is less.
     """
     # One expression for all bands: with one for each, the driver held hundreds of MB to plan and compile them.
@@ -312,9 +312,9 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("head"), F.sum("n").alias("shingled")).where("size > 1")
     sized = materialize(keyed.join(sizes, "key"))
     small, large = sized.where(F.col("size") <= SMALL_BUCKET), sized.where(F.col("size") > SMALL_BUCKET)
-    star = sized.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
+    star = sized.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"), (F.col("size") <= SMALL_BUCKET).alias("few"))
     x, y = small.where("rep <> head").alias("x"), small.alias("y")
-    others = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    others = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.lit(True).alias("few"))
     near = materialize(_near(star.unionByName(others), reps, least))
     sets = sets_of(near.select(F.col("a").alias("rep")).unionByName(near.select(F.col("b").alias("rep"))).unionByName(large.select("rep")).distinct())
     found = materialize(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, least))
@@ -323,7 +323,7 @@ def similar_links(reps: DataFrame, sets_of: Callable[[DataFrame], DataFrame], le
         return rows.join(labels.select(F.col("node").alias(rep), "component"), rep, "left").withColumn(group, F.coalesce("component", rep)).drop("component")
 
     labels = components(found)
-    apart = grouped(grouped(near, labels, "a", "a_group"), labels, "b", "b_group").where("a_group <> b_group").select("a", "b")
+    apart = grouped(grouped(near.where("few"), labels, "a", "a_group"), labels, "b", "b_group").where("a_group <> b_group").select("a", "b")
     more = materialize(_verified(apart, sets, least))
     if not more.isEmpty():
         found = found.unionByName(more)

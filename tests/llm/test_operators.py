@@ -304,6 +304,18 @@ def test_near_copy_keys_are_small_plans(spark, monkeypatch):
     assert 50_000 < max(code) < 250_000
 
 
+def test_near_copies_of_large_buckets_are_left_to_chunks(spark, monkeypatch):
+    """Pairs that are near, but not similar, and share large buckets only are not verified one by one as well."""
+    real, pairs = simhash._verified, []
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(simhash, "_verified", lambda p, *a: (pairs.append(p.count()), real(p, *a))[1])
+    rng = random.Random(6)
+    w = words(rng, 300, 50_000).split()
+    rows = [(i, " ".join(f"x{rng.random()}" if rng.random() < 0.025 else x for x in w)) for i in range(40)]
+    simhash.dedup(docs(spark, rows)).count()
+    assert len(pairs) == 2 and pairs[0] > 0 == pairs[1]
+
+
 def test_near_copy_keys_recall_at_the_bound():
     """Pairs of a similarity of just 0.8 share a key, and are near by their first words, in nine of ten cases and more."""
     rng, hit = np.random.default_rng(1), 0
