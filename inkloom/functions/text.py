@@ -81,8 +81,9 @@ def last_data_line(stream: Column) -> Column:
 
 
 def request_body(model: Column, prompt: Column, image: Column) -> Column:
-    """What is posted to a captioning service: a JSON object whose ``data`` lists model, prompt and image in base 64."""
-    return F.to_json(F.struct(F.array(model, prompt, F.base64(image)).alias("data")))
+    """What is posted to a captioning service: a JSON object whose ``data`` lists model, prompt and image in base 64, of one line."""
+    one_piece = F.replace(F.base64(image), F.lit("\r\n"), F.lit(""))  # Spark may break the line after each 76 characters
+    return F.to_json(F.struct(F.array(model, prompt, one_piece).alias("data")))
 
 
 def url_part(value: Column) -> Column:

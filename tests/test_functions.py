@@ -1,3 +1,6 @@
+import base64
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +142,9 @@ def test_training():
     with pytest.raises(ValueError, match="base"):
         training.arguments(Settings(), "c", "o", "n")
     assert "max_bucket_reso = 1024" in training.dataset_file("/d", 10, 512, 1, training.bucket_limit("sd15"))
+
+
+def test_request_body_of_a_long_image_is_one_line(spark):
+    image = bytes(range(256)) * 3
+    said = one(spark, text.request_body(F.lit("m"), F.lit("p"), F.lit(image)))
+    assert json.loads(said) == {"data": ["m", "p", base64.b64encode(image).decode()]}
