@@ -14,11 +14,11 @@ def panel_boxes(boxes: DataFrame, settings: Settings) -> DataFrame:
     """``(page, idx, x, y, w, h)`` from ``boxes(page, box_no, x, y, w, h, page_w, page_h)``.
 
     Boxes are cut to the page and trimmed, those below the least area go, the rest are numbered from zero in reading
-    order: by y, then x, ties by box_no.
+    order: by y, then x, ties by box_no, then by width and height, so that repeated box_nos are numbered alike on every run.
     """
     b = geometry.shrink_box(geometry.box(*map(F.col, "xywh")), settings.panel_border, F.col("page_w"), F.col("page_h"))
     trimmed = boxes.select("page", "box_no", b.alias("b")).where(F.col("b").isNotNull() & (geometry.area(F.col("b")) >= settings.min_panel_area))
-    order = Window.partitionBy("page").orderBy("b.y", "b.x", "box_no")
+    order = Window.partitionBy("page").orderBy("b.y", "b.x", "box_no", "b.w", "b.h")
     return trimmed.select("page", (F.row_number().over(order) - 1).alias("idx"), "b.*")
 
 
