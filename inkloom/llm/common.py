@@ -39,9 +39,26 @@ def materialize(df: DataFrame) -> DataFrame:
     out = df.checkpoint(eager=True)
     if _made:
         _made[-1].append(out)
+    tidy(df.sparkSession)
     return out
 
 
+def unsized(df: DataFrame) -> DataFrame:
+    """``materialize``, without the planner's guess of the size. A join's guess is the product of its sides' and a checkpoint
+    keeps it, so in a loop of joins its digits double by the step, until such numbers take the driver minutes and its memory."""
+    made = materialize(df)
+    rdd = made._jdf.queryExecution().logical().rdd()
+    return DataFrame(made.sparkSession._jsparkSession.internalCreateDataFrame(rdd, made._jdf.schema(), False), made.sparkSession)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let the driver collect garbage if over a third of its heap is used. Plans of many steps are garbage soon, but the
+    heap grows to its bound before it is collected; and with it go shuffles and broadcasts that nothing refers to."""
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() - heap.freeMemory() > heap.maxMemory() / 3:
+        spark.sparkContext._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
@@ -74,16 +91,22 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-#: Of hashes of texts that hold candidates, so many are broadcast at most (8 bytes each); beyond, they are joined.
+#: Of texts that hold candidates, so many are broadcast at most, as bitmaps of 16 to 32 bits for each; beyond, they are joined.
 MAX_BROADCAST_IDS = 1_000_000
 
 
 def of_some(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """``chosen`` with the texts of their keys, one text a key. All other texts are left out before the shuffle, by a
-    broadcast of at most ``MAX_BROADCAST_IDS`` hashes of keys, or, beyond it, by the join alone."""
-    texts = docs.select("key", "text")
-    if chosen.count() <= MAX_BROADCAST_IDS:
-        texts = texts.withColumn("h", F.xxhash64("key")).join(F.broadcast(chosen.select(F.xxhash64("key").alias("h"))), "h", "left_semi").drop("h")
+    broadcast of bitmaps of at most ``MAX_BROADCAST_IDS`` hashes of keys, or, beyond it, by the join alone. The few texts
+    that share a bit with a chosen one are left out by the join."""
+    texts, n = docs.select("key", "text"), chosen.count()
+    if n <= MAX_BROADCAST_IDS:
+        # Hashes as rows took the driver some 150 MB for a million; a bitmap is a row for 32,768 bits.
+        bit = F.pmod(F.xxhash64("key"), F.lit(1 << max(15, (16 * n).bit_length()))).alias("h")
+        maps = chosen.select(bit).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("map"))
+        byte = "cast(conv(hex(substring(map, cast(bitmap_bit_position(h) div 8 as int) + 1, 1)), 16, 10) as int)"
+        known = F.expr(f"bitmap_bucket_number(h) = bucket and shiftright({byte}, cast(bitmap_bit_position(h) % 8 as int)) & 1 = 1")
+        texts = texts.select("*", bit).join(F.broadcast(maps), known, "left_semi").drop("h")
     return texts.dropDuplicates(["key"]).join(chosen, "key")
 
 
@@ -137,24 +160,24 @@ def components(edges: DataFrame) -> DataFrame:
     and the joins are plain equi-joins that AQE can split, so a node with very many edges does not meet in one task.
     No edges: no rows.
     """
-    edges = materialize(_sorted(edges))
+    edges = unsized(_sorted(edges))
     labels = None
     while labels is None or not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("to")))
+        hook = unsized(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("to")))
         moving = True
         while moving:
             jump = hook.select(F.col("node").alias("to"), F.col("to").alias("far"))
-            far = materialize(hook.join(jump, "to", "left").select("node", "to", F.coalesce("far", "to").alias("far")))
+            far = unsized(hook.join(jump, "to", "left").select("node", "to", F.coalesce("far", "to").alias("far")))
             moving = not far.where("to <> far").isEmpty()
             hook = far.select("node", F.col("far").alias("to"))
         if labels is None:
             labels = hook.withColumnRenamed("to", "component")
         else:
             moved = hook.withColumnRenamed("node", "component")
-            labels = materialize(labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+            labels = unsized(labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
         ends = [hook.select(F.col("node").alias(c), F.col("to").alias(f"{c}_to")) for c in ("a", "b")]
-        edges = materialize(_sorted(edges.join(ends[0], "a").join(ends[1], "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))))
+        edges = unsized(_sorted(edges.join(ends[0], "a").join(ends[1], "b").select(F.col("a_to").alias("a"), F.col("b_to").alias("b"))))
     return labels
 
 

@@ -802,3 +802,40 @@ def test_beyond_the_broadcast_bounds(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", -1)
     monkeypatch.setattr(url_filter, "MAX_BROADCAST_ROWS", -1)
     assert results() == before
+
+
+def test_chosen_texts_are_broadcast_as_few_bitmaps(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(common.F, "broadcast", lambda df, f=F.broadcast: sent.append(df) or f(df))
+    docs = spark.range(20_000).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("key"), F.col("id").cast("string").alias("text"))
+    chosen = docs.where("cast(text as int) % 4 = 0").select("key", F.col("text").alias("rep"))
+    got = common.of_some(docs, chosen)
+    assert sorted((r["text"], r["rep"]) for r in got.collect()) == sorted((str(i), str(i)) for i in range(0, 20_000, 4))
+    assert sent[0].count() <= 8  # before, a row for each of 5,000
+    assert common.of_some(docs, chosen.limit(0)).isEmpty() and common.of_some(docs, chosen.limit(1)).count() == 1
+
+
+def test_driver_collects_garbage_when_a_third_of_its_heap_is_used():
+    class Jvm:
+        def __init__(self, used):
+            self.java, self.lang, self.Runtime, self.System, self.used, self.gcs = self, self, self, self, used, 0
+
+        getRuntime = lambda self: self
+        totalMemory = lambda self: self.used + 50
+        freeMemory = lambda self: 50
+        maxMemory = lambda self: 750
+
+        def gc(self):
+            self.gcs += 1
+
+    for used, gcs in ((200, 0), (300, 1)):
+        jvm = Jvm(used)
+        common.tidy(type("S", (), {"sparkContext": type("C", (), {"_jvm": jvm})}))
+        assert jvm.gcs == gcs
+
+
+def test_size_guesses_of_components_stay_numbers_of_few_digits(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000 + i * 7 % 50, 1000 + i * 11 % 50) for i in range(90)], "a long, b long")
+    labels = common.components(edges)
+    assert len(str(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 60
+    assert {r["component"] for r in labels.where("node <= 200").collect()} == {0}
