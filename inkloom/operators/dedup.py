@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.functions import bits
-from inkloom.sources.tables import materialize
+from inkloom.sources.tables import materialize, unsized
 
 #: Up to so many rows are folded in one task; beyond, links are sought by blocks and resolved in rounds.
 FOLD_ROWS = 5_000
@@ -53,8 +53,18 @@ def _by_chunks(rows: DataFrame, distance: int) -> DataFrame:
         left, right = pdf[pdf["chunk"] == i], pdf[pdf["chunk"] == j]
         # Unsigned, as numpy counts the bits of a signed number's absolute value.
         x_h, h, o = left["h"].to_numpy().view(np.uint64), right["h"].to_numpy().view(np.uint64), right["ord"].to_numpy()
-        found = [pd.DataFrame({"a": np.minimum(at, o[near]), "b": np.maximum(at, o[near])}) for at, x in zip(left["ord"], x_h) if len(near := np.flatnonzero((np.bitwise_count(h ^ x) < distance) & ((o > at) if i == j else (o != at))))]
-        return pd.concat(found) if found else pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        # Arrays, made one frame at the end: a frame for each row took far longer than the comparing.
+        firsts, others = [], []
+        for at, x in zip(left["ord"].to_numpy(), x_h):
+            near = o[np.bitwise_count(h ^ x) < distance]
+            near = near[(near > at) if i == j else (near != at)]
+            if len(near):
+                firsts.append(np.full(len(near), at))
+                others.append(near)
+        if not firsts:
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        one, other = np.concatenate(firsts), np.concatenate(others)
+        return pd.DataFrame({"a": np.minimum(one, other), "b": np.maximum(one, other)})
 
     return pairs.groupBy("i", "j").applyInPandas(compare, "a bigint, b bigint")
 
@@ -62,16 +72,16 @@ def _by_chunks(rows: DataFrame, distance: int) -> DataFrame:
 def resolve(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows that stay, from all close pairs: in each round those without an open earlier neighbour stay, and
     their later neighbours go. Each round is checkpointed; rounds grow with the longest chain of neighbours."""
-    open_pairs = materialize(pairs)
+    open_pairs = unsized(pairs)
     gone = None
     while not open_pairs.isEmpty():
         blocked = open_pairs.select(F.col("b").alias("ord")).distinct()
         stay = open_pairs.select(F.col("a").alias("ord")).distinct().join(blocked, "ord", "left_anti")
-        out = materialize(open_pairs.join(stay.withColumnRenamed("ord", "a"), "a", "left_semi").select(F.col("b").alias("ord")).distinct())
-        gone = out if gone is None else materialize(gone.unionByName(out))
+        out = unsized(open_pairs.join(stay.withColumnRenamed("ord", "a"), "a", "left_semi").select(F.col("b").alias("ord")).distinct())
+        gone = out if gone is None else unsized(gone.unionByName(out))
         closed = out.unionByName(stay)
         rest = open_pairs.join(out.withColumnRenamed("ord", "b"), "b", "left_anti")
-        open_pairs = materialize(rest.join(closed.withColumnRenamed("ord", "a"), "a", "left_anti"))
+        open_pairs = unsized(rest.join(closed.withColumnRenamed("ord", "a"), "a", "left_anti"))
     return rows if gone is None else rows.join(gone, "ord", "left_anti")
 
 

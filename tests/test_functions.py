@@ -161,3 +161,11 @@ def test_keys_of_close_pairs_are_never_broadcast(spark):
     rows = spark.range(300).select(F.col("id").alias("ord"), F.xxhash64("id").alias("h"))
     made = dedup.close_pairs(rows, 12)
     assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_size_guesses_of_rounds_stay_numbers_of_few_digits(spark):
+    rows = spark.range(14).select(F.col("id").alias("ord"), F.col("id").alias("h"))
+    left = dedup.resolve(rows, spark.createDataFrame([(i, i + 1) for i in range(13)], "a long, b long"))
+    gone = left._jdf.queryExecution().optimizedPlan().collectLeaves().last()
+    assert len(str(gone.stats().sizeInBytes())) < 60
+    assert sorted(r["ord"] for r in left.collect()) == list(range(0, 14, 2))
