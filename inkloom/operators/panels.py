@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,22 +49,33 @@ def content_spans(axis: DataFrame, keys: list[str], min_run: int, min_side: int)
     return spans.where(F.col("stop") - F.col("start") >= min_side).drop("span")
 
 
+#: Grid rows of a page, in words, that are aggregated as columns of one row; of larger grids each is a row.
+WIDE = 64
+
+
 def mask_rows(boxes: DataFrame, step: int, page_w: int, page_h: int) -> DataFrame:
     """The union of a page's boxes ``(page, x, y, w, h)`` on a grid: ``(page, gy, word, bits)``, 64 cells a word.
 
-    A cell is set if its corner lies in a box. Each grid row of a box is a few words of bits, joined by ``bit_or``
-    before and after the shuffle, so neither cells nor overlaps are ever rows.
+    A cell is set if its corner lies in a box. Boxes are dealt by page, which is all that is shuffled; each grid row of a
+    box is a few words of bits, joined by ``bit_or`` where the page's boxes are, so neither cells nor overlaps are ever rows.
     """
 
     def span(low: str, size: str, limit: int):
         first = F.greatest(F.lit(0), F.ceil(F.col(low) / step)).cast("int")
         return first, F.least(F.lit(limit // step - 1), F.ceil((F.col(low) + F.col(size)) / step) - 1).cast("int")
 
+    def bits(word) -> Column:
+        return F.expr(f"shiftleft(-1L, cast(greatest(a - {word} * 64, 0) as int)) & shiftrightunsigned(-1L, cast(63 - least(b - {word} * 64, 63) as int))")
+
     (a, b), (c, d) = span("x", "w", page_w), span("y", "h", page_h)
-    cut = boxes.select("page", a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d")).where("a <= b and c <= d")
+    cut = boxes.select("page", a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d")).where("a <= b and c <= d").repartition("page")
+    places = [(gy, word) for gy in range(page_h // step) for word in range(-(-(page_w // step) // 64))] if page_h // step <= WIDE else []
+    if 0 < len(places) <= WIDE:
+        here = [F.bit_or(F.when(F.expr(f"{gy} between c and d and {word} between a div 64 and b div 64"), bits(word))) for gy, word in places]
+        rows = [F.struct(F.lit(gy).alias("gy"), F.lit(word).alias("word"), F.col(f"_{n}").alias("bits")) for n, (gy, word) in enumerate(places)]
+        return cut.groupBy("page").agg(*[v.alias(f"_{n}") for n, v in enumerate(here)]).select("page", F.inline(F.array(*rows))).where("bits is not null")
     rows = cut.withColumn("word", F.explode(F.expr("sequence(a div 64, b div 64)"))).withColumn("gy", F.explode(F.sequence("c", "d")))
-    bits = F.expr("shiftleft(-1L, cast(greatest(a - word * 64, 0) as int)) & shiftrightunsigned(-1L, cast(63 - least(b - word * 64, 63) as int))")
-    return rows.select("page", "gy", F.col("word").cast("int").alias("word"), bits.alias("bits")).groupBy("page", "gy", "word").agg(F.bit_or("bits").alias("bits"))
+    return rows.select("page", "gy", F.col("word").cast("int").alias("word"), bits("word").alias("bits")).groupBy("page", "gy", "word").agg(F.bit_or("bits").alias("bits"))
 
 
 def coverage(rows: DataFrame, total: int) -> DataFrame:

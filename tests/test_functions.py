@@ -169,3 +169,14 @@ def test_size_guesses_of_rounds_stay_numbers_of_few_digits(spark):
     gone = left._jdf.queryExecution().optimizedPlan().collectLeaves().last()
     assert len(str(gone.stats().sizeInBytes())) < 60
     assert sorted(r["ord"] for r in left.collect()) == list(range(0, 14, 2))
+
+
+def test_boxes_are_shuffled_once_and_not_their_grid_rows(spark):
+    boxes = spark.range(100).selectExpr("id % 7 page", "id % 11 * 30 - 20 x", "id % 13 * 25 - 20 y", "90L w", "120L h")
+    made = panels.mask_rows(boxes, 20, 400, 400)
+    assert panels.coverage(made, 400)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    panels.WIDE, wide = 0, panels.WIDE
+    try:
+        assert sorted(map(tuple, panels.mask_rows(boxes, 20, 400, 400).collect())) == sorted(map(tuple, made.collect()))
+    finally:
+        panels.WIDE = wide
